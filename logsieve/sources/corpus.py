@@ -1,0 +1,178 @@
+"""A synthetic corpus of any size: eight document classes, rendered from row numbers.
+
+The class of a row and every choice in it follow from its number alone, so the corpus does
+not depend on how the rows are partitioned, and a lost task renders the same rows again.
+Choices come from integer arithmetic that any SQL engine can repeat.
+"""
+
+from __future__ import annotations
+
+from math import pi
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from logsieve.functions.vectors import unit
+
+# The vocabulary, formats and densities of the corpus.
+SERVERS = ["prod-db-01", "prod-api-02", "auth-service", "cache-01", "worker-03"]
+USERS = ["admin", "john", "jane", "deploy", "monitor"]
+LEVELS = ["INFO", "WARN", "ERROR"]
+EMAILS = ["alice@example.com", "Bob@Test.org", "Carol@CORP.net", "dave@Service.io"]
+IP_PREFIXES = ["192.168.1.", "10.0.0.", "172.16.0."]
+PORTS = ["5432", "6379", "8080", "27017", "3306"]
+EXCEPTIONS = ["NullPointerException", "IllegalArgumentException", "RuntimeException",
+              "IOException", "TimeoutException"]
+OPERATIONS = ["DELETE", "UPDATE", "CREATE", "READ"]
+SERVICES = ["svc-api", "svc-auth", "svc-billing", "svc-gateway", "svc-worker"]
+REGIONS = ["us-east-1", "eu-west-1", "ap-southeast-1", "us-west-2"]
+ENVIRONMENTS = ["production", "staging", "qa"]
+RARE_EVERY = 167
+COMMON = ["log", "config", "api", "access", "trace"]
+RARE = ["crit", "audit", "deploy"]
+WARN_PERCENT = 35
+DIMENSIONS = 1536
+
+# Arithmetic of the choices: a prime, and one multiplier per salt.
+PRIME = 2_147_483_647
+MULTIPLIER = 48_271
+SALTS = 48
+
+
+def salt_multiplier(salt: int) -> int:
+    return pow(MULTIPLIER, salt + 1, PRIME)
+
+
+def _mixed(seed: Column) -> Column:
+    reduced = seed % F.lit(PRIME)
+    return reduced * (reduced % F.lit(46_337) + F.lit(1)) % F.lit(PRIME)
+
+
+def choices(number: Column) -> Column:
+    """SALTS numbers from 0 to PRIME - 1 that look random over rows and over salts."""
+    factors = F.array(*[F.lit(salt_multiplier(salt)).cast("long") for salt in range(SALTS)])
+    return F.transform(factors, lambda factor: _mixed((number % F.lit(PRIME) + F.lit(1)) * factor))
+
+
+class Row:
+    """One document of each class from a row's choices; ``salt`` names a choice."""
+
+    def __init__(self, drawn: Column):
+        self.drawn = drawn
+
+    def below(self, n: int, salt: int) -> Column:
+        return self.drawn[salt] % F.lit(n)
+
+    def between(self, low: int, high: int, salt: int) -> Column:
+        return (self.below(high - low + 1, salt) + F.lit(low)).cast("long")
+
+    def choice(self, words: list[str], salt: int) -> Column:
+        return F.element_at(F.array(*[F.lit(w) for w in words]), (self.below(len(words), salt) + 1).cast("int"))
+
+    def date(self, salt: int) -> Column:
+        """``2024-MM-DD HH:MM:SS``, days 1 to 28."""
+        return F.format_string(
+            "2024-%02d-%02d %02d:%02d:%02d", self.between(1, 12, salt), self.between(1, 28, salt + 1),
+            self.between(0, 23, salt + 2), self.between(0, 59, salt + 3), self.between(0, 59, salt + 4))
+
+    def ip(self, salt: int) -> Column:
+        return F.concat(self.choice(IP_PREFIXES, salt), self.between(1, 254, salt + 1).cast("string"))
+
+    def log(self) -> Column:
+        """Two to five lines ``LEVEL date user on server``."""
+        lines = [F.concat_ws(" ", self.choice(LEVELS, s), self.date(s + 1), self.choice(USERS, s + 6),
+                             F.lit("on"), self.choice(SERVERS, s + 7)) for s in range(1, 41, 8)]
+        return _some_lines(lines, self.between(2, 5, 0))
+
+    def config(self) -> Column:
+        return F.format_string(
+            '{"database": {"host": "localhost", "port": %s, "username": "%s"}, '
+            '"cache": {"enabled": true, "ttl": %d}}',
+            self.choice(PORTS, 0), self.choice(USERS, 1), self.between(300, 7200, 2))
+
+    def api(self) -> Column:
+        """One to three users with different addresses: steps of 1 or 3 around a ring of 4."""
+        start, step = self.below(4, 0), self.below(2, 1) * 2 + 1
+        ring = F.array(*[F.lit(e) for e in EMAILS])
+        users = [F.format_string('{"id": %d, "email": "%s"}', F.lit(j + 1),
+                                 F.element_at(ring, ((start + step * j) % 4 + 1).cast("int")))
+                 for j in range(3)]
+        listed = F.concat_ws(", ", F.slice(F.array(*users), F.lit(1), self.between(1, 3, 2).cast("int")))
+        return F.concat(F.lit('{"status": "success", "data": {"users": ['), listed, F.lit("]}}"))
+
+    def access(self) -> Column:
+        """Two to four logins, then a failed one in 35 of 100 documents."""
+        lines = [F.concat(F.lit("INFO "), self.date(s), F.lit(" User "), self.choice(USERS, s + 5),
+                          F.lit(" logged in from "), self.ip(s + 6)) for s in range(7, 39, 8)]
+        logins = _some_lines(lines, self.between(2, 4, 0))
+        failed = F.concat(F.lit("\nWARN "), self.date(2), F.lit(" Failed login attempt for user unknown"))
+        return F.concat(logins, F.when(self.below(100, 1) < WARN_PERCENT, failed).otherwise(F.lit("")))
+
+    def trace(self) -> Column:
+        return F.format_string(
+            "Stack trace: %s at com.app.Service.process(Service.java:%d)\n"
+            "Caused by: %s at com.app.Validator.check(Validator.java:%d)",
+            self.choice(EXCEPTIONS, 0), self.between(10, 200, 1),
+            self.choice(EXCEPTIONS, 2), self.between(10, 200, 3))
+
+    def crit(self) -> Column:
+        return F.format_string(
+            'CRIT-%04d %s severity=critical host=%s msg="disk usage threshold exceeded %d%%" pid=%d',
+            self.between(1000, 1049, 0), self.date(1), self.choice(SERVERS, 6),
+            self.between(80, 99, 7), self.between(1000, 9999, 8))
+
+    def audit(self) -> Column:
+        return F.format_string(
+            "AUDIT-EVENT %s uid=%d op=%s resource=/api/users/%d svc=%s ip=%s",
+            self.date(0), self.between(1000, 9999, 5), self.choice(OPERATIONS, 6),
+            self.between(1, 999, 7), self.choice(SERVICES, 8), self.ip(9))
+
+    def deploy(self) -> Column:
+        return F.format_string(
+            "DEPLOY %s v%d.%d.%d env=%s region=%s commit=%04x%04x triggered_by=%s ts=%s",
+            self.choice(SERVICES, 0), self.between(1, 5, 1), self.between(0, 12, 2),
+            self.between(0, 20, 3), self.choice(ENVIRONMENTS, 4), self.choice(REGIONS, 5),
+            self.below(65_536, 6), self.below(65_536, 7), self.choice(USERS, 8), self.date(9))
+
+
+def _some_lines(lines: list[Column], count: Column) -> Column:
+    return F.concat_ws("\n", F.slice(F.array(*lines), F.lit(1), count.cast("int")))
+
+
+def document_class(number: Column) -> Column:
+    """The class of a row number, counted from 0: three rare classes in every 167 rows."""
+    named = F.element_at(F.array(*[F.lit(c) for c in COMMON]), (number % len(COMMON) + 1).cast("int"))
+    for place, name in enumerate(RARE):
+        named = F.when(number % RARE_EVERY == place, name).otherwise(named)
+    return named
+
+
+def synthetic(numbers: DataFrame, column: str = "id") -> DataFrame:
+    """One document per row number. Renders in place: no shuffle, any number of rows."""
+    number = F.col(column)
+    seq = number + 1
+    drawn = numbers.select(seq.alias("doc_id"), document_class(number).alias("class"),
+                           choices(number).alias("drawn"))
+    row, content = Row(F.col("drawn")), F.lit(None).cast("string")
+    for name in COMMON + RARE:
+        content = F.when(F.col("class") == name, getattr(row, name)()).otherwise(content)
+    return drawn.select(
+        "doc_id", F.format_string("doc_%05d.txt", "doc_id").alias("filename"), content.alias("content"),
+        F.struct(F.col("doc_id").alias("seq")).alias("metadata"), "class",
+        ).withColumn("content_lc", F.lower("content"))
+
+
+def embeddings(numbers: DataFrame, column: str = "id", dimensions: int = DIMENSIONS) -> DataFrame:
+    """A unit vector per row number, from normal deviates (Box and Muller, 1958), in its own table."""
+    seed = F.col(column) % F.lit(PRIME) + F.lit(1)
+
+    def uniform(j: Column, salt: int) -> Column:
+        mixed = _mixed(seed * F.lit(salt_multiplier(salt)) + j * F.lit(salt_multiplier(salt + 1)))
+        return (mixed + F.lit(0.5)) / F.lit(float(PRIME))
+
+    def normal(j: Column) -> Column:
+        return F.sqrt(F.lit(-2.0) * F.log(uniform(j, SALTS))) * F.cos(F.lit(2 * pi) * uniform(j, SALTS + 2))
+
+    steps = F.sequence(F.lit(1).cast("long"), F.lit(dimensions).cast("long"))
+    drawn = numbers.select((F.col(column) + 1).alias("doc_id"), F.transform(steps, normal).alias("v"))
+    return drawn.select("doc_id", F.transform(unit(F.col("v")), lambda x: x.cast("float")).alias("embeddings"))
