@@ -40,7 +40,7 @@ def similarity(vector: Column, query: Column, metric: str = "cosine") -> Column:
     if metric == "dot":
         return dot(vector, query)
     if metric == "euclidean":
-        return -distance(vector, query)
+        return F.lit(0.0) - distance(vector, query)
     if metric == "cosine":
         return dot(vector, query) / F.nullif(norm(vector) * norm(query), F.lit(0.0))
     raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")

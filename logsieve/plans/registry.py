@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logsieve.sources import corpus as c
 from logsieve.sources.documents import prose
 from logsieve.sources.logs import EVENTS_PER_FILE, log_documents
-from logsieve.sources.tables import read_table
+from logsieve.sources.tables import ensure_table, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,10 +33,18 @@ class Tables:
     def logs(self) -> DataFrame:
         return log_documents(self.events)
 
-    def corpus(self) -> DataFrame:
-        """One synthetic document per event."""
+    def rendered(self) -> DataFrame:
+        """One synthetic document per event, rendered in place."""
         return c.synthetic(self.events, "event_id")
 
+    def corpus(self) -> DataFrame:
+        """The same documents, loaded once and then scanned like any table."""
+        return self.loaded("corpus", self.rendered)
+
+    def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = scratch_path(self.spark, f"{name}-{zlib.crc32(self.folder.encode()):08x}")
+        return ensure_table(self.spark, path, build, reuse=True)
+
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
@@ -99,7 +108,7 @@ def corpus_sql(ids: str = "SELECT event_id AS i FROM events") -> str:
     log_lines = [f"{_choice(c.LEVELS, s)} || ' ' || {_date(s + 1)} || ' ' || {_choice(c.USERS, s + 6)} || ' on ' || "
                  f"{_choice(c.SERVERS, s + 7)}" for s in range(1, 41, 8)]
     logins = [f"'INFO ' || {_date(s)} || ' User ' || {_choice(c.USERS, s + 5)} || ' logged in from ' || {_ip(s + 6)}"
-              for s in range(7, 39, 8)]
+              for s in range(1, 33, 8)]
     users = [f"""'{{"id": {j + 1}, "email": "' || ([{', '.join(repr(e) for e in c.EMAILS)}])"""
              f"""[({_below(4, 0)} + ({_below(2, 1)} * 2 + 1) * {j}) % 4 + 1] || '"}}'""" for j in range(3)]
     content = {
@@ -108,8 +117,8 @@ def corpus_sql(ids: str = "SELECT event_id AS i FROM events") -> str:
           {_choice(c.USERS, 1)} || '"}}, "cache": {{"enabled": true, "ttl": ' || {_between(300, 7200, 2)} || '}}}}'""",
         "api": f"""'{{"status": "success", "data": {{"users": [' ||
           array_to_string(([{', '.join(users)}])[1:{_between(1, 3, 2)}], ', ') || ']}}}}'""",
-        "access": f"""{_lines(logins, _between(2, 4, 0))} || CASE WHEN {_below(100, 1)} < {c.WARN_PERCENT}
-          THEN chr(10) || 'WARN ' || {_date(2)} || ' Failed login attempt for user unknown' ELSE '' END""",
+        "access": f"""{_lines(logins, _between(2, 4, 0))} || CASE WHEN {_below(100, 33)} < {c.WARN_PERCENT}
+          THEN chr(10) || 'WARN ' || {_date(34)} || ' Failed login attempt for user unknown' ELSE '' END""",
         "trace": f"""'Stack trace: ' || {_choice(c.EXCEPTIONS, 0)} || ' at com.app.Service.process(Service.java:' ||
           {_between(10, 200, 1)} || ')' || chr(10) || 'Caused by: ' || {_choice(c.EXCEPTIONS, 2)} ||
           ' at com.app.Validator.check(Validator.java:' || {_between(10, 200, 3)} || ')'""",

@@ -60,29 +60,34 @@ class Row:
     def __init__(self, drawn: Column):
         self.drawn = drawn
 
-    def below(self, n: int, salt: int) -> Column:
+    def below(self, n: int, salt: int | Column) -> Column:
         return self.drawn[salt] % F.lit(n)
 
-    def between(self, low: int, high: int, salt: int) -> Column:
+    def between(self, low: int, high: int, salt: int | Column) -> Column:
         return (self.below(high - low + 1, salt) + F.lit(low)).cast("long")
 
-    def choice(self, words: list[str], salt: int) -> Column:
+    def choice(self, words: list[str], salt: int | Column) -> Column:
         return F.element_at(F.array(*[F.lit(w) for w in words]), (self.below(len(words), salt) + 1).cast("int"))
 
-    def date(self, salt: int) -> Column:
+    def date(self, salt: int | Column) -> Column:
         """``2024-MM-DD HH:MM:SS``, days 1 to 28."""
         return F.format_string(
             "2024-%02d-%02d %02d:%02d:%02d", self.between(1, 12, salt), self.between(1, 28, salt + 1),
             self.between(0, 23, salt + 2), self.between(0, 59, salt + 3), self.between(0, 59, salt + 4))
 
-    def ip(self, salt: int) -> Column:
+    def ip(self, salt: int | Column) -> Column:
         return F.concat(self.choice(IP_PREFIXES, salt), self.between(1, 254, salt + 1).cast("string"))
 
+    def lines(self, low: int, high: int, salt: int, render) -> Column:
+        """``low`` to ``high`` rendered lines; the n-th takes its choices from ``salt + 1 + 8n`` on."""
+        last = (self.below(high - low + 1, salt) + F.lit(low - 1)).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), last), lambda n: render(n * 8 + salt + 1)), "\n")
+
     def log(self) -> Column:
         """Two to five lines ``LEVEL date user on server``."""
-        lines = [F.concat_ws(" ", self.choice(LEVELS, s), self.date(s + 1), self.choice(USERS, s + 6),
-                             F.lit("on"), self.choice(SERVERS, s + 7)) for s in range(1, 41, 8)]
-        return _some_lines(lines, self.between(2, 5, 0))
+        return self.lines(2, 5, 0, lambda s: F.concat_ws(
+            " ", self.choice(LEVELS, s), self.date(s + 1), self.choice(USERS, s + 6),
+            F.lit("on"), self.choice(SERVERS, s + 7)))
 
     def config(self) -> Column:
         return F.format_string(
@@ -102,11 +107,11 @@ class Row:
 
     def access(self) -> Column:
         """Two to four logins, then a failed one in 35 of 100 documents."""
-        lines = [F.concat(F.lit("INFO "), self.date(s), F.lit(" User "), self.choice(USERS, s + 5),
-                          F.lit(" logged in from "), self.ip(s + 6)) for s in range(7, 39, 8)]
-        logins = _some_lines(lines, self.between(2, 4, 0))
-        failed = F.concat(F.lit("\nWARN "), self.date(2), F.lit(" Failed login attempt for user unknown"))
-        return F.concat(logins, F.when(self.below(100, 1) < WARN_PERCENT, failed).otherwise(F.lit("")))
+        logins = self.lines(2, 4, 0, lambda s: F.concat(
+            F.lit("INFO "), self.date(s), F.lit(" User "), self.choice(USERS, s + 5),
+            F.lit(" logged in from "), self.ip(s + 6)))
+        failed = F.concat(F.lit("\nWARN "), self.date(34), F.lit(" Failed login attempt for user unknown"))
+        return F.concat(logins, F.when(self.below(100, 33) < WARN_PERCENT, failed).otherwise(F.lit("")))
 
     def trace(self) -> Column:
         return F.format_string(
@@ -135,10 +140,6 @@ class Row:
             self.below(65_536, 6), self.below(65_536, 7), self.choice(USERS, 8), self.date(9))
 
 
-def _some_lines(lines: list[Column], count: Column) -> Column:
-    return F.concat_ws("\n", F.slice(F.array(*lines), F.lit(1), count.cast("int")))
-
-
 def document_class(number: Column) -> Column:
     """The class of a row number, counted from 0: three rare classes in every 167 rows."""
     named = F.element_at(F.array(*[F.lit(c) for c in COMMON]), (number % len(COMMON) + 1).cast("int"))
@@ -149,10 +150,9 @@ def document_class(number: Column) -> Column:
 
 def synthetic(numbers: DataFrame, column: str = "id") -> DataFrame:
     """One document per row number. Renders in place: no shuffle, any number of rows."""
-    number = F.col(column)
-    seq = number + 1
-    drawn = numbers.select(seq.alias("doc_id"), document_class(number).alias("class"),
-                           choices(number).alias("drawn"))
+    number = F.col("number")
+    drawn = numbers.select(F.col(column).alias("number")).select(
+        (number + 1).alias("doc_id"), document_class(number).alias("class"), choices(number).alias("drawn"))
     row, content = Row(F.col("drawn")), F.lit(None).cast("string")
     for name in COMMON + RARE:
         content = F.when(F.col("class") == name, getattr(row, name)()).otherwise(content)
@@ -164,7 +164,7 @@ def synthetic(numbers: DataFrame, column: str = "id") -> DataFrame:
 
 def embeddings(numbers: DataFrame, column: str = "id", dimensions: int = DIMENSIONS) -> DataFrame:
     """A unit vector per row number, from normal deviates (Box and Muller, 1958), in its own table."""
-    seed = F.col(column) % F.lit(PRIME) + F.lit(1)
+    seed = F.col("number") % F.lit(PRIME) + F.lit(1)
 
     def uniform(j: Column, salt: int) -> Column:
         mixed = _mixed(seed * F.lit(salt_multiplier(salt)) + j * F.lit(salt_multiplier(salt + 1)))
@@ -174,5 +174,6 @@ def embeddings(numbers: DataFrame, column: str = "id", dimensions: int = DIMENSI
         return F.sqrt(F.lit(-2.0) * F.log(uniform(j, SALTS))) * F.cos(F.lit(2 * pi) * uniform(j, SALTS + 2))
 
     steps = F.sequence(F.lit(1).cast("long"), F.lit(dimensions).cast("long"))
-    drawn = numbers.select((F.col(column) + 1).alias("doc_id"), F.transform(steps, normal).alias("v"))
+    drawn = numbers.select(F.col(column).alias("number")).select(
+        (F.col("number") + 1).alias("doc_id"), F.transform(steps, normal).alias("v"))
     return drawn.select("doc_id", F.transform(unit(F.col("v")), lambda x: x.cast("float")).alias("embeddings"))
