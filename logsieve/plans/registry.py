@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logsieve.sources import corpus as c
 from logsieve.sources.documents import prose
 from logsieve.sources.logs import EVENTS_PER_FILE, log_documents
-from logsieve.sources.tables import ensure_table, read_table, scratch_path
+from logsieve.sources.tables import ensure_table, read_table, scratch_path, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,7 +39,7 @@ class Tables:
 
     def corpus(self) -> DataFrame:
         """The same documents, loaded once and then scanned like any table."""
-        return self.loaded("corpus", self.rendered)
+        return self.loaded("corpus", lambda: c.synthetic(spread(self.events.select("event_id")), "event_id"))
 
     def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = scratch_path(self.spark, f"{name}-{zlib.crc32(self.folder.encode()):08x}")

@@ -1,0 +1,48 @@
+"""The 28 sample documents of the demo collection."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+
+from logsieve.sources.documents import DOCUMENTS, with_lower
+
+# The sample documents, one JSON object per line, in their given order.
+SAMPLES = r'''
+{"filename": "server_logs.txt", "content": "ERROR 2024-01-15 10:23:45 Connection timeout on port 5432\nWARN 2024-01-15 10:24:00 Retry attempt 1\nERROR 2024-01-15 10:25:00 Database connection failed", "metadata": {"type": "log", "server": "prod-db-01"}}
+{"filename": "config.json", "content": "{\"database\": {\"host\": \"localhost\", \"port\": 5432, \"username\": \"admin\"}, \"cache\": {\"enabled\": true, \"ttl\": 3600}}", "metadata": {"type": "config", "server": "prod-api-01"}}
+{"filename": "api_response.json", "content": "{\"status\": \"success\", \"data\": {\"users\": [{\"id\": 1, \"email\": \"John@Example.com\"}, {\"id\": 2, \"email\": \"Jane@Test.org\"}]}}", "metadata": {"type": "api_response", "endpoint": "/users"}}
+{"filename": "error_dump.txt", "content": "Stack trace: NullPointerException at com.app.Service.process(Service.java:42)\nCaused by: IllegalArgumentException at com.app.Validator.check(Validator.java:15)", "metadata": {"type": "error", "application": "backend-service"}}
+{"filename": "access_log.txt", "content": "INFO 2024-01-15 08:00:00 User admin logged in from 192.168.1.100\nINFO 2024-01-15 08:05:00 User john logged in from 10.0.0.50\nWARN 2024-01-15 08:10:00 Failed login attempt for user unknown", "metadata": {"type": "log", "server": "auth-service"}}
+{"filename": "deploy_log.txt", "content": "INFO 2024-01-15 14:30:00 DEPLOY api-gateway v3.2.1 env=production region=us-east-1 status=SUCCESS", "metadata": {"type": "log", "server": "deploy-01"}}
+{"filename": "network.json", "content": "{\"network\": {\"gateway\": \"192.168.1.1\", \"dns\": [\"8.8.8.8\", \"8.8.4.4\"], \"subnet\": \"192.168.1.0/24\", \"port\": 443}}", "metadata": {"type": "config", "server": "network-01"}}
+{"filename": "metrics.txt", "content": "METRIC 2024-01-15 09:00:00 cpu_usage=85.3% memory=14.2GB disk_io=1234KB/s host=prod-api-02 ip=10.0.0.22", "metadata": {"type": "metric", "server": "prod-api-02"}}
+{"filename": "audit_trail.json", "content": "{\"event\": \"user_action\", \"user\": \"dave@corp.net\", \"action\": \"DELETE\", \"resource\": \"/api/orders/9823\", \"ip\": \"10.0.0.15\"}", "metadata": {"type": "audit", "endpoint": "/api/orders"}}
+{"filename": "migration_v2.sql.log", "content": "INFO 2024-01-15 02:00:00 Starting migration v2.3.0\nINFO 2024-01-15 02:05:00 Applied 14 schema changes\nWARN 2024-01-15 02:10:00 Deprecated column users.legacy_id still present", "metadata": {"type": "log", "server": "db-migration-01"}}
+{"filename": "healthcheck.txt", "content": "HEALTH 2024-01-15 12:00:00 service=payment-service status=DEGRADED latency_p99=2847ms endpoint=172.16.0.5:8443", "metadata": {"type": "metric", "server": "payment-service"}}
+{"filename": "app_config.json", "content": "{\"app\": {\"name\": \"billing-service\", \"version\": \"4.1.0\", \"port\": 8080, \"db_host\": \"prod-db-01:5432\"}}", "metadata": {"type": "config", "server": "billing-01"}}
+{"filename": "clean_ops.txt", "content": "INFO 2024-01-15 13:00:00 Backup completed successfully\nINFO 2024-01-15 13:05:00 All health checks passed\nINFO 2024-01-15 13:10:00 Scheduled maintenance window closed", "metadata": {"type": "log", "server": "backup-01"}}
+{"filename": "nginx_access.log", "content": "192.168.1.42 - alice@example.com [15/Jan/2024:09:12:03 +0000] \"GET /api/v2/orders HTTP/1.1\" 200 1482\n10.0.0.77 - - [15/Jan/2024:09:12:07 +0000] \"POST /api/v2/login HTTP/1.1\" 401 112\n172.16.0.9 - bob@example.com [15/Jan/2024:09:12:11 +0000] \"DELETE /api/v2/users/881 HTTP/1.1\" 204 0\nERROR 2024-01-15 09:12:15 upstream timed out (110) while reading response from upstream 10.0.0.91:8080", "metadata": {"type": "access_log", "server": "nginx-01"}}
+{"filename": "firewall_events.txt", "content": "WARN 2024-01-15 03:15:00 Blocked inbound connection from 203.0.113.55 to port 22\nERROR 2024-01-15 03:17:42 Port scan detected from 198.51.100.4 — 1024 probes in 30s\nINFO 2024-01-15 03:20:00 Rule UPDATE: deny src=198.51.100.0/24 dst=any port=22\nWARN 2024-01-15 03:22:10 GeoIP block applied to 203.0.113.0/24 (CN)", "metadata": {"type": "security_log", "server": "fw-edge-01"}}
+{"filename": "k8s_events.txt", "content": "WARN 2024-01-15 11:00:05 Pod svc-payment-7d9f8b-xk2pq CrashLoopBackOff restartCount=5 node=worker-03\nERROR 2024-01-15 11:00:08 Liveness probe failed: GET http://10.0.0.33:8080/healthz — timeout after 3s\nINFO 2024-01-15 11:02:00 Pod svc-payment-7d9f8b-xk2pq rescheduled on node worker-04 ip=172.16.0.21\nWARN 2024-01-15 11:04:00 OOMKilled: container billing exceeded memory limit 512Mi", "metadata": {"type": "log", "server": "k8s-control-plane"}}
+{"filename": "slow_query.log", "content": "WARN 2024-01-15 07:44:12 Slow query detected duration=4821ms db=orders collection=transactions\n{\"query\": {\"status\": {\"$in\": [\"pending\", \"failed\"]}, \"created_at\": {\"$lt\": \"2024-01-01\"}}, \"planSummary\": \"COLLSCAN\", \"docsExamined\": 2847291, \"nReturned\": 142}\nWARN 2024-01-15 07:51:03 Slow query duration=2103ms missing index on field user_id — add index to improve performance", "metadata": {"type": "slow_query", "server": "prod-db-01"}}
+{"filename": "cicd_pipeline.log", "content": "INFO 2024-01-15 16:00:00 Pipeline #4821 started branch=main commit=a3f9c12d triggered_by=carol@example.com\nINFO 2024-01-15 16:04:30 Stage BUILD passed duration=270s\nERROR 2024-01-15 16:07:15 Stage TEST failed — 3 of 142 tests failed (RuntimeException in PaymentServiceTest)\nWARN 2024-01-15 16:07:16 Pipeline #4821 blocked — deployment to production skipped\nINFO 2024-01-15 16:30:00 DEPLOY svc-billing v4.1.1 env=staging region=eu-west-1 commit=b7e2d09f triggered_by=deploy status=SUCCESS", "metadata": {"type": "log", "server": "ci-runner-02"}}
+{"filename": "critical_alerts.txt", "content": "CRIT 2024-01-15 05:30:00 Disk usage 94% on prod-db-01 (172.16.0.3) — threshold 90%\nCRIT 2024-01-15 05:31:00 Replication lag 48s on replica prod-db-02:27017 — primary prod-db-01\nWARN 2024-01-15 05:32:00 Auto-remediation triggered: evicting stale sessions on 10.0.0.5\nERROR 2024-01-15 05:35:00 Auto-remediation FAILED — manual intervention required contact oncall@corp.net", "metadata": {"type": "alert", "server": "monitoring-01"}}
+{"filename": "smtp_delivery.log", "content": "INFO 2024-01-15 14:00:01 Accepted from=alice@example.com to=bob@corp.net size=8420 id=<msg-20240115-0001>\nWARN 2024-01-15 14:00:04 Deferred to=carol@Test.org reason=421 Service temporarily unavailable relay=10.0.0.88:25\nERROR 2024-01-15 14:02:30 Bounced from=noreply@example.com to=invalid@nowhere.xyz status=550 5.1.1 User unknown\nINFO 2024-01-15 14:05:00 Delivered from=dave@Service.io to=eve@example.com relay=172.16.0.44:587", "metadata": {"type": "log", "server": "smtp-relay-01"}}
+{"filename": "prometheus_metrics.json", "content": "{\"timestamp\": \"2024-01-15T10:00:00Z\", \"metrics\": [{\"name\": \"http_request_duration_seconds\", \"labels\": {\"method\": \"POST\", \"endpoint\": \"/api/checkout\", \"status\": \"500\"}, \"value\": 4.821}, {\"name\": \"db_connections_active\", \"labels\": {\"host\": \"prod-db-01\", \"port\": \"5432\"}, \"value\": 97}, {\"name\": \"cache_hit_ratio\", \"labels\": {\"host\": \"cache-01\", \"port\": \"6379\"}, \"value\": 0.61}]}", "metadata": {"type": "metric", "server": "prometheus-01"}}
+{"filename": "tls_config.json", "content": "{\"tls\": {\"cert\": \"/etc/ssl/certs/prod.pem\", \"key\": \"/etc/ssl/private/prod.key\", \"port\": 443, \"min_version\": \"TLS1.2\", \"ciphers\": [\"TLS_AES_256_GCM_SHA384\"], \"hsts\": true, \"ocsp_stapling\": true, \"contact\": \"security@corp.net\"}}", "metadata": {"type": "config", "server": "lb-01"}}
+{"filename": "user_management.log", "content": "INFO 2024-01-15 09:00:00 User created email=frank@example.com role=viewer ip=10.0.0.12\nINFO 2024-01-15 09:05:00 Password reset requested for grace@corp.net from ip=192.168.1.88\nWARN 2024-01-15 09:10:00 Role escalation: henry@Test.org promoted from viewer to admin by admin\nERROR 2024-01-15 09:15:00 Failed login for ivan@example.com — account locked after 5 attempts from 10.0.0.99", "metadata": {"type": "audit", "server": "auth-service"}}
+{"filename": "cron_report.txt", "content": "INFO 2024-01-15 00:00:01 cron: starting nightly-cleanup on prod-db-01\nINFO 2024-01-15 00:03:44 Deleted 14823 expired session records\nWARN 2024-01-15 00:04:10 Table archive_events took 87s — exceeds warn threshold 60s\nINFO 2024-01-15 00:04:11 cron: nightly-cleanup finished duration=231s exit=0", "metadata": {"type": "log", "server": "prod-db-01"}}
+{"filename": "service_mesh.log", "content": "INFO 2024-01-15 10:10:00 svc-api → svc-auth 200 OK latency=12ms src=10.0.0.8 dst=10.0.0.21:8081\nWARN 2024-01-15 10:10:45 Circuit breaker OPEN svc-api → svc-billing after 5 consecutive failures dst=172.16.0.7:8080\nERROR 2024-01-15 10:11:00 Request dropped svc-api → svc-billing circuit=OPEN fallback=cache\nINFO 2024-01-15 10:15:00 Circuit breaker CLOSED svc-api → svc-billing — service recovered", "metadata": {"type": "log", "server": "envoy-proxy-01"}}
+{"filename": "rate_limiter.log", "content": "WARN 2024-01-15 18:00:00 Rate limit exceeded ip=203.0.113.77 endpoint=/api/v2/search requests=1204/min limit=100/min\nERROR 2024-01-15 18:00:01 IP 203.0.113.77 blocked for 300s — excessive rate limit violations\nWARN 2024-01-15 18:05:30 Token bucket exhausted user=bot@example.com endpoint=/api/v2/export\nINFO 2024-01-15 18:10:00 Rate limit policy UPDATE applied: /api/v2/export limit=10/min per user", "metadata": {"type": "security_log", "server": "api-gateway-01"}}
+{"filename": "waf_events.json", "content": "{\"timestamp\": \"2024-01-15T20:33:07Z\", \"event\": \"waf_block\", \"severity\": \"HIGH\", \"src_ip\": \"198.51.100.22\", \"dst_ip\": \"172.16.0.1\", \"port\": 443, \"rule\": \"SQLi-1045\", \"payload\": \"1 OR 1=1--\", \"action\": \"BLOCK\", \"alert_to\": \"security@corp.net\"}", "metadata": {"type": "security_log", "server": "waf-01"}}
+{"filename": "db_replication.log", "content": "INFO 2024-01-15 06:00:00 Replication started primary=prod-db-01:27017 replica=prod-db-02:27017\nWARN 2024-01-15 06:04:20 Replication lag 12s — oplog window 48h remaining\nERROR 2024-01-15 06:10:05 Replication INTERRUPTED on prod-db-02 — network partition detected from 10.0.0.5\nERROR 2024-01-15 06:10:06 IOException: connection reset by peer at prod-db-01:27017\nINFO 2024-01-15 06:15:00 Replication resumed lag=0s — partition resolved", "metadata": {"type": "log", "server": "prod-db-02"}}
+'''
+
+
+def sample_documents(spark: SparkSession) -> DataFrame:
+    """The samples with keys from 1 and the lower-cased copy of their content."""
+    rows = [{"doc_id": number, **json.loads(line)}
+            for number, line in enumerate(SAMPLES.strip().splitlines(), start=1)]
+    return with_lower(spark.createDataFrame(rows, DOCUMENTS))

@@ -35,6 +35,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/logsieve-{spark.sparkContext.applicationId}/{name}"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores before heavy work on each; a table with enough parts is left alone.
+
+    Small files come as one or two parts. Large tables have more parts than cores and are not
+    shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def append(rows: DataFrame, path: str) -> None:
     """Add a batch of rows; every task writes its own file."""
     rows.write.mode("append").parquet(path)
