@@ -20,12 +20,8 @@ def tokens(value: Column) -> Column:
 
 def query_terms(query: str) -> list[str]:
     """The distinct words of a query text, by the same rule as ``tokens``."""
-    folded = "".join(c if c == "_" or unicodedata.category(c)[0] in "LMN" else " " for c in query.lower())
-    return list(dict.fromkeys(folded.split(" "))) if folded.strip() else []
-
-
-def _terms(query: str) -> list[str]:
-    terms = [t for t in query_terms(query) if t]
+    spaced = "".join(c if c == "_" or unicodedata.category(c)[0] in "LMN" else " " for c in query.lower())
+    terms = list(dict.fromkeys(spaced.split()))
     if not terms:
         raise ValueError(f"no word in text query {query!r}")
     return terms
@@ -38,7 +34,7 @@ def has_words(value: Column, query: str, mode: str = "any") -> Column:
     where its text occurs with no word character on either side. A plain substring test,
     which every hit passes, runs before the regex.
     """
-    terms = _terms(query)
+    terms = query_terms(query)
     folded = F.lower(value)
     if mode == "all":
         found = _has_one_of(folded, terms[:1])

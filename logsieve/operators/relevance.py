@@ -39,11 +39,11 @@ class CorpusStats:
         return F.log(F.lit(1.0) + (self.documents - seen + F.lit(0.5)) / (seen + F.lit(0.5)))
 
 
-def stats_from(row: DataFrame, terms: list[str]) -> CorpusStats:
-    """Statistics read as one scalar subquery from a one-row ``(n, words, df0, df1, ...)``."""
-    fields = row.select(F.struct("*")).scalar()
-    return CorpusStats(fields["n"], fields["words"] / fields["n"],
-                       {term: fields[f"df{i}"] for i, term in enumerate(terms)})
+def stats_from(corpus: DataFrame, seen: DataFrame, terms: list[str]) -> CorpusStats:
+    """Statistics as scalar subqueries from the one-row ``(n, words)`` and ``(df0, df1, ...)``."""
+    totals, counts = (row.select(F.struct("*")).scalar() for row in (corpus, seen))
+    return CorpusStats(totals["n"], totals["words"] / totals["n"],
+                       {term: counts[f"df{i}"] for i, term in enumerate(terms)})
 
 
 def corpus_stats(docs: DataFrame, query: str, content: str = "content") -> CorpusStats:
@@ -53,7 +53,7 @@ def corpus_stats(docs: DataFrame, query: str, content: str = "content") -> Corpu
     row = words.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("words"),
         *[F.count_if(F.array_contains("words", t)).alias(f"df{i}") for i, t in enumerate(terms)])
-    return stats_from(row, terms)
+    return stats_from(row, row, terms)
 
 
 def rank(docs: DataFrame, query: str, limit: int = 0, mode: str = "any",

@@ -91,13 +91,11 @@ class TokenIndex:
         return docs.join(F.broadcast(keys), self.key, "left_semi")
 
     def stats(self, query: str) -> CorpusStats:
+        """Two scalar subqueries: the corpus totals, and the documents per word."""
         terms = query_terms(query)
         seen = self.lookup(query).agg(
             *[F.count_if(F.col("token") == t).alias(f"df{i}") for i, t in enumerate(terms)])
-        parts = self.corpus.select(F.struct("n", "words").alias("c"))
-        row = parts.select("c.n", "c.words", *[
-            seen.select(f"df{i}").scalar().alias(f"df{i}") for i in range(len(terms))])
-        return stats_from(row, terms)
+        return stats_from(self.corpus, seen, terms)
 
     def rank(self, query: str, limit: int = 0, mode: str = "any") -> DataFrame:
         """Keys and BM25 scores from the index alone, best first, ties by key."""
