@@ -86,7 +86,7 @@ def main() -> None:
         "corpus_addresses": lambda: catalogue.addresses(corpus),
         "corpus_facet": lambda: facet(corpus, regex("content", catalogue.TROUBLE), "class"),
         "corpus_load_catalogue": lambda: catalogue.hit_counts(corpus, catalogue.load_clauses()),
-        "logs_assemble_error_lines": lambda: catalogue.error_lines(tables.logs()),
+        "logs_assemble_error_lines": lambda: catalogue.error_lines(tables.assembled()),
         "prose_find_literal": lambda: search(prose, find("content", "license")),
         "prose_find_any_case": lambda: search(prose, find("content", "licen[cs]e", "i")),
         "prose_lower": lambda: search(prose, regex("content", "(.*)licen[cs]e(.*)", on="lower")),

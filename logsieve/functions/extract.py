@@ -64,20 +64,27 @@ def _capture(value: Column, java: Column, number: int, least_width: int) -> Colu
 def _starts(pieces: Column, matches: Column) -> Column:
     """Start of each match: running length of the pieces between matches and of the matches.
 
-    Lengths are added up inside blocks of fixed width first, then across blocks, so that a
-    text with very many matches does not copy one growing array once per match.
+    With many matches, lengths are added up inside blocks of fixed width first, then across
+    blocks, so that one growing array is not copied once per match.
     """
     steps = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda piece, match: F.struct(
         F.length(piece).alias("gap"), (F.length(piece) + F.length(match)).alias("step")))
     last = F.floor((F.size(matches) - 1) / F.lit(_BLOCK)).cast("int")
-    numbers = F.when(F.size(matches) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    blocks = _named(steps, lambda all_steps: F.transform(
-        numbers, lambda b: F.slice(all_steps, b * _BLOCK + 1, F.lit(_BLOCK))))
-    return _named(blocks, lambda known: F.flatten(F.zip_with(
-        known, _running(F.transform(known, _block_total)),
-        lambda block, base: F.zip_with(
-            _running(F.transform(block, lambda s: s["step"])), block,
-            lambda before, s: base + before + s["gap"]))))
+
+    def across_blocks(known: Column) -> Column:
+        return F.flatten(F.zip_with(known, _running(F.transform(known, _block_total)), _block_starts))
+
+    def placed(known: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(known, b * _BLOCK + 1, F.lit(_BLOCK)))
+        return (F.when(F.size(known) <= _BLOCK, _block_starts(known, F.lit(0)))
+                .otherwise(_named(blocks, across_blocks)))
+
+    return _named(steps, placed)
+
+
+def _block_starts(block: Column, base: Column) -> Column:
+    return F.zip_with(_running(F.transform(block, lambda s: s["step"])), block,
+                      lambda before, s: base + before + s["gap"])
 
 
 def _block_total(block: Column) -> Column:

@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets into which exact_percentiles splits each group.
+# Buckets into which exact_percentiles splits each large group.
 BUCKETS = 1024
+# Groups of up to this many samples (8 MB) are put in order as a whole.
+WHOLE_GROUP = 1_000_000
 
 
 def slot_means(samples: DataFrame, by: Sequence[str] = ("label", "method", "slot"),
@@ -34,9 +36,24 @@ def latency_summary(samples: DataFrame, by: Sequence[str] = ("label", "method"),
 
 
 def exact_percentiles(samples: DataFrame, by: Sequence[str], value: str,
-                      wanted: dict[str, float]) -> DataFrame:
+                      wanted: dict[str, float], whole_group: int = WHOLE_GROUP) -> DataFrame:
     """One column per wanted percentile, interpolated linearly, exact at any group size.
 
+    The largest group is counted first. While it is small, each group is ordered in one task;
+    beyond that, groups are split and only the parts around the wanted ranks are ordered.
+    """
+    sizes = samples.groupBy(*by).agg(F.count(value).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) > whole_group:
+        return split_percentiles(samples, by, value, wanted)
+    found = samples.groupBy(*by).agg(F.percentile(value, list(wanted.values())).alias("p"))
+    return (found.filter(F.col("p").isNotNull())
+            .select(*by, *[F.col("p")[i].alias(name) for i, name in enumerate(wanted)]))
+
+
+def split_percentiles(samples: DataFrame, by: Sequence[str], value: str,
+                      wanted: dict[str, float]) -> DataFrame:
+    """Exact percentiles without gathering a group in one place.
+
     Equal values are counted first. Each group is then cut into buckets between its smallest
     and largest value, finer near the smallest, as latencies lie. Bucket counts, at most
     BUCKETS rows per group, tell which buckets hold the wanted ranks, and only the values of

@@ -121,7 +121,7 @@ def _(t: Tables):
 def _(t: Tables):
     docs = t.documents
     found = [tables.has_column(docs, name) for name in ("text", "content_lc")]
-    return docs.limit(1).select(F.inline(F.array(
+    return docs.agg(F.count("*")).select(F.inline(F.array(
         F.struct(F.lit("text").alias("field"), F.lit(found[0]).alias("present")),
         F.struct(F.lit("content_lc").alias("field"), F.lit(found[1]).alias("present")))))
 
@@ -711,7 +711,7 @@ def _(t: Tables):
   len(regexp_extract_all(content, 'ERROR')) AS error_count, 1.0::DOUBLE AS score
   FROM logs WHERE contains(content, 'ERROR')""")
 def _(t: Tables):
-    return catalogue.error_lines(t.logs()).select(
+    return catalogue.error_lines(t.assembled()).select(
         "doc_id", "metadata.type", joined(F.col("error_lines"), "\n").alias("error_lines"), "error_count", "score")
 
 

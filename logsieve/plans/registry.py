@@ -30,9 +30,14 @@ class Tables:
     def prose(self) -> DataFrame:
         return prose(self.documents)
 
-    def logs(self) -> DataFrame:
+    def assembled(self) -> DataFrame:
+        """Log documents, put together from the events."""
         return log_documents(self.events)
 
+    def logs(self) -> DataFrame:
+        """The same documents, put together once and then scanned like any table."""
+        return self.loaded("logs", self.assembled)
+
     def rendered(self) -> DataFrame:
         """One synthetic document per event, rendered in place."""
         return c.synthetic(self.events, "event_id")

@@ -33,8 +33,7 @@ def log_documents(events: DataFrame) -> DataFrame:
     A group holds at most EVENTS_PER_FILE lines, and a user with most of the events is spread
     over as many groups as there are files. ``metadata.type`` is the day.
     """
-    part = F.floor(F.col("event_id") / F.lit(EVENTS_PER_FILE))
-    lines = log_line(events).withColumn("part", part)
+    lines = log_line(events).withColumn("part", F.expr(f"event_id div {EVENTS_PER_FILE}"))
     grouped = lines.groupBy("user_id", "d", "part").agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", "line"))).alias("lines"))
     name = F.concat_ws("_", F.col("user_id").cast("string"), F.col("d").cast("string"),

@@ -219,15 +219,16 @@ def test_latency_report(spark):
     assert report.winners(zero).first()["factor"] == math.inf
 
 
+@pytest.mark.parametrize("whole_group", [0, 10_000])
 @pytest.mark.parametrize("spread", ["skewed", "equal", "dense", "negative"])
-def test_percentiles_are_exact(spark, spread):
+def test_percentiles_are_exact(spark, spread, whole_group):
     n = 5_000
     value = {"skewed": "exp(id % 997 / 60.0)", "equal": "4.5", "dense": "1000 + id / 1e9", "negative": "id - 2500.0"}[spread]
     rows = spark.range(n).select(F.expr("if(id % 3 < 2, 'hot', cast(id % 7 as string))").alias("g"),
                                  F.expr(f"cast({value} as double)").alias("ms"))
     rows = rows.union(spark.sql("SELECT CAST(NULL AS STRING), 3.0D UNION ALL SELECT 'hot', CAST(NULL AS DOUBLE)"))
     wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "low": 0.0, "high": 1.0}
-    got = {r["g"]: r for r in report.exact_percentiles(rows, ["g"], "ms", wanted).collect()}
+    got = {r["g"]: r for r in report.exact_percentiles(rows, ["g"], "ms", wanted, whole_group).collect()}
     expected = {r["g"]: r["p"] for r in rows.groupBy("g").agg(F.percentile("ms", list(wanted.values())).alias("p")).collect()}
     assert set(got) == set(expected)
     for group, values in expected.items():
