@@ -59,19 +59,19 @@ for _place, _name in zip("abcdefgh", synthetic.COMMON + synthetic.RARE):
     _register_class(_place, _name)
 
 
-@query("s02i_random_dates", f"""WITH {CORPUS} SELECT substr(content, 13, 7) AS month, count(*) AS n
-  FROM corpus WHERE class = 'audit' GROUP BY ALL""")
+@query("s02i_random_dates", f"""WITH {CORPUS}, d AS (SELECT class, unnest(regexp_extract_all(content,
+  '2024-[0-9]{{2}}-[0-9]{{2}}')) AS day FROM corpus)
+  SELECT class, substr(day, 1, 7) AS month, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM d GROUP BY ALL""")
 def _(t: Tables):
-    month = F.substring("content", 13, 7).alias("month")
-    return t.rendered().filter(F.col("class") == "audit").groupBy(month).agg(F.count("*").alias("n"))
+    days = t.rendered().select("class", F.explode(find_all(F.col("content"), "2024-[0-9]{2}-[0-9]{2}")).alias("day"))
+    return days.groupBy("class", F.substring("day", 1, 7).alias("month")).agg(
+        F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 @query("s02j_random_addresses", f"""WITH {CORPUS} SELECT doc_id,
-  array_to_string(regexp_extract_all(content, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+'), '|') AS ips
-  FROM corpus WHERE class = 'audit'""")
+  array_to_string(regexp_extract_all(content, '{IP}'), '|') AS ips FROM corpus WHERE regexp_matches(content, '{IP}')""")
 def _(t: Tables):
-    return t.rendered().filter(F.col("class") == "audit").select(
-        "doc_id", joined(find_all(F.col("content"), IP)).alias("ips"))
+    return search(t.rendered(), find("content", IP), ("doc_id", joined(find_all(F.col("content"), IP)).alias("ips")))
 
 
 @query("s03_lower_copy", f"WITH {CORPUS} SELECT doc_id, lower(content) AS content_lc FROM corpus")
@@ -79,8 +79,8 @@ def _(t: Tables):
     return with_lower(t.rendered()).select("doc_id", "content_lc")
 
 
-@query("s04_batch_insert", """SELECT 'documents' AS part, count(*) AS n, sum(length(text)) AS chars FROM documents
-  UNION ALL SELECT 'conversations', count(*), sum(length(text)) FROM conversations""")
+@query("s04_batch_insert", """SELECT 'documents' AS part, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents
+  UNION ALL SELECT 'conversations', count(*), sum(length(text))::BIGINT FROM conversations""")
 def _(t: Tables):
     path = tables.scratch_path(t.spark, "s04")
     tables.rebuild(t.documents.select(F.lit("documents").alias("part"), "text"), path)
@@ -89,7 +89,7 @@ def _(t: Tables):
         F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
-@query("s05_rebuild", "SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY lang")
+@query("s05_rebuild", "SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang")
 def _(t: Tables):
     path = tables.scratch_path(t.spark, "s05")
     tables.rebuild(t.documents, path)
@@ -344,6 +344,13 @@ def _(t: Tables):
     return _stored_index(t).matching(t.prose(), "license gnu", mode="all").select("doc_id", "filename")
 
 
+@query("j01_index_then_regex", f"""WITH {PROSE} SELECT doc_id FROM prose
+  WHERE list_has_any({tokens_sql()}, ['license', 'gnu']) AND regexp_matches(content, '[Vv]ersion [0-9]')""")
+def _(t: Tables):
+    survivors = _stored_index(t).matching(t.prose(), "license gnu")
+    return search(survivors, regex("content", "(.*)[Vv]ersion [0-9](.*)"))
+
+
 @query("j01_index_common_word", f"""WITH {PROSE} SELECT doc_id, filename FROM prose
   WHERE list_contains({tokens_sql()}, 'the')""")
 def _(t: Tables):
@@ -454,10 +461,10 @@ def _(t: Tables):
 
 @query("a09_parity", f"""WITH {PROSE}, h AS (SELECT regexp_matches(lower(content), 'license') AS b,
     {HAS_LICENSE} AS s0, contains(content, 'license') AS s1 FROM prose)
-  SELECT 'text' AS strategy, count_if(s0) AS hits, count_if(b) AS baseline_hits, count_if(b AND NOT s0) AS only_baseline,
-    count_if(s0 AND NOT b) AS only_strategy, count_if(b <> s0) = 0 AS same FROM h
-  UNION ALL SELECT 'contains', count_if(s1), count_if(b), count_if(b AND NOT s1), count_if(s1 AND NOT b),
-    count_if(b <> s1) = 0 FROM h""")
+  SELECT 'text' AS strategy, count(*) FILTER (s0) AS hits, count(*) FILTER (b) AS baseline_hits, count(*) FILTER (b AND NOT s0) AS only_baseline,
+    count(*) FILTER (s0 AND NOT b) AS only_strategy, count(*) FILTER (b <> s0) = 0 AS same FROM h
+  UNION ALL SELECT 'contains', count(*) FILTER (s1), count(*) FILTER (b), count(*) FILTER (b AND NOT s1), count(*) FILTER (s1 AND NOT b),
+    count(*) FILTER (b <> s1) = 0 FROM h""")
 def _(t: Tables):
     return parity(t.prose(), regex("content", "(.*)license(.*)", on="lower"),
                   {"text": text("content", "license"), "contains": contains("content", "license")})
@@ -675,6 +682,50 @@ def _(t: Tables):
     return _stored_index(t).rank("license gnu", 20).select("doc_id", rounded("score"))
 
 
+# ---------------------------------------------------------------- web pages and conversations
+
+LINK = 'href="[^"]+"'
+
+
+@query("pages_addresses", f"""SELECT page_id, array_to_string(regexp_extract_all(html, '{IP}'), '|') AS ips
+  FROM pages WHERE regexp_matches(html, '{IP}')""")
+def _(t: Tables):
+    found = joined(find_all(F.col("html"), IP)).alias("ips")
+    return search(t.pages, find("html", IP), ("page_id", found))
+
+
+@query("pages_link_counts", f"""SELECT page_id, len(regexp_extract_all(html, '{LINK}')) AS links,
+  array_to_string(list_distinct(list_transform(regexp_extract_all(html, '{LINK}')[1:1], lambda x: lower(x))), '') AS first_link
+  FROM pages WHERE regexp_matches(html, '<a {LINK}')""")
+def _(t: Tables):
+    columns = ("page_id", count_matches(F.col("html"), LINK).alias("links"),
+               F.coalesce(F.lower(F.get(find_all(F.col("html"), LINK), F.lit(0))), F.lit("")).alias("first_link"))
+    return search(t.pages, find("html", f"<a {LINK}"), columns)
+
+
+@query("pages_facet_by_host", r"""WITH h AS (SELECT regexp_extract(url, '^https?://([^/]+)/', 1) AS host, html FROM pages)
+  SELECT host AS bucket, grouping(host) = 1 AS is_total, count(*) AS n FROM h
+  WHERE contains(html, '<article>') GROUP BY ROLLUP (host)""")
+def _(t: Tables):
+    host = F.regexp_extract("url", "^https?://([^/]+)/", 1)
+    return facet(t.pages.select(host.alias("host"), "html"), find("html", "<article>"), "host")
+
+
+@query("conversations_matching_lines", r"""SELECT conv_id, turn, array_to_string(list_filter(string_split(text, chr(10)),
+  lambda x: regexp_matches(x, '[Tt]he [a-z]+,')), chr(10)) AS lines FROM conversations
+  WHERE regexp_matches(text, '[Tt]he [a-z]+,')""")
+def _(t: Tables):
+    pattern = "[Tt]he [a-z]+,"
+    lines = joined(matching_lines(F.col("text"), pattern), "\n").alias("lines")
+    return search(t.conversations, find("text", pattern), ("conv_id", "turn", lines))
+
+
+@query("conversations_words_by_role", f"""SELECT role AS bucket, grouping(role) = 1 AS is_total, count(*) AS n
+  FROM conversations WHERE list_has_all({tokens_sql('text')}, ['the', 'on']) GROUP BY ROLLUP (role)""")
+def _(t: Tables):
+    return facet(t.conversations, text("text", "the on", mode="all"), "role")
+
+
 # ---------------------------------------------------------------- the catalogue
 
 @query("ex01_error_dates", f"""WITH {LOGS} SELECT doc_id, filename, content, type FROM logs
@@ -731,8 +782,8 @@ def _(t: Tables):
 
 @query("ex08_text_against_regex", f"""WITH {LOGS}, h AS (SELECT contains(content, 'ERROR') AS b,
     list_contains({tokens_sql()}, 'error') AS s FROM logs)
-  SELECT 'text' AS strategy, count_if(s) AS hits, count_if(b) AS baseline_hits, count_if(b AND NOT s) AS only_baseline,
-    count_if(s AND NOT b) AS only_strategy, count_if(b <> s) = 0 AS same FROM h""")
+  SELECT 'text' AS strategy, count(*) FILTER (s) AS hits, count(*) FILTER (b) AS baseline_hits, count(*) FILTER (b AND NOT s) AS only_baseline,
+    count(*) FILTER (s AND NOT b) AS only_strategy, count(*) FILTER (b <> s) = 0 AS same FROM h""")
 def _(t: Tables):
     return catalogue.text_against_regex(t.logs())
 
@@ -769,9 +820,9 @@ def _scenario_sql(s: catalogue.Scenario) -> str:
         forms["text"] = words(s.only_words)
     tests = ", ".join(f"({test}) AS s{i}" for i, test in enumerate(forms.values()))
     rows = " UNION ALL ".join(
-        f"""SELECT '{name}' AS strategy, count_if(s{i}) AS hits, count_if(b) AS baseline_hits,
-        count_if(b AND NOT s{i}) AS only_baseline, count_if(s{i} AND NOT b) AS only_strategy,
-        count_if(b <> s{i}) = 0 AS same FROM h""" for i, name in enumerate(forms))
+        f"""SELECT '{name}' AS strategy, count(*) FILTER (s{i}) AS hits, count(*) FILTER (b) AS baseline_hits,
+        count(*) FILTER (b AND NOT s{i}) AS only_baseline, count(*) FILTER (s{i} AND NOT b) AS only_strategy,
+        count(*) FILTER (b <> s{i}) = 0 AS same FROM h""" for i, name in enumerate(forms))
     return f"WITH {CORPUS}, h AS (SELECT ({base}) AS b, {tests} FROM corpus) {rows}"
 
 
@@ -798,7 +849,7 @@ def _load_sql() -> str:
     tests |= {f"search_must_not/{n}": f"NOT regexp_full_match(content, '{p}', 's')"
               for n, p in catalogue.LOAD_WHOLE_NOT}
     return f"WITH {CORPUS} " + " UNION ALL ".join(
-        f"SELECT '{name}' AS name, count_if({test}) AS hits FROM corpus" for name, test in tests.items())
+        f"SELECT '{name}' AS name, count(*) FILTER ({test}) AS hits FROM corpus" for name, test in tests.items())
 
 
 @query("load_catalogue_hits", _load_sql())

@@ -14,17 +14,25 @@ METADATA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
-DOCUMENTS = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("filename", T.StringType()),
-    T.StructField("content", T.StringType()),
-    T.StructField("metadata", METADATA),
-])
+# For collections whose metadata keys are not known beforehand.
+OPEN_METADATA = T.MapType(T.StringType(), T.StringType())
+
+
+def documents_schema(metadata: T.DataType = METADATA) -> T.StructType:
+    return T.StructType([
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("filename", T.StringType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("metadata", metadata),
+    ])
+
+
+DOCUMENTS = documents_schema()
 
 
-def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, metadata: T.DataType = METADATA) -> DataFrame:
     """JSON documents, one per line, with whichever metadata keys they have."""
-    return spark.read.schema(DOCUMENTS).json(path)
+    return spark.read.schema(documents_schema(metadata)).json(path)
 
 
 def with_lower(docs: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def spread(rows: DataFrame) -> DataFrame:
     """Rows over all cores before heavy work on each; a table with enough parts is left alone.
 
     Small files come as one or two parts. Large tables have more parts than cores and are not
-    shuffled.
+    shuffled. Meant for plain scans: asking a plan with shuffles for its parts would run them.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -29,6 +29,10 @@ def database(folder):
     return con
 
 
+# Spark type names and the DuckDB types that must stand against them.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, folder, build, sql):
     """None when both give the same columns and rows, else what differs."""
     frame = build(spark, folder)
@@ -38,6 +42,9 @@ def compare(spark, con, folder, build, sql):
     theirs = rows_of(names, answer.fetchall())
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} against {sorted(names)}"
+    kinds = {f.name: TYPES.get(f.dataType.simpleString()) for f in frame.schema.fields}
+    if kinds != {d[0]: str(d[1]) for d in answer.description}:
+        return f"types {kinds} against {[(d[0], str(d[1])) for d in answer.description]}"
     if ours == theirs:
         return None
     odd = [(a, b) for a, b in zip(ours, theirs) if a != b][:2]

@@ -14,7 +14,7 @@ from logsieve.operators.relevance import rank
 from logsieve.operators.search import count_hits, first, resolve_limit, search
 from logsieve.operators.textindex import TokenIndex
 from logsieve.sources import corpus, tables
-from logsieve.sources.documents import DOCUMENTS, prose, read_json_documents
+from logsieve.sources.documents import DOCUMENTS, OPEN_METADATA, prose, read_json_documents
 from logsieve.sources.logs import log_documents
 from logsieve.streaming import search_stream
 
@@ -268,6 +268,8 @@ def test_json_documents(spark, tmp_path):
     rows = read_json_documents(spark, str(tmp_path)).orderBy("doc_id")
     assert rows.schema == DOCUMENTS
     assert [(r["metadata"]["type"], r["metadata"]["endpoint"]) for r in rows.collect()] == [("log", None), (None, "/u")]
+    loose = read_json_documents(spark, str(tmp_path), OPEN_METADATA)
+    assert {(r["bucket"], r["n"]) for r in facet(loose, find("content", "[xy]"), "metadata.type").collect()} == {("log", 1), (None, 2)}
 
 
 def test_spread(spark):

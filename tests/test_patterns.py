@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -116,3 +117,42 @@ def test_wildcards(spark):
     assert hit("a_b") == {"a_b"}
     assert hit(r"a\*b") == set()
     assert hit("*%*") == {"a%b"}
+
+
+def random_pattern(rng, depth=2):
+    def atom():
+        kind = rng.randrange(7 if depth else 5)
+        if kind < 3:
+            return rng.choice("abc") * (1 if kind else rng.randint(1, 3))
+        if kind == 3:
+            return "."
+        if kind == 4:
+            return rng.choice(["[ab]", "[^a]", "[b-c]"])
+        inner = "|".join(random_pattern(rng, depth - 1) for _ in range(rng.randint(1, 3)))
+        return f"({inner})"
+
+    def part():
+        text = atom()
+        mark = rng.choice(["", "", "", "?", "*", "+", "{2}", "{1,2}"])
+        return text + (mark if len(text) == 1 or not text.startswith("(") else rng.choice(["", "?", "{2}"]))
+    return "".join(part() for _ in range(rng.randint(1, 4)))
+
+
+@pytest.mark.parametrize("dialect", [FIND, WHOLE])
+def test_random_patterns_agree_with_python(spark, monkeypatch, dialect):
+    """Literal tests and pre-filters must not change the result; short literals are used here too."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr("logsieve.functions.patterns.MIN_LITERAL", 1)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abc\n") for _ in range(rng.randint(0, 7))) for _ in range(150)]
+    sources = [random_pattern(rng) for _ in range(120)]
+    if dialect == WHOLE:
+        sources = [rng.choice(["", "(.*)", ".*"]) + s + rng.choice(["", "(.*)", ".*"]) for s in sources]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).cache()
+    for start in range(0, len(sources), 20):
+        some = sources[start:start + 20]
+        found = rows.select("t", *[compile_pattern(s, dialect).test(F.col("t")).alias(f"p{i}")
+                                   for i, s in enumerate(some)]).collect()
+        for i, source in enumerate(some):
+            expected = [bool(re.search(source, t) if dialect == FIND else re.fullmatch(source, t, re.DOTALL)) for t in texts]
+            assert [r[f"p{i}"] for r in found] == expected, source
