@@ -35,12 +35,17 @@ def distance(left: Column, right: Column) -> Column:
     return F.sqrt(_total(squares))
 
 
-def similarity(vector: Column, query: Column, metric: str = "cosine") -> Column:
-    """Score of a vector against a query: larger is nearer. Null when it cannot be scored."""
+def similarity(vector: Column, query: Column, metric: str = "cosine",
+               query_norm: Column | None = None) -> Column:
+    """Score of a vector against a query: larger is nearer. Null when it cannot be scored.
+
+    Give ``query_norm`` when the query's length is known, so that it is not added up per row.
+    """
     if metric == "dot":
         return dot(vector, query)
     if metric == "euclidean":
         return F.lit(0.0) - distance(vector, query)
     if metric == "cosine":
-        return dot(vector, query) / F.nullif(norm(vector) * norm(query), F.lit(0.0))
+        lengths = norm(vector) * (norm(query) if query_norm is None else query_norm)
+        return dot(vector, query) / F.nullif(lengths, F.lit(0.0))
     raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")

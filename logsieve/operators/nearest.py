@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,11 @@ def _vector(numbers: Sequence[float]) -> Column:
     return F.split(F.lit(",".join(repr(float(x)) for x in numbers)), ",").cast("array<double>")
 
 
+def _score(column: str, query: Sequence[float], metric: str) -> Column:
+    length = math.sqrt(sum(float(x) * float(x) for x in query))
+    return similarity(F.col(column), _vector(query), metric, F.lit(length))
+
+
 def _check(metric: str, k: int) -> None:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
@@ -35,7 +41,7 @@ def nearest(vectors: DataFrame, query: Sequence[float], k: int, metric: str = "c
     """
     _check(metric, k)
     sized = vectors.filter(F.size(column) == len(query))
-    scored = sized.select(key, similarity(F.col(column), _vector(query), metric).alias("score"))
+    scored = sized.select(key, _score(column, query, metric).alias("score"))
     return scored.filter(F.col("score").isNotNull()).orderBy(F.desc("score"), F.asc(key)).limit(k)
 
 
@@ -68,7 +74,7 @@ def _one_pass(vectors, queries, k, metric, key, column) -> DataFrame:
     size = len(next(iter(queries.values())))
     scores = F.array(*[
         F.struct(F.lit(int(name)).cast("long").alias("query_id"),
-                 similarity(F.col(column), _vector(query), metric).alias("score"))
+                 _score(column, query, metric).alias("score"))
         for name, query in queries.items()])
     scored = (vectors.filter(F.size(column) == size).select(key, F.inline(scores))
               .filter(F.col("score").isNotNull()))

@@ -328,7 +328,7 @@ def _stored_index(t: Tables) -> TokenIndex:
     """The token table of the documents, stored once per application in the shared folder."""
     path = tables.scratch_path(t.spark, f"index-{zlib.crc32(t.folder.encode()):08x}")
     if tables.stored(t.spark, f"{path}/corpus") is None:
-        TokenIndex.of(t.prose()).save(path)
+        TokenIndex.of(tables.spread(t.prose())).save(path)
     return TokenIndex.load(t.spark, path)
 
 
