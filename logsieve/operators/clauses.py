@@ -115,12 +115,13 @@ def compound(filter: Sequence[Clause] = (), must: Sequence[Clause] = (),
              minimum_should: int | None = None) -> Clause:
     """All of ``filter`` and ``must`` hold, none of ``must_not``, and enough of ``should``.
 
-    Clauses are tested in the order given, so put the cheapest selective one first. With no
-    ``filter`` and no ``must``, one ``should`` clause has to hold unless told otherwise.
+    Clauses are tested in the order given, so put the cheapest selective one first. Those that
+    have to hold stay plain conditions, which a scan can take over. With no ``filter`` and no
+    ``must``, one ``should`` clause has to hold unless told otherwise.
     """
     if minimum_should is None:
         minimum_should = 1 if should and not filter and not must else 0
-    tests = [c.is_hit for c in (*filter, *must)] + [~c.is_hit for c in must_not]
+    tests = [c.holds for c in (*filter, *must)] + [~c.is_hit for c in must_not]
     if minimum_should == 1:
         tests.append(_join([c.is_hit for c in should], Column.__or__))
     elif minimum_should > 1:

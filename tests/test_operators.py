@@ -144,6 +144,10 @@ def test_a_filter_reaches_the_scan_and_prunes_columns(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "StringContains(text,license)" in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+    both = compound(filter=[find("content", "license")], must=[regex("content", "(.*)GNU(.*)")],
+                    must_not=[find("content", "zzz")])
+    plan = search(stored, both)._jdf.queryExecution().executedPlan().toString()
+    assert "StringContains(text,license)" in plan and "StringContains(text,GNU)" in plan
 
 
 def test_facet_without_values(synthetic):
