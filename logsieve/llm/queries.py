@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logsieve.llm import mixing, pieces
+from logsieve.llm import jaccard, mixing, pieces
 from logsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encode(table(spark, sf_dir, "documents"), model, output="digest")
+
+
+JACCARD_SQL = """
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+  FROM cut WHERE len(w) > 0),
+counts AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN counts x ON x.doc_id = a.doc_id JOIN counts y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id JOIN reached r ON r.doc_id = d.doc_id
+GROUP BY d.doc_id, c.n
+"""
+
+
+@query("op8_jaccard_join", JACCARD_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
