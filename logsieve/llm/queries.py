@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logsieve.llm import jaccard, mixing, pieces
+from logsieve.llm import chunking, jaccard, mixing, pieces
 from logsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ GROUP BY d.doc_id, c.n
 @query("op8_jaccard_join", JACCARD_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunking.passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start_word", "n_words", "n_chunks", "first_doc_id")
