@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logsieve.llm import chunking, jaccard, mixing, pieces
+from logsieve.llm import chunking, jaccard, mixing, phrases, pieces
 from logsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunking.passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start_word", "n_words", "n_chunks", "first_doc_id")
+
+
+@query("op6_phrase_fingerprint")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.edited_likeness(table(spark, sf_dir, "documents"))
