@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logsieve.llm import chunking, jaccard, mixing, phrases, pieces
+from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, records
 from logsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_phrase_fingerprint")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query("op3_token_records")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return records.token_records(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
