@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, records
+from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, records, voronoi
 from logsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
+
+
+TOP_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op5_voronoi_top_k", TOP_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(table(spark, sf_dir, "embeddings"))
