@@ -4,7 +4,7 @@ Where no piece of the model has a whitespace mark behind another character, no p
 follows a word. A text is then the sequence of its chunks (marks and the word behind them), and each distinct chunk
 needs to be segmented once. Documents are packed into blocks of some megabytes. Each block sends its distinct chunks,
 hashed into fragments, to the task that segments the fragment's distinct chunks; the ids come back to the block and
-are joined by position. A model without that property is refused.
+are joined by position, and so are the decoded chunks: the ids of a byte sequence never reach over a mark. A model without that property is refused.
 
 Scale: a text moves once, compressed, and a chunk once for each block and direction, however often it occurs; no
 vocabulary is broadcast. Blocks and fragments grow in number with the input, not in size. A block is a run of rows of
@@ -24,6 +24,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
 FRAGMENT_CHARS = 16_000_000
 _RUN = re.compile(f"{MARK}(?:{MARK}*[^{MARK}]*)")
 _MODELS: dict[str, object] = {}
@@ -127,71 +128,115 @@ def _send_texts(chars: int):
     return run
 
 
+def _fragment_words(rows: pa.Table, fragments: int) -> dict[int, list[str]]:
+    """The distinct chunks of a block in order, by fragment."""
+    words: set[str] = set()
+    for text in rows.column("_text").to_pylist():
+        words.update(chunks(text or ""))
+    parts: dict[int, list[str]] = {}
+    for word in sorted(words):
+        parts.setdefault(zlib.crc32(word.encode()) % fragments, []).append(word)
+    return parts
+
+
 def _send_words(chars: int, fragments: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches, chars):
-            words: set[str] = set()
-            for text in rows.column("_text").to_pylist():
-                words.update(chunks(text or ""))
-            parts: dict[int, list[str]] = {}
-            for word in sorted(words):
-                parts.setdefault(zlib.crc32(word.encode()) % fragments, []).append(word)
-            if parts:
-                packed = [_pack(pa.table({"word": pa.array(p, pa.string())})) for p in parts.values()]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([block] * len(parts), pa.int64()),
-                        "fragment": pa.array(list(parts), pa.int32()),
-                        "words": pa.array(packed, pa.binary()),
-                    }
+            parts = _fragment_words(rows, fragments)
+            for fragment, words in parts.items():
+                packed = _pack(pa.table({"word": pa.array(words, pa.string())}))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([fragment], pa.int32()), pa.array([packed], pa.binary())],
+                    names=["block", "fragment", "words"],
                 )
 
     return run
 
 
+def _check(words: list[str]) -> int:
+    return zlib.crc32("\0".join(words).encode())
+
+
 def _segment_fragment(model: str):
+    """Segments the distinct chunks of a fragment and answers each block: ids and their number in the block's order."""
+
     def run(table: pa.Table) -> pa.Table:
         sent = [_unpack(x).column("word").to_pylist() for x in table.column("words").to_pylist()]
-        words = sorted(set(chain.from_iterable(sent)))
-        ids = dict(zip(words, segment(model, words), strict=True))
-        kind = pa.list_(pa.int32())
-        packed = [_pack(pa.table({"word": pa.array(p, pa.string()), "ids": pa.array([ids[w] for w in p], kind)})) for p in sent]
-        return pa.table({"block": table.column("block").cast(pa.int64()), "known": pa.array(packed, pa.binary())})
+        words = list(set(chain.from_iterable(sent)))
+        ids = segment(model, words)
+        odd = {w: d for w, d in zip(words, processor(model).decode(ids, num_threads=1), strict=True) if w != d}
+        of = dict(zip(words, ids, strict=True))
+        packed = []
+        for part in sent:
+            got = [of[w] for w in part]
+            flat = np.fromiter(chain.from_iterable(got), np.int32)
+            strange = [(i, odd[w]) for i, w in enumerate(part) if w in odd]
+            packed.append(_pack(pa.table({
+                "ids": [flat.astype(np.uint16 if flat.max(initial=0) < 65536 else np.int32).tobytes()],
+                "counts": [np.fromiter(map(len, got), np.int32, len(got)).tobytes()], "check": [_check(part)],
+                "odd_at": pa.array([[i for i, _ in strange]], pa.list_(pa.int32())),
+                "odd": pa.array([[d for _, d in strange]], pa.list_(pa.string())),
+            })))
+        return pa.table({"block": table.column("block").cast(pa.int64()), "fragment": table.column("fragment").cast(pa.int32()), "known": pa.array(packed, pa.binary())})
 
     return run
 
 
-def _join_block(model: str, keys: list[str], output: str, schema: pa.Schema):
+class _Known(dict):
+    """Ids of a block's chunks in decimal; a chunk that should be missing is segmented in place."""
+
+    def __init__(self, model: str, parts: dict[int, list[str]], known: pa.Table):
+        self.model, self.odd = model, {}
+        number = [str(i) for i in range(processor(model).get_piece_size())]
+        for fragment, data in zip(known.column("fragment").to_pylist(), known.column("known").to_pylist(), strict=True):
+            words, (row,) = parts.get(fragment, []), _unpack(data).to_pylist()
+            if _check(words) != row["check"]:
+                continue
+            counts = np.frombuffer(row["counts"], np.int32)
+            kind = np.uint16 if len(row["ids"]) == 2 * counts.sum() else np.int32
+            shown = [number[i] for i in np.frombuffer(row["ids"], kind).tolist()]
+            ends = np.cumsum(counts).tolist()
+            self.update((w, " ".join(shown[a:b])) for w, a, b in zip(words, [0, *ends], ends, strict=False))
+            self.odd.update((words[i], d) for i, d in zip(row["odd_at"], row["odd"], strict=True))
+
+    def __missing__(self, word: str) -> str:
+        ids = segment(self.model, [word])[0]
+        self[word] = " ".join(map(str, ids))
+        decoded = processor(self.model).decode(ids)
+        if decoded != word:
+            self.odd[word] = decoded
+        return self[word]
+
+    def line(self, words: list[str], end: int) -> str:
+        """Ids of a text in decimal, with the end id."""
+        return " ".join([*map(self.__getitem__, words), str(end)])
+
+    def decoded(self, words: list[str]) -> str:
+        return " ".join([self.odd.get(w, w) for w in words] if self.odd else words)
+
+
+def _join_block(model: str, keys: list[str], output: str, fragments: int, schema: pa.Schema):
+    def sha(text: str) -> str:
+        return hashlib.sha256(text.encode()).hexdigest()
+
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        sp, ids, shown = processor(model), {}, {}
-        for data in known.column("known").to_pylist():
-            part = _unpack(data)
-            ids.update(zip(part.column("word").to_pylist(), part.column("ids").to_pylist(), strict=True))
-        end, made = sp.eos_id(), []
+        end, made = processor(model).eos_id(), []
         for data in texts.column("rows").to_pylist():
             rows = _unpack(data)
+            table = _Known(model, _fragment_words(rows, fragments), known)
             out: dict[str, list] = {f.name: [] for f in schema if f.name not in keys}
             for text in rows.column("_text").to_pylist():
                 words = chunks(text or "")
-                for word in words:
-                    if word not in ids:
-                        ids[word] = segment(model, [word])[0]
-                got = list(chain.from_iterable(map(ids.__getitem__, words)))
-                got.append(end)
+                line = table.line(words, end)
                 if output == "ids":
-                    out["ids"].append(got)
+                    out["ids"].append(list(map(int, line.split(" "))))
                     continue
-                out["n_tokens"].append(len(got))
-                decoded = sp.decode(got)
+                out["n_tokens"].append(line.count(" ") + 1)
                 if output == "decoded":
-                    out["decoded"].append(decoded)
-                    continue
-                for word in words:
-                    if word not in shown:
-                        shown[word] = " ".join(map(str, ids[word]))
-                line = " ".join([*map(shown.__getitem__, words), str(end)])
-                out["ids_sha256"].append(hashlib.sha256(line.encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                    out["decoded"].append(table.decoded(words))
+                else:
+                    out["ids_sha256"].append(sha(line))
+                    out["decoded_sha256"].append(sha(table.decoded(words)))
             made.append(pa.table([rows.column(k) for k in keys] + list(out.values()), names=[*keys, *out]).cast(schema))
         return pa.concat_tables(made) if made else schema.empty_table()
 
@@ -218,6 +263,6 @@ def encode(
     out = T.StructType([*rows.select(*keys).schema, *T.StructType.fromDDL(OUTPUTS[output])])
     texts = rows.mapInArrow(_send_texts(block_chars), "block long, rows binary")
     words = rows.select("_text").mapInArrow(_send_words(block_chars, fragments), "block long, fragment int, words binary")
-    known = words.groupBy("fragment").applyInArrow(_segment_fragment(model), "block long, known binary")
-    join = _join_block(model, keys, output, to_arrow_schema(out))
+    known = words.groupBy("fragment").applyInArrow(_segment_fragment(model), "block long, fragment int, known binary")
+    join = _join_block(model, keys, output, fragments, to_arrow_schema(out))
     return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(join, out)
