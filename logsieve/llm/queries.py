@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, records, voronoi
-from logsieve.llm.common import table
+from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, quotes, records, voronoi
+from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +124,42 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 @query("op5_voronoi_top_k", TOP_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(table(spark, sf_dir, "embeddings"))
+
+
+MAIL_SQL = """
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, p, len(string_split(p, ' ')) AS words FROM (
+    SELECT conv_id, turn, trim(lower(regexp_replace(part, '\\s+', ' ', 'g'))) AS p FROM (
+      SELECT conv_id, turn, unnest(regexp_split_to_array(text, '\\n[ \\t]*\\n')) AS part FROM conversations))
+  WHERE p <> ''),
+firsts AS (SELECT conv_id, p, min(turn) AS first FROM said GROUP BY ALL),
+votes AS (
+  SELECT s.conv_id, s.turn + 1 AS turn, f.first, sum(s.words) AS words
+  FROM said s JOIN firsts f ON f.conv_id = s.conv_id AND f.p = s.p GROUP BY ALL),
+parents AS (
+  SELECT c.conv_id, c.turn, arg_max(v.first, v.words * 1000000 + v.first) AS parent
+  FROM conversations c JOIN votes v ON v.conv_id = c.conv_id AND v.turn = c.turn GROUP BY ALL),
+chain AS (
+  SELECT conv_id, turn, turn AS "at", 0 AS depth FROM conversations
+  UNION ALL SELECT c.conv_id, c.turn, p.parent, c.depth + 1 FROM chain c JOIN parents p ON p.conv_id = c.conv_id AND p.turn = c."at"),
+roots AS (SELECT conv_id, turn, max(depth) AS depth, min("at") AS root FROM chain GROUP BY ALL),
+counts AS (SELECT conv_id, turn, count(*) AS n FROM said GROUP BY ALL)
+SELECT c.conv_id, c.turn, p.parent AS parent_turn, r.root AS root_turn, r.depth::INTEGER AS depth,
+  (coalesce(a.n, 0) + CASE WHEN a.n > 0 THEN coalesce(b.n, 0) ELSE 0 END)::INTEGER AS n_quoted,
+  sha256(trim(c.text, chr(32) || chr(9) || chr(10) || chr(13))) AS text_sha256
+FROM conversations c JOIN roots r ON r.conv_id = c.conv_id AND r.turn = c.turn
+LEFT JOIN parents p ON p.conv_id = c.conv_id AND p.turn = c.turn
+LEFT JOIN counts a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
+LEFT JOIN counts b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
+"""
+
+
+@query("op10_quotation_linking", MAIL_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = quotes.as_mail(table(spark, sf_dir, "conversations"))
+    linked = quotes.link(mail, key="message_id", order="turn", body="body", scope="conv_id")
+    turn = lambda c: F.element_at(F.split(c, ":"), -1).cast("long")
+    return linked.select(
+        F.col("scope").alias("conv_id"), F.col("ord").alias("turn"), turn("parent").alias("parent_turn"),
+        turn("root").alias("root_turn"), "depth", "n_quoted", sha256(F.col("own")).alias("text_sha256"),
+    )
