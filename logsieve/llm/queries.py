@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, quotes, records, voronoi
+from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, quotes, records, voronoi, warc
 from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("scope").alias("conv_id"), F.col("ord").alias("turn"), turn("parent").alias("parent_turn"),
         turn("root").alias("root_turn"), "depth", "n_quoted", sha256(F.col("own")).alias("text_sha256"),
     )
+
+
+@query("op4_warc_derivatives")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    length = F.octet_length("record").cast("long").alias("record_bytes")
+    return made.select(F.col("key").alias("page_id"), *(c for c in made.columns if c not in ("key", "record")), length, F.sha2("record", 256).alias("record_sha256"))
