@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm import chunking, jaccard, mixing, phrases, pieces, quotes, records, voronoi, warc
+from logsieve.llm import chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
 from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
     length = F.octet_length("record").cast("long").alias("record_bytes")
     return made.select(F.col("key").alias("page_id"), *(c for c in made.columns if c not in ("key", "record")), length, F.sha2("record", 256).alias("record_sha256"))
+
+
+@query("op9_language_fusion")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    rows = language.of_documents(docs).unionByName(language.of_pages(pages))
+    return language.identify(rows, language.fit(docs))
