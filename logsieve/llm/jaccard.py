@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import same, stored
+from logsieve.llm.common import WORD, same, stored
 from logsieve.llm.graphs import components
 
 N, SIMILARITY = 5, 80
@@ -64,7 +64,7 @@ def digest(grams: np.ndarray) -> bytes:
 def _send(n: int, fragments: int):
     """For each batch and fragment: low halves of the n-grams, and the document that has each (or `many` have)."""
 
-    def batch_rows(number: int, keys: list, held: list[np.ndarray]) -> Iterator[dict]:
+    def batch_rows(number: int, keys: pa.Array, marks: list[int], held: list[np.ndarray]) -> Iterator[dict]:
         digests = [digest(g) for g in held]
         sets: list[np.ndarray] = []
         own_of: dict[bytes, int] = {}
@@ -84,7 +84,7 @@ def _send(n: int, fragments: int):
         cuts = np.searchsorted(place, np.arange(fragments + 1, dtype=np.uint64))
         low = grams.astype(np.uint32)
         which = [own_of[d] for d in digests]
-        meta = pa.table({"doc_id": keys, "n": pa.array([len(g) for g in held], pa.int32()), "digest": pa.array(digests, pa.binary()),
+        meta = pa.table({"doc_id": keys, "row": pa.array(marks, pa.int64()), "n": pa.array([len(g) for g in held], pa.int32()), "digest": pa.array(digests, pa.binary()),
                          "own": pa.array(which, pa.int32()), "local": pa.array(local[which], pa.int32())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, meta.schema) as out:
@@ -96,24 +96,25 @@ def _send(n: int, fragments: int):
                 yield {"fragment": f, "batch": number, "grams": low[a:b].tobytes(), "own": own[a:b].tobytes(), "meta": sink.getvalue().to_pybytes() if f == home else None}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, keys, held, size = TaskContext.get().partitionId() << 32, [], [], 0
+        number, keys, marks, held, size = TaskContext.get().partitionId() << 32, [], [], [], 0
         kind = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = list(batch_rows(number, pa.array(keys, kind), held))
+            rows = list(batch_rows(number, pa.array(keys, kind), marks, held))
             for at in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_pylist(rows[at : at + 64], _SENT)
 
         for batch in batches:
             kind = batch.column("_key").type
-            for key, text in zip(batch.column("_key").to_pylist(), batch.column("_text"), strict=True):
+            for key, mark, text in zip(batch.column("_key").to_pylist(), batch.column("_row").to_pylist(), batch.column("_text"), strict=True):
                 grams = shingles(text.as_py(), n)
                 keys.append(key)
+                marks.append(mark)
                 held.append(grams)
                 size += len(grams)
                 if size >= BATCH or len(held) == _MANY - 1:
                     yield from flush()
-                    number, keys, held, size = number + 1, [], [], 0
+                    number, keys, marks, held, size = number + 1, [], [], [], 0
         if held:
             yield from flush()
 
@@ -146,11 +147,11 @@ def _sum_batch(table: pa.Table) -> pa.Table:
         part = np.frombuffer(data, np.uint32)
         total[: len(part)] += part
     shared = total[own] + meta.column("local").to_numpy()
-    return meta.select(["doc_id", "n", "digest"]).append_column("shared", pa.array(shared.astype(np.int32)))
+    return meta.select(["doc_id", "row", "n", "digest"]).append_column("shared", pa.array(shared.astype(np.int32)))
 
 
 def shared_counts(docs: DataFrame, n: int = N) -> DataFrame:
-    """(doc_id, n, digest, shared) for every row of (_key, _text).
+    """(doc_id, row, n, digest, shared) for every row of (_key, _row, _text).
 
     shared: how many of the n-grams another row may have. Rows with equal sets in different batches count as well,
     and so may (at one in thousands) n-grams whose hashes agree in part: it is never too low.
@@ -159,7 +160,7 @@ def shared_counts(docs: DataFrame, n: int = N) -> DataFrame:
     kind = docs.schema["_key"].dataType.simpleString()
     sent = docs.mapInArrow(_send(n, max(8, size // FRAGMENT_BYTES)), "fragment int, batch long, grams binary, own binary, meta binary")
     counts = sent.groupBy("fragment").applyInArrow(_count_fragment, "batch long, counts binary, meta binary")
-    return counts.groupBy("batch").applyInArrow(_sum_batch, f"doc_id {kind}, n int, digest binary, shared int")
+    return counts.groupBy("batch").applyInArrow(_sum_batch, f"doc_id {kind}, row long, n int, digest binary, shared int")
 
 
 def _sets(n: int):
@@ -236,8 +237,11 @@ def _rest_pairs(prefixes: DataFrame, labels: DataFrame, similarity: int) -> Data
 def groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, similarity: int = SIMILARITY
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document; `similarity` in hundredths."""
-    docs = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
+    """(doc_id, n_shingles, component_id, row, group) of every document; `similarity` in hundredths.
+
+    row: xxhash64 of key and text; group: a digest that all documents of the component share.
+    """
+    docs = docs.select(docs[key].alias("_key"), docs[text].alias("_text"), F.xxhash64(docs[key], docs[text]).alias("_row"))
     counted = stored(shared_counts(docs, n), "shared")
     classes = counted.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("least"), F.max("shared").alias("shared"), F.first("n").alias("n")
@@ -264,8 +268,25 @@ def groups(
     labels = components(links)
 
     named = sets.select("node", "digest").join(classes.select("digest", "least"), "digest").join(labels, "node")
-    least = named.groupBy("label").agg(F.min("least").alias("component"))
-    linked = named.join(least, "label").select("digest", "component")
-    every = classes.select("digest", "least").join(linked, "digest", "left").select("digest", F.coalesce("component", "least").alias("component"))
+    least = named.groupBy("label").agg(F.min("least").alias("component"), F.min("digest").alias("group"))
+    linked = named.join(least, "label").select("digest", "component", "group")
+    every = classes.select("digest", "least").join(linked, "digest", "left").select(
+        "digest", F.coalesce("component", "least").alias("component"), F.coalesce("group", "digest").alias("group")
+    )
     rows = counted.join(every, "digest", "left")
-    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"), "row", "group")
+
+
+def representatives(docs: DataFrame, n: int = N, similarity: int = SIMILARITY) -> DataFrame:
+    """The rows of `docs` (doc_id, text, ...) that stay: of each group the one with the smallest doc_id.
+
+    Rows without words all stay; a null doc_id counts as the largest; of rows with equal doc_id and text one stays.
+    """
+    found = groups(docs, n=n, similarity=similarity).where("n_shingles > 0")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
+    kept = found.groupBy("group").agg(least).select(F.col("least.row").alias("row"))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    named = rows.join(kept, F.col("_row") == F.col("row"), "left_semi").dropDuplicates(["_row"])
+    wordless = rows.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
+    return named.unionByName(wordless).select(*docs.columns)

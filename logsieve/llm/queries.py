@@ -89,7 +89,7 @@ GROUP BY d.doc_id, c.n
 
 @query("op8_jaccard_join", JACCARD_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.groups(table(spark, sf_dir, "documents"))
+    return jaccard.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op7_substring_dedup")
