@@ -199,9 +199,9 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        spans = batch.column("_spans").to_pylist()
+        spans = batch.column("__spans").to_pylist()
         new = [without(t, [(s["start_word"], s["n_words"]) for s in x]) if x else t for t, x in zip(texts, spans, strict=True)]
-        names = [n for n in batch.schema.names if n not in ("_spans", "_print")]
+        names = [n for n in batch.schema.names if n not in ("__spans", "__print")]
         columns = {n: batch.column(n) for n in names} | {"text": pa.array(new, batch.column("text").type)}
         if "n_chars" in columns:
             old, kind = columns["n_chars"].to_pylist(), columns["n_chars"].type
@@ -213,8 +213,8 @@ def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The columns of `docs` (doc_id, text, ...), texts without repeated passages; a text that was nothing else goes."""
     span = F.struct(F.col("start_word").cast("int").alias("start_word"), F.col("n_words").cast("int").alias("n_words"))
-    spans = passages(docs, least_words=least_words).groupBy("doc_id", "print").agg(F.collect_list(span).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), "print", "_spans")
-    rows = docs.withColumn("_print", F.xxhash64("text"))
-    joined = rows.join(spans, same(rows["doc_id"], F.col("_id")) & (rows["_print"] == F.col("print")), "left")
-    return joined.select(*docs.columns, "_spans").mapInArrow(_strip, docs.schema)
+    spans = passages(docs, least_words=least_words).groupBy("doc_id", "print").agg(F.collect_list(span).alias("__spans"))
+    spans = spans.select(F.col("doc_id").alias("__id"), F.col("print").alias("__other"), "__spans")
+    rows = docs.withColumn("__print", F.xxhash64("text"))
+    joined = rows.join(spans, same(rows["doc_id"], F.col("__id")) & (rows["__print"] == F.col("__other")), "left")
+    return joined.select(*docs.columns, "__spans").mapInArrow(_strip, docs.schema)

@@ -285,8 +285,8 @@ def representatives(docs: DataFrame, n: int = N, similarity: int = SIMILARITY) -
     """
     found = groups(docs, n=n, similarity=similarity).where("n_shingles > 0")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
-    kept = found.groupBy("group").agg(least).select(F.col("least.row").alias("row"))
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    named = rows.join(kept, F.col("_row") == F.col("row"), "left_semi").dropDuplicates(["_row"])
+    kept = found.groupBy("group").agg(least).select(F.col("least.row").alias("__kept"))
+    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    named = rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").dropDuplicates(["__row"])
     wordless = rows.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
     return named.unionByName(wordless).select(*docs.columns)

@@ -183,6 +183,6 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents whose language is known; others go. Rows with equal key, text, label and source go together."""
     mark = F.xxhash64("text", "lang", "source")
     rows = of_documents(docs).withColumn("_print", F.xxhash64("text", "declared", "host"))
-    good = identify(rows, fit(docs)).where("kept").select(F.col("doc_id").alias("_id"), "_print").distinct()
-    found = docs.withColumn("_mark", mark)
-    return found.join(good, found["doc_id"].eqNullSafe(F.col("_id")) & (found["_mark"] == F.col("_print")), "left_semi").select(*docs.columns)
+    good = identify(rows, fit(docs)).where("kept").select(F.col("doc_id").alias("__id"), F.col("_print").alias("__print")).distinct()
+    found = docs.withColumn("__mark", mark)
+    return found.join(good, found["doc_id"].eqNullSafe(F.col("__id")) & (found["__mark"] == F.col("__print")), "left_semi").select(*docs.columns)

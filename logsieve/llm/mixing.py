@@ -166,18 +166,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = (
         mix(docs, **options)
         .where("taken > 0")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size")
-        .agg(F.max(F.struct("rounds", "part")).alias("_most"))
-        .select("_id", "_source", "size", "_most.*")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+        .agg(F.max(F.struct(F.col("rounds").alias("__rounds"), F.col("part").alias("__part"))).alias("most"))
+        .select("__id", "__source", "__size", "most.*")
     )
     d, p = docs.alias("d"), plan.alias("p")
     words = F.size(F.regexp_extract_all(F.col("d.text"), F.lit(WORD), F.lit(0)))
-    copies = F.col("rounds") + (F.col("part") > 0).cast("long")
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col("d.text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.greatest(F.lit(1), F.col("part")).cast("int")), "")
-    whole = (F.col("copy") <= F.col("rounds")) | (F.col("part") == F.col("size"))
-    found = same(F.col("d.doc_id"), F.col("_id")) & same(F.col("d.source"), F.col("_source"))
-    rows = d.join(p, found & (F.coalesce(words, F.lit(0)) == F.col("size")))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    copies = F.col("__rounds") + (F.col("__part") > 0).cast("long")
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col("d.text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.greatest(F.lit(1), F.col("__part")).cast("int")), "")
+    whole = (F.col("__copy") <= F.col("__rounds")) | (F.col("__part") == F.col("__size"))
+    found = same(F.col("d.doc_id"), F.col("__id")) & same(F.col("d.source"), F.col("__source"))
+    rows = d.join(p, found & (F.coalesce(words, F.lit(0)) == F.col("__size")))
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
     new = F.when(whole, F.col("d.text")).otherwise(first)
     fields = [F.col(f"d.{c}") for c in docs.columns]
     fields = [new.alias("text") if c == "text" else F.length(new).cast("long").alias(c) if c == "n_chars" else f for c, f in zip(docs.columns, fields, strict=True)]
