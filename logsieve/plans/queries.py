@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +14,18 @@ from logsieve.functions.extract import (count_matches, find_all, find_records, l
 from logsieve.functions.patterns import compile_pattern
 from logsieve.functions.text import tokens
 from logsieve.operators import report
-from logsieve.operators.clauses import (clause, compound, contains, exists, find, find_not,
+from logsieve.operators.clauses import (Clause, clause, compound, contains, exists, find, find_not,
                                         regex, text, wildcard)
-from logsieve.operators.facets import facet, ordered
+from logsieve.operators.facets import facet
 from logsieve.operators.nearest import nearest, nearest_batch
 from logsieve.operators.parity import compare_keys, difference, parity
-from logsieve.operators.relevance import corpus_stats, rank
 from logsieve.operators.search import (count_hits, first, hits, resolve_limit, search, top)
 from logsieve.operators.textindex import TokenIndex, token_table
 from logsieve.plans import catalogue
-from logsieve.plans.registry import CORPUS, LOGS, PROSE, WORDS, Tables, query, tokens_sql
-from logsieve.sources import corpus as synthetic
+from logsieve.plans.registry import LOGS, PROSE, RATED, WORDS, Tables, query, tokens_sql
 from logsieve.sources import tables
 from logsieve.sources.documents import with_lower
+from logsieve.sources.logs import matching_log_lines
 
 LICENSE = "licen[cs]e"
 IP = catalogue.IP
@@ -43,40 +43,14 @@ def rounded(name: str, digits: int = 6) -> Column:
 
 # ---------------------------------------------------------------- sources and sinks
 
-@query("s02_synthetic_corpus", f"""WITH {CORPUS} SELECT doc_id, filename, class, content, seq FROM corpus""")
+@query("s02_log_documents", f"WITH {LOGS} SELECT doc_id, filename, content, type, server FROM logs")
 def _(t: Tables):
-    return t.rendered().select("doc_id", "filename", "class", "content", F.col("metadata.seq").alias("seq"))
+    return t.assembled().select("doc_id", "filename", "content", "metadata.type", "metadata.server")
 
 
-def _register_class(place: str, name: str) -> None:
-    @query(f"s02{place}_{name}_documents",
-           f"WITH {CORPUS} SELECT doc_id, content FROM corpus WHERE class = '{name}'")
-    def _(t: Tables):
-        return t.rendered().filter(F.col("class") == name).select("doc_id", "content")
-
-
-for _place, _name in zip("abcdefgh", synthetic.COMMON + synthetic.RARE):
-    _register_class(_place, _name)
-
-
-@query("s02i_random_dates", f"""WITH {CORPUS}, d AS (SELECT class, unnest(regexp_extract_all(content,
-  '2024-[0-9]{{2}}-[0-9]{{2}}')) AS day FROM corpus)
-  SELECT class, substr(day, 1, 7) AS month, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM d GROUP BY ALL""")
+@query("s03_lower_copy", "SELECT doc_id, lower(text) AS content_lc FROM documents")
 def _(t: Tables):
-    days = t.rendered().select("class", F.explode(find_all(F.col("content"), "2024-[0-9]{2}-[0-9]{2}")).alias("day"))
-    return days.groupBy("class", F.substring("day", 1, 7).alias("month")).agg(
-        F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-
-
-@query("s02j_random_addresses", f"""WITH {CORPUS} SELECT doc_id,
-  array_to_string(regexp_extract_all(content, '{IP}'), '|') AS ips FROM corpus WHERE regexp_matches(content, '{IP}')""")
-def _(t: Tables):
-    return search(t.rendered(), find("content", IP), ("doc_id", joined(find_all(F.col("content"), IP)).alias("ips")))
-
-
-@query("s03_lower_copy", f"WITH {CORPUS} SELECT doc_id, lower(content) AS content_lc FROM corpus")
-def _(t: Tables):
-    return with_lower(t.rendered()).select("doc_id", "content_lc")
+    return with_lower(t.prose()).select("doc_id", "content_lc")
 
 
 @query("s04_batch_insert", """SELECT 'documents' AS part, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents
@@ -117,13 +91,11 @@ def _(t: Tables):
     return search(t.prose(), find("content", LICENSE), ("doc_id",))
 
 
-@query("s09_field_probe", """SELECT 'text' AS field, true AS present UNION ALL SELECT 'content_lc', false""")
+@query("s09_field_probe", " UNION ALL ".join(
+    f"SELECT '{c}' AS field, coalesce(bool_or({c} IS NOT NULL), false) AS present FROM rated"
+    for c in ("doc_id", "content", "rating")).join([f"WITH {RATED} ", ""]))
 def _(t: Tables):
-    docs = t.documents
-    found = [tables.has_column(docs, name) for name in ("text", "content_lc")]
-    return docs.agg(F.count("*")).select(F.inline(F.array(
-        F.struct(F.lit("text").alias("field"), F.lit(found[0]).alias("present")),
-        F.struct(F.lit("content_lc").alias("field"), F.lit(found[1]).alias("present")))))
+    return tables.fields_present(t.rated().select("doc_id", "content", "rating"))
 
 
 @query("s10_row_count", "SELECT count(*) AS n FROM documents")
@@ -196,7 +168,7 @@ def _(t: Tables):
 
 def _keys(name: str, docs: str, sql_test: str, make) -> None:
     """A query that returns the keys of the documents a clause matches."""
-    source = {"prose": PROSE, "logs": LOGS, "corpus": CORPUS}[docs]
+    source = {"prose": PROSE, "logs": LOGS, "rated": RATED}[docs]
 
     @query(name, f"WITH {source} SELECT doc_id FROM {docs} WHERE {sql_test}")
     def _(t: Tables):
@@ -230,35 +202,28 @@ _keys("f10_email", "prose", f"regexp_matches(lower(content), '{MAIL}')",
 _keys("f11_ordered_same_line", "logs", "regexp_matches(content, 'ERROR.*69')", lambda: find("content", "ERROR.*69"))
 _keys("f11_ordered_across_lines", "logs", "regexp_matches(content, 'ERROR.*WARN', 's')",
       lambda: regex("content", "(.*)ERROR(.*)WARN(.*)"))
-_keys("f12_anchored_start", "corpus", "regexp_matches(content, '^AUDIT-EVENT.*op=DELETE', 's')",
-      lambda: regex("content", "AUDIT-EVENT(.*)op=DELETE(.*)"))
-_keys("f12_anchored_prefix", "corpus", "regexp_matches(content, '^CRIT-10[0-9]{2}', 's')",
-      lambda: regex("content", "CRIT-10[0-9]{2}.*"))
-_keys("f12_anchored_literal", "corpus", "starts_with(content, 'DEPLOY svc-api ')",
-      lambda: regex("content", "DEPLOY svc-api .*"))
-_keys("f12_anchored_both_ends", "corpus", "regexp_full_match(content, 'INFO .*unknown', 's')",
-      lambda: regex("content", "INFO .*unknown"))
-
-# Half of the languages have no content here, to show what negation does with missing values.
-SPARSE = "sparse AS (SELECT doc_id, CASE WHEN lang IN ('en', 'fr') THEN text END AS content FROM documents)"
-
+_keys("f12_anchored_start", "prose", "regexp_matches(content, '^The .*license', 's')",
+      lambda: regex("content", "The (.*)license(.*)"))
+_keys("f12_anchored_prefix", "prose", r"regexp_matches(content, '^[A-Z][a-z]{1,3}\. ', 's')",
+      lambda: regex("content", r"[A-Z][a-z]{1,3}\. .*"))
+_keys("f12_anchored_literal", "logs", "starts_with(content, 'ERROR 2024-')",
+      lambda: regex("content", "ERROR 2024-.*"))
+_keys("f12_anchored_both_ends", "prose", r"regexp_full_match(content, 'The .*\.', 's')",
+      lambda: regex("content", r"The .*\."))
 
-def _sparse(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.when(F.col("lang").isin("en", "fr"), F.col("text")).alias("content"))
 
-
-def _sparse_keys(name: str, sql_test: str, make) -> None:
-    @query(name, f"WITH {SPARSE} SELECT doc_id FROM sparse WHERE {sql_test}")
-    def _(t: Tables):
-        return search(_sparse(t), make(), ("doc_id",))
+@query("f12_anchored_pages", """SELECT page_id FROM pages WHERE starts_with(html, '<!DOCTYPE html><html lang="de"')""")
+def _(t: Tables):
+    return search(t.pages, regex("html", r'\<!DOCTYPE html\>\<html lang=\"de\".*'), ("page_id",))
 
 
-_sparse_keys("f13_find_not", "NOT coalesce(regexp_matches(content, 'licen[cs]e'), false)",
-             lambda: find_not("content", LICENSE))
-_sparse_keys("f14_must_not", "content IS NOT NULL AND NOT regexp_matches(content, 'licen[cs]e')",
-             lambda: compound(filter=[wildcard("content", "*")], must_not=[regex("content", f"(.*){LICENSE}(.*)")]))
-_sparse_keys("f15_wildcard_all", "content IS NOT NULL", lambda: wildcard("content", "*"))
-_sparse_keys("f15_wildcard_pattern", "content LIKE '%licen_e%'", lambda: wildcard("content", "*licen?e*"))
+# Documents without a label have no rating: negation and existence on values that are really missing.
+_keys("f13_find_not", "prose", "NOT regexp_matches(content, 'licen[cs]e')", lambda: find_not("content", LICENSE))
+_keys("f13_find_not_missing", "rated", "NOT coalesce(regexp_matches(rating, '1'), false)", lambda: find_not("rating", "1"))
+_keys("f14_must_not", "rated", "rating IS NOT NULL AND NOT regexp_matches(content, 'licen[cs]e')",
+      lambda: compound(filter=[wildcard("rating", "*")], must_not=[regex("content", f"(.*){LICENSE}(.*)")]))
+_keys("f15_wildcard_all", "rated", "rating IS NOT NULL", lambda: wildcard("rating", "*"))
+_keys("f15_wildcard_pattern", "prose", "content LIKE '%licen_e%'", lambda: wildcard("content", "*licen?e*"))
 _keys("f16_text_one_term", "prose", f"list_contains({tokens_sql()}, 'license')", lambda: text("content", "LICENSE"))
 _keys("f17_text_any_term", "prose", f"list_has_any({tokens_sql()}, ['license', 'gnu'])",
       lambda: text("content", "License GNU"))
@@ -294,7 +259,7 @@ _keys("c05_path_value", "prose", "regexp_matches(content, 'License')",
 _keys("c05_path_lower", "prose", "regexp_matches(lower(content), 'license')",
       lambda: clause("content", "(.*)license(.*)", "regex", on="lower"))
 _keys("c05_path_tokens", "prose", HAS_LICENSE, lambda: clause("content", "License", "text", on="tokens"))
-_sparse_keys("c06_exists", "content IS NOT NULL", lambda: exists("content"))
+_keys("c06_exists", "rated", "rating IS NOT NULL", lambda: exists("rating"))
 
 
 def bm25_sql(docs: str, terms: list[str]) -> str:
@@ -316,7 +281,7 @@ scored AS (SELECT doc_id, {score} AS score FROM counted, stats WHERE {held})"""
   WHERE contains(p.content, 'ersion')""")
 def _(t: Tables):
     docs = t.prose()
-    words = text("content", "license gnu", stats=corpus_stats(docs, "license gnu"))
+    words = text("content", "license gnu", stats=_stored_index(t).stats("license gnu"))
     both = compound(must=[words, find("content", "ersion")])
     return search(docs, both, score=True).select("doc_id", rounded("score"))
 
@@ -324,11 +289,9 @@ def _(t: Tables):
 # ---------------------------------------------------------------- joins
 
 def _stored_index(t: Tables) -> TokenIndex:
-    """The token table of the documents, stored once per application in the shared folder."""
-    path = tables.scratch_path(t.spark, f"index-{zlib.crc32(t.folder.encode()):08x}")
-    if tables.stored(t.spark, f"{path}/corpus") is None:
-        TokenIndex.of(tables.spread(t.prose())).save(path)
-    return TokenIndex.load(t.spark, path)
+    """The token table of the documents, stored in the shared folder and made anew when they change."""
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return TokenIndex.ensure(t.prose(), tables.scratch_path(t.spark, f"index-{key}"))
 
 
 @query("j01_index_semi_join", f"""WITH {PROSE} SELECT doc_id, filename FROM prose
@@ -353,7 +316,7 @@ def _(t: Tables):
 @query("j01_index_common_word", f"""WITH {PROSE} SELECT doc_id, filename FROM prose
   WHERE list_contains({tokens_sql()}, 'the')""")
 def _(t: Tables):
-    return _stored_index(t).matching(t.prose(), "the", broadcast_keys=10).select("doc_id", "filename")
+    return _stored_index(t).matching(t.prose(), "the").select("doc_id", "filename")
 
 
 def _vector(t: Tables, vec_id: int) -> list[float]:
@@ -391,7 +354,7 @@ def _(t: Tables):
   WHERE regexp_matches(content, 'licen[cs]e') GROUP BY type""")
 def _(t: Tables):
     rows = facet(t.prose(), find("content", LICENSE), "metadata.type")
-    return ordered(rows).filter(~F.col("is_total")).select("bucket", "n")
+    return rows.filter(~F.col("is_total")).select("bucket", "n")
 
 
 @query("a02_facet_total", f"""WITH {LOGS} SELECT type AS bucket, grouping(type) = 1 AS is_total, count(*) AS n
@@ -507,9 +470,7 @@ def _(t: Tables):
 @query("l04_top_by_score", f"""WITH {PROSE}, {bm25_sql('prose', ['license', 'gnu'])}
   SELECT doc_id, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, doc_id LIMIT 10""")
 def _(t: Tables):
-    docs = t.prose()
-    stats = corpus_stats(docs, "license gnu")
-    best = top(docs, text("content", "license gnu", stats=stats), 10)
+    best = top(t.prose(), text("content", "license gnu", stats=_stored_index(t).stats("license gnu")), 10)
     return best.select("doc_id", rounded("score"))
 
 
@@ -623,30 +584,6 @@ def _(t: Tables):
 
 # ---------------------------------------------------------------- vectors and ranking
 
-def _embedding_sql() -> str:
-    def uniform(salt: int) -> str:
-        a, b = synthetic.salt_multiplier(salt), synthetic.salt_multiplier(salt + 1)
-        seed = f"(((doc_id % {synthetic.PRIME} + 1) * {a} + j * {b}) % {synthetic.PRIME})"
-        return f"(({seed} * ({seed} % 46337 + 1) % {synthetic.PRIME} + 0.5::DOUBLE) / {synthetic.PRIME})"
-
-    normal = (f"sqrt(-2 * ln({uniform(synthetic.SALTS)})) * "
-              f"cos(2 * pi() * {uniform(synthetic.SALTS + 2)})")
-    return f"""WITH drawn AS (SELECT doc_id + 1 AS made_id,
-    list_transform(range(1, {synthetic.DIMENSIONS + 1}), lambda j: {normal}) AS v FROM labels),
-  sized AS (SELECT made_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM drawn)
-  SELECT made_id AS doc_id, len(v) AS n, round(v[1] / size, 5) AS first, round(v[-1] / size, 5) AS last,
-    round(list_sum(list_transform(v, lambda x: (x / size)::FLOAT::DOUBLE)), 4) AS total FROM sized"""
-
-
-@query("v01_embedding_column", _embedding_sql())
-def _(t: Tables):
-    made = synthetic.embeddings(t.labels, "doc_id")
-    vector = F.transform("embeddings", lambda x: x.cast("double"))
-    return made.select("doc_id", F.size(vector).cast("long").alias("n"), F.round(vector[0], 5).alias("first"),
-                       F.round(F.element_at(vector, -1), 5).alias("last"),
-                       F.round(F.aggregate(vector, F.lit(0.0), lambda done, x: done + x), 4).alias("total"))
-
-
 def _register_metric(name: str, metric: str, score: str) -> None:
     @query(name, f"WITH {nearest_sql(score, 10)} SELECT vec_id, round(score, 6) AS score FROM best")
     def _(t: Tables):
@@ -664,15 +601,15 @@ _register_metric("v03_nearest_euclidean", "euclidean", "0 - list_distance(embedd
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
   SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 5""")
 def _(t: Tables):
-    asked = t.embeddings.filter(F.col("vec_id").isin(0, 7, 42)).collect()
-    best = nearest_batch(t.embeddings, {row["vec_id"]: row["embedding"] for row in asked}, 5)
+    asked = t.embeddings.filter(F.col("vec_id").isin(0, 7, 42))
+    best = nearest_batch(t.embeddings, asked, 5)
     return best.select("query_id", "vec_id", "rank", rounded("score"))
 
 
 @query("v04_bm25", f"""WITH {PROSE}, {bm25_sql('prose', ['license', 'gnu', 'software'])}
   SELECT doc_id, round(score, 6) AS score FROM scored""")
 def _(t: Tables):
-    return rank(t.prose(), "license GNU software").select("doc_id", rounded("score"))
+    return _stored_index(t).rank("license GNU software").select("doc_id", rounded("score"))
 
 
 @query("v04_bm25_from_index", f"""WITH {PROSE}, {bm25_sql('prose', ['license', 'gnu'])}
@@ -733,27 +670,24 @@ def _(t: Tables):
     return catalogue.error_dates(t.logs()).select("doc_id", "filename", "content", "metadata.type")
 
 
-EMAIL_SQL = r"[A-Za-z]+@[A-Za-z]+\.(?:com|org)"
-
-
-@query("ex02_emails", f"""WITH {CORPUS} SELECT doc_id, content, 1.0::DOUBLE AS score,
-  array_to_string(regexp_extract_all(content, '{EMAIL_SQL}', 0, 'i'), '|') AS emails FROM corpus
-  WHERE regexp_matches(lower(content), '[a-z]+@[a-z]+\\.(com|org)')""")
+@query("ex02_emails", f"""WITH {PROSE} SELECT doc_id, content, 1.0::DOUBLE AS score,
+  array_to_string(regexp_extract_all(content, '{MAIL}', 0, 'i'), '|') AS emails FROM prose
+  WHERE regexp_matches(lower(content), '{MAIL}')""")
 def _(t: Tables):
-    return catalogue.emails(t.corpus()).select(
+    return catalogue.emails(t.prose(), pattern=f"(.*){MAIL}(.*)", extracted=MAIL).select(
         "doc_id", "content", "score", joined(F.col("matched_emails.match")).alias("emails"))
 
 
-@query("ex03_json_port", f"""WITH {CORPUS} SELECT doc_id, content, 1.0::DOUBLE AS score FROM corpus
-  WHERE regexp_matches(content, '"port":[ ]*5432')""")
+@query("ex03_json_field", f"""WITH {LOGS} SELECT doc_id, content, 1.0::DOUBLE AS score FROM logs
+  WHERE regexp_matches(content, '{KEY69}')""")
 def _(t: Tables):
-    return catalogue.json_port(t.corpus()).select("doc_id", "content", "score")
+    return catalogue.json_field(t.logs(), pattern=r'(.*)(\"k\":[ ]*69)(.*)').select("doc_id", "content", "score")
 
 
-@query("ex04_trouble", f"""WITH {CORPUS} SELECT doc_id, content, 1.0::DOUBLE AS score FROM corpus
+@query("ex04_trouble", f"""WITH {LOGS} SELECT doc_id, content, 1.0::DOUBLE AS score FROM logs
   WHERE regexp_matches(content, '(Exception|Error|WARN)')""")
 def _(t: Tables):
-    return catalogue.trouble(t.corpus()).select("doc_id", "content", "score")
+    return catalogue.trouble(t.logs()).select("doc_id", "content", "score")
 
 
 @query("ex05_error_lines", f"""WITH {LOGS} SELECT doc_id, type, array_to_string(
@@ -761,15 +695,16 @@ def _(t: Tables):
   len(regexp_extract_all(content, 'ERROR')) AS error_count, 1.0::DOUBLE AS score
   FROM logs WHERE contains(content, 'ERROR')""")
 def _(t: Tables):
-    return catalogue.error_lines(t.assembled()).select(
-        "doc_id", "metadata.type", joined(F.col("error_lines"), "\n").alias("error_lines"), "error_count", "score")
+    found = matching_log_lines(t.events, lambda line: line.contains("ERROR"), lambda line: count_matches(line, "ERROR"))
+    return found.select("doc_id", "metadata.type", joined(F.col("lines"), "\n").alias("error_lines"),
+                        F.col("n").alias("error_count"), F.lit(1.0).alias("score"))
 
 
-@query("ex06_addresses", f"""WITH {CORPUS} SELECT doc_id,
-  array_to_string(regexp_extract_all(content, '{IP}'), '|') AS ips, 1.0::DOUBLE AS score FROM corpus
+@query("ex06_addresses", f"""WITH {PROSE} SELECT doc_id,
+  array_to_string(regexp_extract_all(content, '{IP}'), '|') AS ips, 1.0::DOUBLE AS score FROM prose
   WHERE regexp_matches(content, '{IP}')""")
 def _(t: Tables):
-    return catalogue.addresses(t.corpus()).select(
+    return catalogue.addresses(t.prose()).select(
         "doc_id", joined(F.col("ip_addresses.match")).alias("ips"), "score")
 
 
@@ -787,10 +722,22 @@ def _(t: Tables):
     return catalogue.text_against_regex(t.logs())
 
 
-@query("ex09_trouble_by_type", f"""WITH {CORPUS} SELECT class AS bucket, grouping(class) = 1 AS is_total, count(*) AS n
-  FROM corpus WHERE regexp_matches(content, '(Exception|Error|WARN)') GROUP BY ROLLUP (class)""")
+@query("ex08_text_hits", f"""WITH {LOGS}, {bm25_sql('logs', ['error'])} SELECT s.doc_id, filename, type, server,
+  round(s.score, 6) AS score FROM scored s JOIN logs USING (doc_id)""")
 def _(t: Tables):
-    return catalogue.trouble_by_type(t.corpus(), "class")
+    return catalogue.text_hits(t.logs()).select("doc_id", "filename", "metadata.type", "metadata.server", rounded("score"))
+
+
+@query("ex08_regex_hits", f"""WITH {LOGS} SELECT doc_id, filename, type, server, 1.0::DOUBLE AS score FROM logs
+  WHERE contains(content, 'ERROR')""")
+def _(t: Tables):
+    return catalogue.regex_hits(t.logs()).select("doc_id", "filename", "metadata.type", "metadata.server", "score")
+
+
+@query("ex09_trouble_by_type", f"""WITH {LOGS} SELECT type AS bucket, grouping(type) = 1 AS is_total, count(*) AS n
+  FROM logs WHERE regexp_matches(content, '(Exception|Error|WARN)') GROUP BY ROLLUP (type)""")
+def _(t: Tables):
+    return catalogue.trouble_by_type(t.logs())
 
 
 @query("ex10_warn_dates", f"""WITH {LOGS} SELECT doc_id, content, 1.0::DOUBLE AS score FROM logs
@@ -799,40 +746,61 @@ def _(t: Tables):
     return catalogue.warn_dates(t.logs()).select("doc_id", "content", "score")
 
 
-def _scenario_sql(s: catalogue.Scenario) -> str:
-    """The strategies of a scenario in SQL, written from its find pattern."""
-    lowered = f"regexp_matches(lower(content), '{s.find}', 's')"
-    plain = f"regexp_matches(content, '{s.find}', 's')"
-    anchored = f"regexp_matches(content, '^{s.find}', 's')"
-    whole = lowered if s.on == "lower" else plain if s.whole.startswith("(.*)") else anchored
-    base = f"regexp_matches(content, '{s.find}'{', ' + repr('i') if s.options else ''})"
-    forms = {"whole": whole}
-    if s.negated:
-        base, forms = f"NOT {base}", {"whole": f"NOT {whole}"}
-
-    def words(query: str) -> str:
-        return f"list_has_any({tokens_sql()}, [{', '.join(repr(w) for w in query.lower().split())}])"
-
-    if s.words:
-        forms["compound"] = f"{words(s.words)} AND {whole}"
-    if s.only_words:
-        forms["text"] = words(s.only_words)
-    tests = ", ".join(f"({test}) AS s{i}" for i, test in enumerate(forms.values()))
-    rows = " UNION ALL ".join(
-        f"""SELECT '{name}' AS strategy, count(*) FILTER (s{i}) AS hits, count(*) FILTER (b) AS baseline_hits,
-        count(*) FILTER (b AND NOT s{i}) AS only_baseline, count(*) FILTER (s{i} AND NOT b) AS only_strategy,
-        count(*) FILTER (b <> s{i}) = 0 AS same FROM h""" for i, name in enumerate(forms))
-    return f"WITH {CORPUS}, h AS (SELECT ({base}) AS b, {tests} FROM corpus) {rows}"
+# The benchmark scenarios. Each compares strategies with the unanchored pattern on a table that has hits.
 
+def _words_sql(*words: str) -> str:
+    return f"list_has_any({tokens_sql()}, [{', '.join(map(repr, words))}])"
 
-def _register_scenario(number: int, scenario: catalogue.Scenario) -> None:
-    @query(f"scenario{number:02d}_strategies", _scenario_sql(scenario))
-    def _(t: Tables):
-        return catalogue.scenario_report(t.corpus(), scenario)
 
+def _strategies(name: str, docs: str, base: tuple, forms: dict[str, tuple]) -> None:
+    """Registers a report of ``(clause, SQL test)`` pairs on log documents or prose."""
+    source = {"prose": PROSE, "logs": LOGS}[docs]
+    tests = ", ".join(f"({test}) AS s{i}" for i, (_, test) in enumerate(forms.values()))
+    rows = " UNION ALL ".join(
+        f"""SELECT '{form}' AS strategy, count(*) FILTER (s{i}) AS hits, count(*) FILTER (b) AS baseline_hits,
+        count(*) FILTER (b AND NOT s{i}) AS only_baseline, count(*) FILTER (s{i} AND NOT b) AS only_strategy,
+        count(*) FILTER (b <> s{i}) = 0 AS same FROM h""" for i, form in enumerate(forms))
 
-for _number, _scenario in enumerate(catalogue.SCENARIOS, start=1):
-    _register_scenario(_number, _scenario)
+    @query(name, f"WITH {source}, h AS (SELECT ({base[1]}) AS b, {tests} FROM {docs}) {rows}")
+    def _(t: Tables):
+        return parity(getattr(t, docs)(), base[0](), {form: make() for form, (make, _) in forms.items()})
+
+
+def _both(pattern: str, words: str) -> Callable[[], Clause]:
+    return lambda: compound(filter=[text("content", words)], must=[regex("content", pattern)])
+
+
+ALTERNATION, DATED = "regexp_matches(content, '(Exception|Error|WARN)')", f"regexp_matches(content, '{DATE}')"
+_strategies("scenario01_strategies", "logs", (lambda: find("content", "ERROR"), "contains(content, 'ERROR')"), {
+    "whole": (lambda: regex("content", "(.*)ERROR(.*)"), "contains(content, 'ERROR')"),
+    "compound": (_both("(.*)ERROR(.*)", "ERROR"), f"{_words_sql('error')} AND contains(content, 'ERROR')"),
+    "text": (lambda: text("content", "ERROR"), _words_sql("error"))})
+_strategies("scenario02_strategies", "logs", (lambda: find("content", DATE), DATED), {
+    "whole": (lambda: regex("content", f"(.*){DATE}(.*)"), DATED)})
+_strategies("scenario03_strategies", "prose", (lambda: find("content", "license", "i"), "regexp_matches(content, 'license', 'i')"), {
+    "whole": (lambda: regex("content", "(.*)license(.*)", on="lower"), "contains(lower(content), 'license')"),
+    "compound": (lambda: compound(filter=[text("content", "license")], must=[regex("content", "(.*)license(.*)", on="lower")]),
+                 f"{_words_sql('license')} AND contains(lower(content), 'license')")})
+_strategies("scenario04_strategies", "logs", (lambda: find("content", "(Exception|Error|WARN)"), ALTERNATION), {
+    "whole": (lambda: regex("content", catalogue.TROUBLE), ALTERNATION),
+    "compound": (_both(catalogue.TROUBLE, "Exception Error WARN"), f"{_words_sql('exception', 'error', 'warn')} AND {ALTERNATION}")})
+_strategies("scenario05_strategies", "prose", (lambda: find("content", IP), HAS_IP), {
+    "whole": (lambda: regex("content", f"(.*){IP}(.*)"), HAS_IP)})
+_strategies("scenario06_strategies", "logs", (lambda: find("content", '"k":[ ]*[0-9]+'), """regexp_matches(content, '"k":[ ]*[0-9]+')"""), {
+    "whole": (lambda: regex("content", r'(.*)(\"k\":[ ]*[0-9]+)(.*)'), """regexp_matches(content, '"k":[ ]*[0-9]+')""")})
+_strategies("scenario07_strategies", "logs", (lambda: find("content", "ERROR.*69"), "regexp_matches(content, 'ERROR.*69')"), {
+    "whole": (lambda: regex("content", "(.*)ERROR(.*)69(.*)"), "regexp_matches(content, 'ERROR.*69', 's')"),
+    "compound": (_both("(.*)ERROR(.*)69(.*)", "69"), f"{_words_sql('69')} AND regexp_matches(content, 'ERROR.*69', 's')")})
+_strategies("scenario08_strategies", "logs", (lambda: find("content", "ERROR.*WARN", "s"), "regexp_matches(content, 'ERROR.*WARN', 's')"), {
+    "whole": (lambda: regex("content", "ERROR(.*)WARN(.*)"), "regexp_matches(content, '^ERROR.*WARN', 's')"),
+    "compound": (_both("ERROR(.*)WARN(.*)", "ERROR WARN"), f"{_words_sql('error', 'warn')} AND regexp_matches(content, '^ERROR.*WARN', 's')")})
+GNU = "GNU General Public License, version [0-9]"
+_strategies("scenario09_strategies", "prose", (lambda: find("content", GNU), f"regexp_matches(content, '{GNU}')"), {
+    "whole": (lambda: regex("content", f"(.*){GNU}(.*)"), f"regexp_matches(content, '{GNU}')"),
+    "compound": (_both(f"(.*){GNU}(.*)", "GNU version"), f"{_words_sql('gnu', 'version')} AND regexp_matches(content, '{GNU}')")})
+_strategies("scenario10_strategies", "logs", (lambda: find_not("content", "ERROR"), "NOT contains(content, 'ERROR')"), {
+    "whole": (lambda: compound(filter=[wildcard("content", "*")], must_not=[regex("content", "(.*)ERROR(.*)")]),
+              "NOT contains(content, 'ERROR')")})
 
 
 def _load_sql() -> str:
@@ -847,10 +815,10 @@ def _load_sql() -> str:
     tests |= {f"text/{n}": word(w) for n, w in catalogue.LOAD_TEXT}
     tests |= {f"search_must_not/{n}": f"NOT regexp_full_match(content, '{p}', 's')"
               for n, p in catalogue.LOAD_WHOLE_NOT}
-    return f"WITH {CORPUS} " + " UNION ALL ".join(
-        f"SELECT '{name}' AS name, count(*) FILTER ({test}) AS hits FROM corpus" for name, test in tests.items())
+    return f"WITH {LOGS} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) FILTER ({test}) AS hits FROM logs" for name, test in tests.items())
 
 
 @query("load_catalogue_hits", _load_sql())
 def _(t: Tables):
-    return catalogue.hit_counts(t.corpus(), catalogue.load_clauses())
+    return catalogue.hit_counts(t.logs(), catalogue.load_clauses())

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logsieve.sources import corpus as c
 from logsieve.sources.documents import prose
-from logsieve.sources.logs import EVENTS_PER_FILE, log_documents
-from logsieve.sources.tables import ensure_table, read_table, scratch_path, spread
+from logsieve.sources.logs import log_documents
+from logsieve.sources.tables import ensure_table, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,17 +38,14 @@ class Tables:
         """The same documents, put together once and then scanned like any table."""
         return self.loaded("logs", self.assembled)
 
-    def rendered(self) -> DataFrame:
-        """One synthetic document per event, rendered in place."""
-        return c.synthetic(self.events, "event_id")
-
-    def corpus(self) -> DataFrame:
-        """The same documents, loaded once and then scanned like any table."""
-        return self.loaded("corpus", lambda: c.synthetic(spread(self.events.select("event_id")), "event_id"))
+    def rated(self) -> DataFrame:
+        """The documents with their label's quality as text; a document without a label has none."""
+        labels = self.labels.select("doc_id", F.col("quality").cast("string").alias("rating"))
+        return self.prose().join(labels, "doc_id", "left")
 
     def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = scratch_path(self.spark, f"{name}-{zlib.crc32(self.folder.encode()):08x}")
-        return ensure_table(self.spark, path, build, reuse=True)
+        key = hashlib.sha256(self.folder.encode()).hexdigest()
+        return ensure_table(self.spark, scratch_path(self.spark, f"{name}-{key}"), build)
 
 
 def query(name: str, sql: str | None = None):
@@ -69,84 +66,17 @@ WORDS = r"'[\p{L}\p{M}\p{N}_]+'"
 PROSE = """prose AS (SELECT doc_id, source || '/' || doc_id || '.txt' AS filename, text AS content,
   lang AS type, source AS server FROM documents)"""
 
-LOGS = f"""log_lines AS (SELECT event_id, ts, user_id, CAST(ts AS DATE) AS d, event_id // {EVENTS_PER_FILE} AS part,
+# A log is what one user did on one day, a line per event, in time order.
+LOGS = """log_lines AS (SELECT event_id, ts, user_id, CAST(ts AS DATE) AS d,
   CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END || ' ' ||
   strftime(ts, '%Y-%m-%d %H:%M:%S') || ' user ' || user_id || ' ' || props AS line FROM events),
-logs AS (SELECT user_id || '_' || d || '_' || part AS doc_id, user_id || '_' || d || '_' || part || '.log' AS filename,
+logs AS (SELECT user_id || '_' || d AS doc_id, user_id || '_' || d || '.log' AS filename,
   string_agg(line, chr(10) ORDER BY ts, event_id) AS content, CAST(d AS VARCHAR) AS type, 'user-' || user_id AS server
-  FROM log_lines GROUP BY user_id, d, part)"""
+  FROM log_lines GROUP BY user_id, d)"""
+
+RATED = """rated AS (SELECT d.doc_id, d.text AS content, CAST(l.quality AS VARCHAR) AS rating
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
 def tokens_sql(value: str = "content") -> str:
     return f"regexp_extract_all(lower({value}), {WORDS})"
-
-
-def _below(n: int, salt: int) -> str:
-    return f"(r[{salt + 1}] % {n})"
-
-
-def _between(low: int, high: int, salt: int) -> str:
-    return f"({_below(high - low + 1, salt)} + {low})"
-
-
-def _choice(words: list[str], salt: int) -> str:
-    return f"([{', '.join(repr(w) for w in words)}])[{_below(len(words), salt)} + 1]"
-
-
-def _date(salt: int) -> str:
-    return (f"printf('2024-%02d-%02d %02d:%02d:%02d', {_between(1, 12, salt)}, {_between(1, 28, salt + 1)}, "
-            f"{_between(0, 23, salt + 2)}, {_between(0, 59, salt + 3)}, {_between(0, 59, salt + 4)})")
-
-
-def _ip(salt: int) -> str:
-    return f"({_choice(c.IP_PREFIXES, salt)} || {_between(1, 254, salt + 1)})"
-
-
-def _lines(lines: list[str], count: str) -> str:
-    return f"array_to_string(([{', '.join(lines)}])[1:{count}], chr(10))"
-
-
-def corpus_sql(ids: str = "SELECT event_id AS i FROM events") -> str:
-    """CTEs ``drawn`` and ``corpus`` for a query of row numbers ``i``."""
-    factors = ", ".join(str(c.salt_multiplier(s)) for s in range(c.SALTS))
-    first = f"((i % {c.PRIME} + 1) * f) % {c.PRIME}"
-    log_lines = [f"{_choice(c.LEVELS, s)} || ' ' || {_date(s + 1)} || ' ' || {_choice(c.USERS, s + 6)} || ' on ' || "
-                 f"{_choice(c.SERVERS, s + 7)}" for s in range(1, 41, 8)]
-    logins = [f"'INFO ' || {_date(s)} || ' User ' || {_choice(c.USERS, s + 5)} || ' logged in from ' || {_ip(s + 6)}"
-              for s in range(1, 33, 8)]
-    users = [f"""'{{"id": {j + 1}, "email": "' || ([{', '.join(repr(e) for e in c.EMAILS)}])"""
-             f"""[({_below(4, 0)} + ({_below(2, 1)} * 2 + 1) * {j}) % 4 + 1] || '"}}'""" for j in range(3)]
-    content = {
-        "log": _lines(log_lines, _between(2, 5, 0)),
-        "config": f"""'{{"database": {{"host": "localhost", "port": ' || {_choice(c.PORTS, 0)} || ', "username": "' ||
-          {_choice(c.USERS, 1)} || '"}}, "cache": {{"enabled": true, "ttl": ' || {_between(300, 7200, 2)} || '}}}}'""",
-        "api": f"""'{{"status": "success", "data": {{"users": [' ||
-          array_to_string(([{', '.join(users)}])[1:{_between(1, 3, 2)}], ', ') || ']}}}}'""",
-        "access": f"""{_lines(logins, _between(2, 4, 0))} || CASE WHEN {_below(100, 33)} < {c.WARN_PERCENT}
-          THEN chr(10) || 'WARN ' || {_date(34)} || ' Failed login attempt for user unknown' ELSE '' END""",
-        "trace": f"""'Stack trace: ' || {_choice(c.EXCEPTIONS, 0)} || ' at com.app.Service.process(Service.java:' ||
-          {_between(10, 200, 1)} || ')' || chr(10) || 'Caused by: ' || {_choice(c.EXCEPTIONS, 2)} ||
-          ' at com.app.Validator.check(Validator.java:' || {_between(10, 200, 3)} || ')'""",
-        "crit": f"""'CRIT-' || {_between(1000, 1049, 0)} || ' ' || {_date(1)} || ' severity=critical host=' ||
-          {_choice(c.SERVERS, 6)} || ' msg="disk usage threshold exceeded ' || {_between(80, 99, 7)} || '%" pid=' ||
-          {_between(1000, 9999, 8)}""",
-        "audit": f"""'AUDIT-EVENT ' || {_date(0)} || ' uid=' || {_between(1000, 9999, 5)} || ' op=' ||
-          {_choice(c.OPERATIONS, 6)} || ' resource=/api/users/' || {_between(1, 999, 7)} || ' svc=' ||
-          {_choice(c.SERVICES, 8)} || ' ip=' || {_ip(9)}""",
-        "deploy": f"""'DEPLOY ' || {_choice(c.SERVICES, 0)} || ' v' || {_between(1, 5, 1)} || '.' ||
-          {_between(0, 12, 2)} || '.' || {_between(0, 20, 3)} || ' env=' || {_choice(c.ENVIRONMENTS, 4)} ||
-          ' region=' || {_choice(c.REGIONS, 5)} || ' commit=' ||
-          printf('%04x%04x', {_below(65536, 6)}, {_below(65536, 7)}) ||
-          ' triggered_by=' || {_choice(c.USERS, 8)} || ' ts=' || {_date(9)}""",
-    }
-    cases = "\n".join(f"WHEN '{name}' THEN {text}" for name, text in content.items())
-    rare = " ".join(f"WHEN {place} THEN '{name}'" for place, name in enumerate(c.RARE))
-    return f"""drawn AS (SELECT i, CASE i % {c.RARE_EVERY} {rare}
-    ELSE ([{', '.join(repr(n) for n in c.COMMON)}])[i % {len(c.COMMON)} + 1] END AS class,
-  list_transform([{factors}], lambda f: ({first}) * (({first}) % 46337 + 1) % {c.PRIME}) AS r
-  FROM ({ids})),
-corpus AS (SELECT i + 1 AS doc_id, printf('doc_%05d.txt', i + 1) AS filename, i + 1 AS seq, class,
-  CASE class {cases} END AS content FROM drawn)"""
-
-
-CORPUS = corpus_sql()

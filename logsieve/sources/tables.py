@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Callable, Iterable
 
@@ -9,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OWN: dict[str, str] = {}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Full scan of one table of a folder."""
@@ -18,16 +22,18 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: the cluster's checkpoint folder.
 
-    Only where none is named, as in a test session, is a local folder taken.
+    Only where none is named and everything runs on one machine, as in a test session, is a
+    temporary folder taken; it goes when the program ends. No setting is changed.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="logsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _OWN:
+        _OWN["folder"] = tempfile.mkdtemp(prefix="logsieve-")
+        atexit.register(shutil.rmtree, _OWN["folder"], ignore_errors=True)
+    return _OWN["folder"]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -35,16 +41,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/logsieve-{spark.sparkContext.applicationId}/{name}"
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores before heavy work on each; a table with enough parts is left alone.
-
-    Small files come as one or two parts. Large tables have more parts than cores and are not
-    shuffled. Meant for plain scans: asking a plan with shuffles for its parts would run them.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def append(rows: DataFrame, path: str) -> None:
     """Add a batch of rows; every task writes its own file."""
     rows.write.mode("append").parquet(path)
@@ -60,6 +56,13 @@ def has_column(table: DataFrame, name: str) -> bool:
     return name in table.columns and not table.filter(F.col(name).isNotNull()).select(name).limit(1).isEmpty()
 
 
+def fields_present(table: DataFrame) -> DataFrame:
+    """``field, present`` for every column: whether any row has a value in it, from one scan."""
+    found = table.agg(*[F.coalesce(F.bool_or(F.col(c).isNotNull()), F.lit(False)).alias(c) for c in table.columns])
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(c).alias("present")) for c in table.columns])))
+
+
 def row_count(table: DataFrame) -> int:
     """Exact count; for plain parquet it is read from the file footers."""
     return table.count()
@@ -72,25 +75,55 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def source_state(rows: DataFrame) -> str:
+    """What the frame is read from: a digest of its files with their sizes and times.
+
+    The files are listed by Spark, on whatever store they are; no content is read.
+    """
+    files = rows.inputFiles()
+    if not files:
+        return "none"
+    listed = rows.sparkSession.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
+    state = listed.agg(F.count(F.lit(1)).alias("n"),
+                       F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("sum")).first()
+    return f"{state['n']} files, {state['sum']}"
+
+
+def write_manifest(rows: DataFrame, path: str, state: str, written: DataFrame) -> None:
+    """Written last: without it a table is unfinished."""
+    line = [(state, written.schema.json(), written.count())]
+    rows.sparkSession.createDataFrame(line, "source string, layout string, n long").coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}.manifest")
+
+
+def is_current(spark: SparkSession, path: str, state: str) -> bool:
+    """Whether the table at the path is complete, unchanged and made from sources in that state."""
+    table, manifest = stored(spark, path), stored(spark, f"{path}.manifest")
+    if table is None or manifest is None:
+        return False
+    line = manifest.first()
+    return line is not None and (line["source"], line["layout"], line["n"]) == (
+        state, table.schema.json(), table.count())
+
+
 def ensure_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                  expected_rows: int | None = None, required_columns: Iterable[str] = (),
-                 reset: bool = False, reuse: bool = False) -> DataFrame:
+                 reset: bool = False) -> DataFrame:
     """The stored table when it still fits, else a rebuilt one.
 
-    It fits when it has rows and values in all required columns and, unless ``reuse`` accepts
-    any size, the expected number of rows. ``reset`` always rebuilds.
+    It fits when its manifest says that it was finished from the same files in the same state,
+    its columns and rows are those that were written, it has the expected number of rows, if one
+    is given, and values in all required columns. ``reset`` always rebuilds.
     """
-    table = None if reset else stored(spark, path)
-    if table is not None and _fits(table, expected_rows, required_columns, reuse):
-        return table
-    rebuild(build(), path)
-    return spark.read.parquet(path)
-
-
-def _fits(table: DataFrame, expected_rows: int | None, required_columns: Iterable[str],
-          reuse: bool) -> bool:
-    if not all(has_column(table, c) for c in required_columns):
-        return False
-    if reuse or expected_rows is None:
-        return not table.isEmpty()
-    return row_count(table) == expected_rows
+    rows = build()
+    state = source_state(rows)
+    if not reset and is_current(spark, path, state):
+        table = spark.read.parquet(path)
+        fits = expected_rows is None or row_count(table) == expected_rows
+        if fits and all(has_column(table, c) for c in required_columns):
+            return table
+    rebuild(spark.createDataFrame([], "source string, layout string, n long"), f"{path}.manifest")
+    rebuild(rows, path)
+    table = spark.read.parquet(path)
+    write_manifest(rows, path, state, table)
+    return table

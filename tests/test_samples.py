@@ -7,7 +7,7 @@ from logsieve.operators.clauses import compound, find, regex, text
 from logsieve.operators.facets import facet, ordered
 from logsieve.operators.search import search
 from logsieve.plans import catalogue
-from logsieve.sources.samples import sample_documents
+from samples import sample_documents
 
 ERRORS = {"server_logs.txt", "nginx_access.log", "firewall_events.txt", "k8s_events.txt", "cicd_pipeline.log",
           "critical_alerts.txt", "smtp_delivery.log", "user_management.log", "service_mesh.log",
@@ -54,7 +54,7 @@ def test_example_2(docs):
 
 
 def test_example_3(docs):
-    assert names(catalogue.json_port(docs)) == {"config.json"}
+    assert names(catalogue.json_field(docs)) == {"config.json"}
 
 
 def test_example_4(docs):
@@ -84,6 +84,10 @@ def test_example_7(docs):
 def test_example_8(docs):
     row = catalogue.text_against_regex(docs).first()
     assert (row["hits"], row["baseline_hits"], row["same"]) == (11, 11, True)
+    words, patterns = catalogue.text_hits(docs), catalogue.regex_hits(docs)
+    assert names(words) == names(patterns) == ERRORS
+    assert words.columns == patterns.columns == ["doc_id", "filename", "metadata", "score"]
+    assert {r["score"] for r in patterns.collect()} == {1.0} and min(r["score"] for r in words.collect()) > 0
 
 
 def test_example_9(docs):
