@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsieve.functions.vectors import METRICS, similarity
+from logsieve.functions.vectors import METRICS, norm, similarity
 
-# Query vectors travel inside the plan; this many numbers (0.8 MB) at most in one pass.
-NUMBERS_PER_PASS = 100_000
+# Blocks of queries and slices of vectors that a batch is cut into; every block meets every slice.
+BLOCKS, SLICES = 8, 8
 
 
 def _vector(numbers: Sequence[float]) -> Column:
@@ -45,39 +45,25 @@ def nearest(vectors: DataFrame, query: Sequence[float], k: int, metric: str = "c
     return scored.filter(F.col("score").isNotNull()).orderBy(F.desc("score"), F.asc(key)).limit(k)
 
 
-def nearest_batch(vectors: DataFrame, queries: dict[int, Sequence[float]], k: int,
-                  metric: str = "cosine", key: str = "vec_id",
-                  column: str = "embedding") -> DataFrame:
-    """Rows ``(query_id, key, score, rank)``: the ``k`` best vectors for each query.
+def nearest_batch(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", key: str = "vec_id",
+                  column: str = "embedding", blocks: int = BLOCKS, slices: int = SLICES) -> DataFrame:
+    """Rows ``(query_id, key, score, rank)``: the ``k`` best vectors for each row of ``queries``.
 
-    All queries of a pass are scored in one scan. The rank limit applies inside each task
-    before the shuffle, so at most ``k`` rows per query and task are moved. Query sets too
-    large for one plan are answered in several passes.
+    Queries, with the same columns as the vectors, are a table of any size: they are cut into
+    blocks and the vectors into slices, and each pair of them is scored in one place. The rank
+    limit applies inside each task before the shuffle, so at most ``k`` rows per query and task
+    are moved. A query meets only vectors of its own size.
     """
     _check(metric, k)
-    if not queries:
-        raise ValueError("no query vectors")
-    sizes = {len(v) for v in queries.values()}
-    if len(sizes) != 1:
-        raise ValueError("query vectors differ in size")
-    per_pass = max(1, NUMBERS_PER_PASS // sizes.pop())
-    items = list(queries.items())
-    passes = [_one_pass(vectors, dict(items[i:i + per_pass]), k, metric, key, column)
-              for i in range(0, len(items), per_pass)]
-    answer = passes[0]
-    for rows in passes[1:]:
-        answer = answer.unionByName(rows)
-    return answer
-
-
-def _one_pass(vectors, queries, k, metric, key, column) -> DataFrame:
-    size = len(next(iter(queries.values())))
-    scores = F.array(*[
-        F.struct(F.lit(int(name)).cast("long").alias("query_id"),
-                 _score(column, query, metric).alias("score"))
-        for name, query in queries.items()])
-    scored = (vectors.filter(F.size(column) == size).select(key, F.inline(scores))
-              .filter(F.col("score").isNotNull()))
+    asked = queries.select(F.col(key).cast("long").alias("query_id"), F.col(column).alias("query"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    found = vectors.select(key, column).withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = found.join(asked, ["block", "slice"]).filter(F.size(column) == F.size("query"))
+    query = F.transform("query", lambda x: x.cast("double"))
+    scored = pairs.select("query_id", key, similarity(F.col(column), query, metric, norm(F.col("query"))).alias("score"))
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(key))
-    ranked = scored.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
+    ranked = (scored.filter(F.col("score").isNotNull()).withColumn("rank", F.row_number().over(best_first))
+              .filter(F.col("rank") <= k))
     return ranked.select("query_id", key, "score", F.col("rank").cast("long").alias("rank"))

@@ -58,7 +58,7 @@ def corpus_stats(docs: DataFrame, query: str, content: str = "content") -> Corpu
 
 def rank(docs: DataFrame, query: str, limit: int = 0, mode: str = "any",
          content: str = "content", key: str = "doc_id") -> DataFrame:
-    """Documents with the query's words and their BM25 score, best first, ties by key.
+    """Documents with the query's words and their BM25 score; with a limit the best, ties by key.
 
     Only hits are cut into words for scoring; the statistics still need one pass over all
     documents. A stored token table (``textindex``) saves that pass.
@@ -68,5 +68,4 @@ def rank(docs: DataFrame, query: str, limit: int = 0, mode: str = "any",
     found = (docs.filter(has_words(F.col(content), query, mode))
              .select(key, tokens(F.col(content)).alias("words")))
     scored = found.select(key, stats.score(F.col("words"), terms).alias("score"))
-    ordered = scored.orderBy(F.desc("score"), F.asc(key))
-    return ordered.limit(limit) if limit else ordered
+    return scored.orderBy(F.desc("score"), F.asc(key)).limit(limit) if limit else scored

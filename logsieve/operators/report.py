@@ -11,10 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets into which exact_percentiles splits each large group.
-BUCKETS = 1024
-# Groups of up to this many samples (8 MB) are put in order as a whole.
-WHOLE_GROUP = 1_000_000
+# Buckets into which exact_percentiles splits each group; a power of two.
+BUCKETS = 256
 
 
 def slot_means(samples: DataFrame, by: Sequence[str] = ("label", "method", "slot"),
@@ -36,36 +34,20 @@ def latency_summary(samples: DataFrame, by: Sequence[str] = ("label", "method"),
 
 
 def exact_percentiles(samples: DataFrame, by: Sequence[str], value: str,
-                      wanted: dict[str, float], whole_group: int = WHOLE_GROUP) -> DataFrame:
-    """One column per wanted percentile, interpolated linearly, exact at any group size.
-
-    The largest group is counted first. While it is small, each group is ordered in one task;
-    beyond that, groups are split and only the parts around the wanted ranks are ordered.
-    """
-    sizes = samples.groupBy(*by).agg(F.count(value).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) > whole_group:
-        return split_percentiles(samples, by, value, wanted)
-    found = samples.groupBy(*by).agg(F.percentile(value, list(wanted.values())).alias("p"))
-    return (found.filter(F.col("p").isNotNull())
-            .select(*by, *[F.col("p")[i].alias(name) for i, name in enumerate(wanted)]))
-
-
-def split_percentiles(samples: DataFrame, by: Sequence[str], value: str,
                       wanted: dict[str, float]) -> DataFrame:
-    """Exact percentiles without gathering a group in one place.
+    """One column per wanted percentile, interpolated linearly, exact at any group size.
 
-    Equal values are counted first. Each group is then cut into buckets between its smallest
-    and largest value, finer near the smallest, as latencies lie. Bucket counts, at most
-    BUCKETS rows per group, tell which buckets hold the wanted ranks, and only the values of
-    those buckets are put in order, each bucket by itself.
+    No group is gathered in one place. Equal values are counted first. The distinct values of
+    each group are then cut into buckets of about equal size, whatever their spread, at
+    approximate quantiles. Bucket counts, at most BUCKETS rows per group, tell which buckets hold
+    the wanted ranks, and only the values of those buckets are put in order, each by itself.
     """
     by = list(by)
     counted = (samples.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v"))
                .agg(F.count(F.lit(1)).alias("n")))
-    span = counted.groupBy(*by).agg(F.min("v").alias("low"), F.max("v").alias("high"),
-                                    F.sum("n").alias("total"))
-    placed = _matched(counted, span, by).select(
-        *by, "v", "n", "total", _bucket(F.col("v"), F.col("low"), F.col("high")).alias("bucket"))
+    cuts = F.percentile_approx("v", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS)
+    span = counted.groupBy(*by).agg(cuts.alias("cuts"), F.sum("n").alias("total"))
+    placed = _matched(counted, span, by).select(*by, "v", "n", "total", _bucket(F.col("v"), F.col("cuts")).alias("bucket"))
 
     sizes = placed.groupBy(*by, "bucket").agg(F.sum("n").alias("held"), F.max("total").alias("total"))
     up_to = Window.partitionBy(*by).orderBy("bucket")
@@ -104,9 +86,10 @@ def _matched(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str
     return left.join(renamed, test, how).drop(*[f"right_{c}" for c in columns])
 
 
-def _bucket(value: Column, low: Column, high: Column) -> Column:
-    share = F.log1p(value - low) / F.nullif(F.log1p(high - low), F.lit(0.0))
-    return F.coalesce(F.floor(share * F.lit(BUCKETS)).cast("int"), F.lit(0))
+def _bucket(value: Column, cuts: Column) -> Column:
+    """How many of the ascending cuts are below the value, by halving."""
+    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
 
 
 def _position(total: Column, share: float) -> Column:

@@ -39,10 +39,10 @@ def top(docs: DataFrame, clause: Clause, limit: int, columns: Sequence[str | Col
 
 def first(docs: DataFrame, clause: Clause, limit: int, columns: Sequence[str | Column] = (),
           key: str = "doc_id") -> DataFrame:
-    """The ``limit`` hits with the smallest keys."""
+    """The ``limit`` hits with the smallest keys; without a limit all hits, unordered."""
     chosen = [F.col(c) if isinstance(c, str) else c for c in columns if c != key]
-    found = hits(docs, clause).select(F.col(key), *chosen).orderBy(F.asc(key))
-    return capped(found, limit)
+    found = hits(docs, clause).select(F.col(key), *chosen)
+    return found.orderBy(F.asc(key)).limit(limit) if limit else found
 
 
 def capped(rows: DataFrame, limit: int) -> DataFrame:

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from logsieve.functions.text import has_words, query_terms, tokens
 from logsieve.operators.relevance import CorpusStats, stats_from
-
-# Up to this many keys (16 MB) the hits of a query are broadcast to the documents.
-BROADCAST_KEYS = 1_000_000
+from logsieve.sources.tables import is_current, source_state, write_manifest
 
 
 def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
@@ -51,11 +49,20 @@ class TokenIndex:
         """An index computed on the fly."""
         return TokenIndex(token_table(docs, content, key), totals(docs, content), key)
 
+    @staticmethod
+    def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> "TokenIndex":
+        """The stored index if it was finished from these documents as they are, else a new one."""
+        spark, state = docs.sparkSession, source_state(docs)
+        if not is_current(spark, f"{path}/postings", state):
+            TokenIndex.of(docs, content, key).save(path)
+            write_manifest(docs, f"{path}/postings", state, spark.read.parquet(f"{path}/postings"))
+        return TokenIndex.load(spark, path, key)
+
     @staticmethod
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "TokenIndex":
         return TokenIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/corpus"), key)
 
-    def save(self, path: str) -> None:
+    def save(self, path: str, rows_per_file: int = 4_000_000) -> None:
         """Write the index sorted by word, so that a lookup reads only the files of its words.
 
         Files are ranges of (word, key), not of words alone: a word that is in every document
@@ -66,7 +73,9 @@ class TokenIndex:
         spark = self.postings.sparkSession
         unsorted = f"{path}/unsorted"
         self.postings.write.mode("overwrite").parquet(unsorted)
-        (spark.read.parquet(unsorted).repartitionByRange("token", self.key)
+        written = spark.read.parquet(unsorted)
+        files = max(1, written.count() // rows_per_file)
+        (written.repartitionByRange(files, "token", self.key)
          .sortWithinPartitions("token", self.key).write.mode("overwrite").parquet(f"{path}/postings"))
         self.corpus.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
         spark.createDataFrame([], self.postings.schema).write.mode("overwrite").parquet(unsorted)
@@ -83,18 +92,15 @@ class TokenIndex:
         counted = found.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
         return counted.filter(F.col("n") == len(query_terms(query))).select(self.key)
 
-    def matching(self, docs: DataFrame, query: str, mode: str = "any", content: str = "content",
-                 broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-        """Documents with the query's words: a semi join on the stored keys.
+    def matching(self, docs: DataFrame, query: str, mode: str = "any", content: str = "content") -> DataFrame:
+        """Documents with the query's words: a semi join on the stored keys, then the words' test.
 
-        The keys are counted first. While they are few they go to every task and the documents
-        stay where they are. Beyond that the documents are tested directly, with the same
-        result, because joining would shuffle whole texts.
+        Whether the keys are sent to the documents or both are shuffled is left to the optimiser,
+        which knows their size when it runs. The test keeps out documents that have lost the words
+        since the index was made.
         """
-        keys = self.keys(query, mode)
-        if keys.limit(broadcast_keys + 1).count() > broadcast_keys:
-            return docs.filter(has_words(F.col(content), query, mode))
-        return docs.join(F.broadcast(keys), self.key, "left_semi")
+        found = docs.join(self.keys(query, mode), self.key, "left_semi")
+        return found.filter(has_words(F.col(content), query, mode))
 
     def stats(self, query: str) -> CorpusStats:
         """Two scalar subqueries: the corpus totals, and the documents per word."""
@@ -104,7 +110,7 @@ class TokenIndex:
         return stats_from(self.corpus, seen, terms)
 
     def rank(self, query: str, limit: int = 0, mode: str = "any") -> DataFrame:
-        """Keys and BM25 scores from the index alone, best first, ties by key."""
+        """Keys and BM25 scores from the index alone; with a limit the best, ties by key, else all, unordered."""
         terms = query_terms(query)
         stats = self.stats(query)
         per_doc = self.lookup(query).groupBy(self.key).agg(
@@ -114,5 +120,8 @@ class TokenIndex:
         if mode == "all":
             per_doc = per_doc.filter(F.col("held") == len(terms))
         score = stats.combine(F.col("dl"), {t: F.col(f"tf{i}") for i, t in enumerate(terms)})
-        ordered = per_doc.select(self.key, score.alias("score")).orderBy(F.desc("score"), F.asc(self.key))
-        return ordered.limit(limit) if limit else ordered
+        scored = per_doc.select(self.key, score.alias("score"))
+        if not limit:
+            return scored
+        ordered = scored.orderBy(F.desc("score"), F.asc(self.key))
+        return ordered.limit(limit)

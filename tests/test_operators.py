@@ -1,6 +1,5 @@
 import math
 import os
-import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +12,9 @@ from logsieve.operators.parity import compare_keys, difference, parity
 from logsieve.operators.relevance import rank
 from logsieve.operators.search import count_hits, first, resolve_limit, search
 from logsieve.operators.textindex import TokenIndex
-from logsieve.sources import corpus, tables
+from logsieve.sources import tables
 from logsieve.sources.documents import DOCUMENTS, OPEN_METADATA, prose, read_json_documents
-from logsieve.sources.logs import log_documents
+from logsieve.sources.logs import log_documents, matching_log_lines
 from logsieve.streaming import search_stream
 
 DATA = "/root/testdata/sf0.001"
@@ -27,8 +26,8 @@ def docs(spark):
 
 
 @pytest.fixture(scope="module")
-def synthetic(spark):
-    return corpus.synthetic(spark.range(1000)).cache()
+def logs(spark):
+    return log_documents(tables.read_table(spark, DATA, "events")).cache()
 
 
 @pytest.fixture(scope="module")
@@ -42,62 +41,31 @@ def keys(rows, key="doc_id"):
     return sorted(r[key] for r in rows.select(key).collect())
 
 
-# ---- corpus
-
-def test_corpus_classes(synthetic):
-    counts = {r["class"]: r["n"] for r in synthetic.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    assert counts == {"crit": 6, "audit": 6, "deploy": 6, "log": 196, "config": 196, "api": 196,
-                      "access": 197, "trace": 197}
-
-
-@pytest.mark.parametrize("name, pattern", [
-    ("log", r"^((INFO|WARN|ERROR) 2024-[01][0-9]-[0-2][0-9] [0-9:]{8} [a-z]+ on [a-z0-9-]+(\n|$)){2,5}$"),
-    ("config", r'^\{"database": \{"host": "localhost", "port": [0-9]+, "username": "[a-z]+"\}, "cache": \{"enabled": true, "ttl": [0-9]+\}\}$'),
-    ("api", r'^\{"status": "success", "data": \{"users": \[(\{"id": [123], "email": "[^"]+"\}(, )?){1,3}\]\}\}$'),
-    ("access", r"^(INFO 2024-.{14} User [a-z]+ logged in from ([0-9]+\.){3}[0-9]+\n?){2,4}(WARN 2024-.{14} Failed login attempt for user unknown)?$"),
-    ("trace", r"^Stack trace: [A-Za-z]+Exception at .*\nCaused by: [A-Za-z]+Exception at .*$"),
-    ("crit", r'^CRIT-10[0-4][0-9] 2024-.{14} severity=critical host=[a-z0-9-]+ msg="disk usage threshold exceeded [89][0-9]%" pid=[0-9]{4}$'),
-    ("audit", r"^AUDIT-EVENT 2024-.{14} uid=[0-9]{4} op=[A-Z]+ resource=/api/users/[0-9]+ svc=svc-[a-z]+ ip=([0-9]+\.){3}[0-9]+$"),
-    ("deploy", r"^DEPLOY svc-[a-z]+ v[1-5]\.[0-9]+\.[0-9]+ env=[a-z]+ region=[a-z0-9-]+ commit=[0-9a-f]{8} triggered_by=[a-z]+ ts=2024-.{14}$"),
-])
-def test_corpus_formats(synthetic, name, pattern):
-    assert synthetic.filter(F.col("class") == name).filter(~F.col("content").rlike(pattern)).count() == 0
-
-
-def test_corpus_is_the_same_for_any_partitioning(spark, synthetic):
-    other = corpus.synthetic(spark.range(1000).repartition(7))
-    assert other.exceptAll(synthetic).count() == 0
-    mails = synthetic.filter("class = 'api'").select(
-        F.regexp_extract_all("content", F.lit("[A-Za-z]+@[A-Za-z.]+"), F.lit(0)).alias("m"))
-    assert mails.filter(F.size(F.array_distinct("m")) < F.size("m")).count() == 0
-    warned = synthetic.filter("class = 'access'").agg(F.avg(F.col("content").contains("WARN").cast("int"))).first()[0]
-    assert 0.25 < warned < 0.45
+# ---- logs
 
+def one_user(spark, n):
+    kind = F.when(F.col("id") % 100 == 0, "error").otherwise("click")
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("ts"),
+        F.lit(7).cast("long").alias("user_id"), kind.alias("event_type"), F.lit("{}").alias("props"))
 
-def test_corpus_starts_and_keys(synthetic):
-    assert search(synthetic, regex("content", "2024-0[1-9]-.*")).count() == 0
-    assert search(synthetic, regex("content", r"192\.168\..*")).count() == 0
-    assert synthetic.filter("doc_id = 1").first()["filename"] == "doc_00001.txt"
 
+def test_a_log_is_one_user_on_one_day(spark):
+    rows = log_documents(one_user(spark, 10_000)).collect()
+    assert len(rows) == 1 and rows[0]["doc_id"] == "7_2024-01-01" and rows[0]["content"].count("\n") == 9_999
 
-def test_embeddings_are_unit_vectors(spark):
-    rows = corpus.embeddings(spark.range(20)).collect()
-    for row in rows:
-        assert len(row["embeddings"]) == 1536
-        assert math.isclose(math.sqrt(sum(x * x for x in row["embeddings"])), 1.0, abs_tol=1e-5)
-    pooled = [x * math.sqrt(1536) for row in rows for x in row["embeddings"]]
-    assert abs(statistics.mean(pooled)) < 0.02 and abs(statistics.stdev(pooled) - 1) < 0.02
-    assert len({tuple(row["embeddings"][:3]) for row in rows}) == 20
 
+def test_hits_of_a_hot_user_need_no_document(spark):
+    found = matching_log_lines(one_user(spark, 10_000), lambda x: x.contains("ERROR"), lambda x: F.lit(1))
+    assert found.first()["n"] == 100 and len(found.first()["lines"]) == 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Contains" in plan.split("collect_list")[-1]
 
-# ---- logs
 
-def test_log_documents_are_rotated(spark):
-    events = spark.range(10_000).select(
-        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("ts"),
-        F.lit(7).cast("long").alias("user_id"), F.lit("error").alias("event_type"), F.lit("{}").alias("props"))
-    sizes = [r[0] for r in log_documents(events).select(F.size(F.split("content", "\n"))).collect()]
-    assert sorted(sizes) == [10_000 - 2 * 4096, 4096, 4096]
+def test_only_documents_with_a_hit_are_put_together(spark, logs):
+    some = log_documents(tables.read_table(spark, DATA, "events"), lambda x: x.contains("ERROR"))
+    assert sorted(some.collect(), key=lambda r: r["doc_id"]) == sorted(
+        search(logs, find("content", "ERROR"), logs.columns).collect(), key=lambda r: r["doc_id"])
 
 
 # ---- index
@@ -106,14 +74,26 @@ def test_index_equals_direct_search(docs, index):
     for query, mode in (("license gnu", "any"), ("license gnu", "all"), ("the", "any"), ("nosuchword", "any")):
         direct = keys(search(docs, text("content", query, mode)))
         assert keys(index.matching(docs, query, mode)) == direct
-        assert keys(index.matching(docs, query, mode, broadcast_keys=0)) == direct
         assert keys(index.keys(query, mode)) == direct
 
 
 def test_index_scores_equal_direct_scores(docs, index):
-    direct = [(r[0], round(r[1], 9)) for r in rank(docs, "license the, software").collect()]
-    stored = [(r[0], round(r[1], 9)) for r in index.rank("license the, software").collect()]
-    assert direct == stored and len(direct) > 3
+    for limit in (0, 5):
+        direct = [(r[0], round(r[1], 9)) for r in rank(docs, "license the, software", limit).collect()]
+        stored = [(r[0], round(r[1], 9)) for r in index.rank("license the, software", limit).collect()]
+        assert (direct == stored if limit else sorted(direct) == sorted(stored)) and len(direct) > 3
+
+
+def test_documents_that_have_changed_since(spark, docs, index, tmp_path):
+    changed = docs.withColumn("content", F.when(F.col("doc_id") % 2 == 0, "nothing left").otherwise(F.col("content")))
+    expected = keys(search(changed, text("content", "the")))
+    assert keys(index.matching(changed, "the")) == expected and len(expected) > 50
+    path, source = str(tmp_path / "i"), str(tmp_path / "docs")
+    docs.select("doc_id", "content").write.parquet(source)
+    first_time = TokenIndex.ensure(spark.read.parquet(source), path).postings.count()
+    changed.select("doc_id", "content").write.mode("overwrite").parquet(source)
+    again = TokenIndex.ensure(spark.read.parquet(source), path)
+    assert again.postings.count() < first_time and keys(again.keys("nothing")) == [k for k in keys(docs) if k % 2 == 0]
 
 
 def test_index_lookup_reaches_the_scan(index, docs):
@@ -125,12 +105,7 @@ def test_index_lookup_reaches_the_scan(index, docs):
 
 def test_a_word_in_every_document_is_spread_over_files(spark, tmp_path):
     same = spark.range(0, 20_000, 1, 4).select(F.col("id").alias("doc_id"), F.lit("same").alias("content"))
-    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # would merge files as small as these
-    spark.conf.set(merge, "false")
-    try:
-        TokenIndex.of(same).save(str(tmp_path / "i"))
-    finally:
-        spark.conf.unset(merge)
+    TokenIndex.of(same).save(str(tmp_path / "i"), rows_per_file=5_000)
     sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "i" / "postings"))
              .groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 20_000 and max(sizes) <= 20_000 / 2
@@ -150,8 +125,8 @@ def test_a_filter_reaches_the_scan_and_prunes_columns(spark):
     assert "StringContains(text,license)" in plan and "StringContains(text,GNU)" in plan
 
 
-def test_facet_without_values(synthetic):
-    rows = facet(synthetic.withColumn("t", F.lit(None).cast("string")), find("content", "ERROR"), "t").collect()
+def test_facet_without_values(logs):
+    rows = facet(logs.withColumn("t", F.lit(None).cast("string")), find("content", "ERROR"), "t").collect()
     assert [(r["bucket"], r["is_total"]) for r in rows] == [(None, True)]
 
 
@@ -170,9 +145,10 @@ def test_key_sets(spark):
     assert keys(difference(left, right)) == [1, 2]
 
 
-def test_limits(synthetic):
-    assert search(synthetic, find("content", "ERROR"), limit=20).count() == 20
-    assert keys(first(synthetic, find("content", "port"), 2)) == keys(search(synthetic, find("content", "port")))[:2]
+def test_limits(logs):
+    assert search(logs, find("content", "ERROR"), limit=20).count() == 20
+    assert keys(first(logs, find("content", "WARN"), 2)) == keys(search(logs, find("content", "WARN")))[:2]
+    assert "Sort" not in first(logs, find("content", "WARN"), 0)._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
     assert (resolve_limit(None, 20), resolve_limit(0, 20), resolve_limit(5, 20)) == (20, 0, 5)
 
 
@@ -196,17 +172,18 @@ def test_nearest_equals_brute_force(spark, metric):
     scored = [(score(v), i) for i, v in rows if v and len(v) == 5 and score(v) is not None]
     expected = [i for _, i in sorted(scored, key=lambda p: (-p[0], p[1]))[:7]]
     assert [r["vec_id"] for r in nearest(vectors, query, 7, metric).collect()] == expected
-    batch = nearest_batch(vectors, {1: query, 2: [-x for x in query]}, 7, metric).orderBy("query_id", "rank").collect()
+    asked = spark.createDataFrame([(1, query), (2, [-x for x in query])], "vec_id long, embedding array<double>")
+    batch = nearest_batch(vectors, asked, 7, metric).orderBy("query_id", "rank").collect()
     assert [r["vec_id"] for r in batch if r["query_id"] == 1] == expected
     assert [r["rank"] for r in batch] == list(range(1, 8)) * 2
 
 
-def test_batches_of_queries_run_in_several_passes(spark, monkeypatch):
+def test_a_batch_in_other_blocks(spark):
     vectors = tables.read_table(spark, DATA, "embeddings")
-    asked = {r["vec_id"]: r["embedding"] for r in vectors.filter("vec_id < 5").collect()}
+    asked = vectors.filter("vec_id < 40")
     once = nearest_batch(vectors, asked, 3).orderBy("query_id", "rank").collect()
-    monkeypatch.setattr("logsieve.operators.nearest.NUMBERS_PER_PASS", 128)
-    assert nearest_batch(vectors, asked, 3).orderBy("query_id", "rank").collect() == once
+    assert nearest_batch(vectors, asked, 3, blocks=1, slices=3).orderBy("query_id", "rank").collect() == once
+    assert len(once) == 120
     plan = nearest_batch(vectors, asked, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -223,16 +200,15 @@ def test_latency_report(spark):
     assert report.winners(zero).first()["factor"] == math.inf
 
 
-@pytest.mark.parametrize("whole_group", [0, 10_000])
-@pytest.mark.parametrize("spread", ["skewed", "equal", "dense", "negative"])
-def test_percentiles_are_exact(spark, spread, whole_group):
+@pytest.mark.parametrize("spread", ["skewed", "equal", "dense", "negative", "outlier"])
+def test_percentiles_are_exact(spark, spread):
     n = 5_000
-    value = {"skewed": "exp(id % 997 / 60.0)", "equal": "4.5", "dense": "1000 + id / 1e9", "negative": "id - 2500.0"}[spread]
+    value = {"skewed": "exp(id % 997 / 60.0)", "equal": "4.5", "dense": "1000 + id / 1e9", "negative": "id - 2500.0", "outlier": "if(id = 0, 0, 1e9 + id)"}[spread]
     rows = spark.range(n).select(F.expr("if(id % 3 < 2, 'hot', cast(id % 7 as string))").alias("g"),
                                  F.expr(f"cast({value} as double)").alias("ms"))
     rows = rows.union(spark.sql("SELECT CAST(NULL AS STRING), 3.0D UNION ALL SELECT 'hot', CAST(NULL AS DOUBLE)"))
     wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "low": 0.0, "high": 1.0}
-    got = {r["g"]: r for r in report.exact_percentiles(rows, ["g"], "ms", wanted, whole_group).collect()}
+    got = {r["g"]: r for r in report.exact_percentiles(rows, ["g"], "ms", wanted).collect()}
     expected = {r["g"]: r["p"] for r in rows.groupBy("g").agg(F.percentile("ms", list(wanted.values())).alias("p")).collect()}
     assert set(got) == set(expected)
     for group, values in expected.items():
@@ -247,25 +223,46 @@ def test_report_sections(spark):
 # ---- sources
 
 def test_ensure_table(spark, tmp_path):
-    path, builds = str(tmp_path / "t"), []
-
-    def build(n=3, name="content_lc"):
-        builds.append(n)
-        return spark.range(n).withColumn(name, F.lit("x"))
-
-    assert tables.ensure_table(spark, path, build, 3, ["content_lc"]).count() == 3
-    tables.ensure_table(spark, path, build, 3, ["content_lc"])
-    assert len(builds) == 1
-    tables.ensure_table(spark, path, lambda: build(4), 4, ["content_lc"])
-    assert tables.ensure_table(spark, path, build, 9, reuse=True).count() == 4
-    tables.ensure_table(spark, path, lambda: build(4, "other"), 4, ["other"])
-    tables.ensure_table(spark, path, lambda: build(4, "other"), 4, ["other"], reset=True)
-    assert builds == [3, 4, 4, 4]
-    tables.append(build(2, "other"), path)
-    assert tables.row_count(tables.stored(spark, path)) == 6
+    source, path = str(tmp_path / "source"), str(tmp_path / "t")
+
+    def write(first, n=3):
+        spark.range(first, first + n).write.mode("overwrite").parquet(source)
+
+    def ensure(**options):
+        return keys(tables.ensure_table(spark, path, lambda: spark.read.parquet(source).withColumn("x", F.lit("x")), **options), "id")
+
+    def written():
+        return {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("part-*")}
+
+    write(0)
+    assert ensure(expected_rows=3, required_columns=["x"]) == [0, 1, 2]
+    before = written()
+    assert ensure(expected_rows=3, required_columns=["x"]) == [0, 1, 2] and written() == before, "used again"
+    write(10)
+    assert ensure(expected_rows=3) == [10, 11, 12], "a changed source of equal size is read again"
+    before = written()
+    assert ensure(reset=True) == [10, 11, 12] and written() != before
+    tables.append(spark.range(5, 6).withColumn("x", F.lit("y")), path)
+    assert ensure() == [10, 11, 12], "rows that came by another way"
+    tables.rebuild(spark.createDataFrame([], "source string, layout string, n long"), f"{path}.manifest")
+    spark.range(1).withColumn("x", F.lit("old")).write.mode("overwrite").parquet(path)
+    assert ensure() == [10, 11, 12], "an unfinished table"
+    tables.rebuild(spark.read.parquet(source).select(F.col("id").cast("int"), F.lit("x").alias("x")), path)
+    assert tables.ensure_table(spark, path, lambda: spark.read.parquet(source).withColumn("x", F.lit("x"))).schema["id"].dataType.simpleString() == "bigint"
     assert tables.stored(spark, str(tmp_path / "missing")) is None
 
 
+def test_the_callers_settings_stay(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    tables.scratch_path(spark, "x")
+    assert spark.conf.get("spark.checkpoint.dir", None) == before
+
+
+def test_fields_present(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (2, None, None)], "a int, b string, c string")
+    assert {tuple(r) for r in tables.fields_present(rows).collect()} == {("a", True), ("b", False), ("c", True)}
+
+
 def test_json_documents(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"doc_id": 1, "content": "x", "metadata": {"type": "log", "server": "s"}}\n'
                                      '{"doc_id": 2, "content": "y", "metadata": {"endpoint": "/u"}}\n')
@@ -276,12 +273,6 @@ def test_json_documents(spark, tmp_path):
     assert {(r["bucket"], r["n"]) for r in facet(loose, find("content", "[xy]"), "metadata.type").collect()} == {("log", 1), (None, 2)}
 
 
-def test_spread(spark):
-    few, many = spark.range(0, 10, 1, 1), spark.range(0, 1000, 1, 64)
-    assert tables.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread(many) is many
-
-
 def test_stream_search_equals_table_search(spark, docs, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     docs.select("doc_id", "content").repartition(3).write.parquet(source)
