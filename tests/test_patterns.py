@@ -50,13 +50,21 @@ def test_whole_value_refusals(source):
     ("(?:a|b|[0-9])*z", "", "(?d)[ab[0-9]]*z"),
     ("(a|b)+", "", "(?d)([ab])+"),
     ("(?:ab)*", "", "(?d)(?:ab)*"),
+    ("(a+b)*", "", "(?d)(a+b)*+"),
+    ("(ab|a)+", "", "(?d)(ab|a)++"),
+    ("([a-z]+ )+X", "", "(?d)([a-z]+ )++X"),
+    ("([a-z]+,)*[0-9]", "i", "(?di)([a-z]+\\,)*+[0-9]"),
+    ("((ab|c){1,20}d){1,20}$", "", "(?d)((ab|c){1,20}d){1,20}$"),
+    (r"(?i)error(?=:)", "", r"(?d)(?i)error(?=:)"),
+    (r"(?<w>[a-z]+) \k<w>", "", r"(?d)(?<w>[a-z]+) \k<w>"),
+    ("a b  # c", "x", "(?dx)a b  # c"),
 ])
 def test_find_patterns(source, options, expected):
     assert java(source, FIND, options) == expected
 
 
 @pytest.mark.parametrize("source", [
-    r"(a)\1", "(?=a)", "(?<n>a)", "(?i)a", "(a+b)*", "(ab|c)+", "a**", "a++", "[[:alpha:]]", "a{2,1}", r"\q", "x{",
+    "(?=a", r"(a)\2", "(?<n>a)(?<n>b)", "(a+b)*a", "(ab|a)+b", "(a?)*", "(a+)*b", "((ab|c){1,500}d){1,500}$", "a**", "a++", "[[:alpha:]]", "a{2,1}", r"\q", "x{",
 ])
 def test_find_refusals(source):
     with pytest.raises(ValueError):
@@ -65,7 +73,7 @@ def test_find_refusals(source):
 
 def test_unknown_options_and_dialects():
     with pytest.raises(ValueError):
-        compile_pattern("a", FIND, "x")
+        compile_pattern("a", FIND, "q")
     with pytest.raises(ValueError):
         compile_pattern("a", "glob")
     with pytest.raises(ValueError):
@@ -134,10 +142,29 @@ def random_pattern(rng, depth=2):
     def part():
         text = atom()
         mark = rng.choice(["", "", "", "?", "*", "+", "{2}", "{1,2}"])
-        return text + (mark if len(text) == 1 or not text.startswith("(") else rng.choice(["", "?", "{2}"]))
+        return text + (mark if len(text) == 1 or not text.startswith("(") else rng.choice(["", "?", "{2}", "*", "+"]))
     return "".join(part() for _ in range(rng.randint(1, 4)))
 
 
+def accepted(source, dialect):
+    try:
+        return bool(compile_pattern(source, dialect))
+    except ValueError:
+        return False
+
+
+@pytest.mark.parametrize("source, options, hits", [
+    (r"(?<![a-z])error(?!s)", "", ["an error"]), (r"([a-z])\1 (?<w>[a-z]+) \k<w>", "", ["aa bc bc"]), ("(?i)ERROR", "", ["an error", "errors"]),
+    (r"an\ error  # a comment", "x", ["an error"]), ("((a|bc)+,)+;", "", ["x" + "abca," * 200_000 + ";"]),
+    ("([a-z]+ )+X", "", ["word " * 200_000 + "X"]),
+])
+def test_constructs_of_the_find_dialect(spark, source, options, hits):
+    from pyspark.sql import functions as F
+    texts = ["an error", "errors", "aa bc bc", "x" + "abca," * 200_000 + ";", "word " * 200_000 + "X", "abc, d"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert sorted(r["t"] for r in rows.filter(compile_pattern(source, FIND, options).test(F.col("t"))).collect()) == sorted(hits)
+
+
 @pytest.mark.parametrize("dialect", [FIND, WHOLE])
 def test_random_patterns_agree_with_python(spark, monkeypatch, dialect):
     """Literal tests and pre-filters must not change the result; short literals are used here too."""
@@ -145,9 +172,11 @@ def test_random_patterns_agree_with_python(spark, monkeypatch, dialect):
     monkeypatch.setattr("logsieve.functions.patterns.MIN_LITERAL", 1)
     rng = random.Random(7)
     texts = ["".join(rng.choice("abc\n") for _ in range(rng.randint(0, 7))) for _ in range(150)]
-    sources = [random_pattern(rng) for _ in range(120)]
+    sources = [random_pattern(rng) for _ in range(240)]
     if dialect == WHOLE:
         sources = [rng.choice(["", "(.*)", ".*"]) + s + rng.choice(["", "(.*)", ".*"]) for s in sources]
+    sources = [s for s in sources if accepted(s, dialect)]
+    assert len(sources) > 120 and sum("++" in java(s, dialect) or "*+" in java(s, dialect) for s in sources) > 10
     rows = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).cache()
     for start in range(0, len(sources), 20):
         some = sources[start:start + 20]
