@@ -9,8 +9,9 @@
    and a node's prefix (the n-grams one of which any partner must share) gives candidates.
 3. A candidate pair's overlap is counted fragment by fragment and summed.
 4. Groups of many near copies aren't expanded into pairs. Every node is first compared with a few hubs of its n-grams,
-   the smallest under a seeded order; then only members of one n-gram that these links leave in different components
-   are compared, which finds every link that can still join components.
+   the smallest under a seeded order. Then only members of one n-gram that these links leave in different components
+   are compared, block of nodes against block, and a block answers with the links that join components: no link
+   between components is lost, and pairs never become rows.
 
 Scale: texts move only where a document has candidates; a frequent n-gram costs a posting for each batch, not for each
 document; exact copies meet in a grouped minimum. Tables in between are written to the shared folder.
@@ -38,6 +39,8 @@ from logsieve.llm.graphs import components
 N, SIMILARITY = 5, 80
 #: N-grams that a batch holds at once, and text bytes for each fragment of the order.
 BATCH, FRAGMENT_BYTES, SEGMENTS, HUBS = 1_000_000, 16_000_000, 4, 3
+#: Nodes of a block, and n-grams of the order that a block's overlaps are counted over at once.
+BLOCK, COLUMNS = 256, 4096
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _MANY = np.uint16(0xFFFF)
 
@@ -215,23 +218,90 @@ def _hub_pairs(prefixes: DataFrame, similarity: int) -> DataFrame:
     return hubs.distinct()
 
 
-def _rest_pairs(prefixes: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
-    """Members of one n-gram in different components; the largest component there is met by the others only."""
-    rows = prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    major = (
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left and right sets: partial counts by segment of the n-gram order, summed."""
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(common), COLUMNS):
+        part = common[at : at + COLUMNS]
+        sides = []
+        for sets in (left, right):
+            side = np.zeros((len(sets), len(part)), np.float32)
+            for i, grams in enumerate(sets):
+                place = np.searchsorted(part, grams)
+                place[place == len(part)] = 0
+                side[i, place[part[place] == grams]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _link_blocks(similarity: int):
+    """Links between nodes of two blocks that join components: at most one less than the two have components."""
+
+    def links(rows: list[dict], a: int, b: int) -> Iterator[tuple[int, int]]:
+        left, right = [r for r in rows if r["block"] == a], [r for r in rows if r["block"] == b]
+        label = {r["label"]: r["label"] for r in rows}
+
+        def find(x: int) -> int:
+            while label[x] != x:
+                label[x] = label[label[x]]
+                x = label[x]
+            return x
+
+        common = _overlaps([np.array(r["grams"]) for r in left], [np.array(r["grams"]) for r in right])
+        sizes = [np.array([r["n"] for r in side])[:, None] for side in (left, right)]
+        linked = (100 + similarity) * common >= similarity * (sizes[0] + sizes[1].T)
+        linked &= np.array([r["label"] for r in left])[:, None] != np.array([r["label"] for r in right])[None, :]
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            x, y = find(left[i]["label"]), find(right[j]["label"])
+            if x != y:
+                label[x] = y
+                yield left[i]["node"], right[j]["node"]
+
+    def run(table: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        pairs: dict[tuple[int, int], list[dict]] = {}
+        for row in table.to_pylist():
+            pairs.setdefault((row["a"], row["b"]), []).append(row)
+        for (a, b), rows in pairs.items():
+            found += links(rows, a, b)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return run
+
+
+def _rest_links(prefixes: DataFrame, labels: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
+    """Links between members of one n-gram that are still in different components, found by blocks of nodes.
+
+    A node's home is the most frequent of its n-grams with members of several components; there it is one of the
+    largest component or one of the others. A home is cut into blocks of about BLOCK nodes. Two blocks meet if they
+    share such an n-gram and one of them has it outside the largest component there.
+    """
+    rows = prefixes.select("gram", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (
         rows.groupBy("gram", "label")
         .agg(F.count(F.lit(1)).alias("members"))
         .groupBy("gram")
-        .agg(F.max(F.struct("members", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
+        .agg(F.max(F.struct("members", "label")).alias("major"), F.sum("members").alias("members"), F.count(F.lit(1)).alias("labels"))
         .where("labels > 1")
-        .select("gram", F.col("major.label").alias("major"))
+        .select("gram", "members", F.col("major.label").alias("major"))
     )
-    rows = stored(rows.join(major, "gram"), "mixed")
-    x, y = rows.where("label <> major").alias("x"), rows.alias("y")
-    once = (F.col("y.label") == F.col("y.major")) | (F.col("x.node") < F.col("y.node"))
-    other = F.col("x.label") != F.col("y.label")
-    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & other & once & _may_link("x", "y", similarity))
-    return pairs.select(*_pair("x", "y")).distinct()
+    rows = stored(rows.join(mixed, "gram").withColumn("minor", F.col("label") != F.col("major")), "mixed")
+    homes = rows.groupBy("node", "label").agg(F.max(F.struct("members", "gram", "minor")).alias("home"))
+    homes = homes.select("node", "label", F.col("home.gram").alias("home"), F.col("home.minor").alias("outside"))
+    parts = homes.groupBy("home", "outside").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    block = F.xxhash64("home", "outside", F.pmod(F.xxhash64("node"), "parts"))
+    blocks = stored(homes.join(parts, ["home", "outside"]).select("node", "label", block.alias("block")), "blocks")
+
+    met = rows.join(blocks.select("node", "block"), "node").groupBy("gram", "block").agg(F.max("minor").alias("minor"))
+    x, y = met.where("minor").select("gram", F.col("block").alias("x")), met.select("gram", F.col("block").alias("y"))
+    pairs = stored(x.join(y, "gram").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
+    tasks = max(1, pairs.count() // 16)
+    sides = pairs.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks)))
+    sides = sides.withColumn("block", F.explode(F.array_distinct(F.array("a", "b"))))
+    members = sides.join(blocks, "block").join(nodes, "node").select("task", "a", "b", "block", "node", "label", "n", "grams")
+    return members.groupBy("task").applyInArrow(_link_blocks(similarity), "a long, b long")
 
 
 def groups(
@@ -263,9 +333,8 @@ def groups(
 
     first = stored(_verified(_hub_pairs(prefixes, similarity), nodes, similarity), "links")
     labels = components(first)
-    rest = stored(_rest_pairs(prefixes, labels, similarity), "rest")
-    links = first.unionByName(_verified(rest, nodes, similarity))
-    labels = components(links)
+    rest = stored(_rest_links(prefixes, labels, nodes, similarity), "links")
+    labels = components(first.unionByName(rest))
 
     named = sets.select("node", "digest").join(classes.select("digest", "least"), "digest").join(labels, "node")
     least = named.groupBy("label").agg(F.min("least").alias("component"), F.min("digest").alias("group"))
