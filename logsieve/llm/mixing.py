@@ -52,7 +52,7 @@ def targets(totals: DataFrame, weights: DataFrame, most: int = MOST) -> DataFram
     every, before = W.partitionBy(), W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     left = F.sum("source_size").over(every) - F.coalesce(F.sum(cap).over(before), F.lit(0))
     weight_left = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    rows = rows.withColumn("level", left / weight_left)
+    rows = rows.withColumn("level", F.try_divide(left.cast("double"), weight_left))
     free = F.col("level") * F.col("weight") < cap
     level = F.coalesce(F.max(F.when(free, F.col("level"))).over(every), F.lit(0.0))
     target = F.when(free, level * F.col("weight")).otherwise(cap.cast("double"))
@@ -74,10 +74,10 @@ def quotas(shares: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
         .withColumn("free", F.sum(F.when(free, F.col("target")).otherwise(0.0)).over(every))
         .withColumn("n", F.count(F.lit(1)).over(every))
         .withColumn("cap", F.floor(most * F.col("source_size") / F.col("block")))
-        .withColumn("near", 2 + 2 * F.col("n") * F.col("target") / F.when(free, F.col("free")).otherwise(F.col("all")))
+        .withColumn("near", 2 + F.try_divide(2 * F.col("n") * F.col("target"), F.when(free, F.col("free")).otherwise(F.col("all"))))
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         .withColumn("seats", F.floor(F.floor(F.col("all") / F.col("block")) * (F.col("shard") + 1) / shards))
-        .withColumn("share", F.coalesce(F.col("seats") * F.col("target") / F.nullif(F.col("all"), F.lit(0.0)), F.lit(0.0)))
+        .withColumn("share", F.coalesce(F.try_divide(F.col("seats") * F.col("target"), F.col("all")), F.lit(0.0)))
         .withColumn("near", F.coalesce("near", F.lit(2.0)))
         .withColumn("sure", F.least("cap", F.greatest(F.lit(0), F.floor(F.col("share") - F.col("near")))))
     )
