@@ -120,12 +120,15 @@ def _smoothed(counts: Column, towards: Column, weight: float) -> Column:
 
 
 def identify(rows: DataFrame, model: Model) -> DataFrame:
-    """`rows` without `text`, with lang, confidence and kept.
+    """The other columns of `rows`, with lang, confidence and kept (in place of columns with these names).
 
     rows: text, kind, declared, suffix, domain, host and whatever is to be carried over.
     """
     n = len(model.languages)
     levels = ["kind", "suffix", "domain", "host"]
+    answer = ["lang", "confidence", "kept"]
+    carried = F.struct(*[F.col(c) for c in rows.columns if c not in ("text", "declared", *levels, *answer)])
+    rows = rows.select("text", "declared", *levels, carried.alias("carried"))
     clean = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*levels, "declared"]}
     found = evidence(rows.withColumns({f"_{c}": v for c, v in clean.items()}), model)
     found = found.withColumn("first", F.when(F.col("grams") > 0, _best([F.col("scores")[i] for i in range(n)])).otherwise(n))
@@ -158,8 +161,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     lang = F.when(F.col("grams") > 0, names[best]).otherwise(F.lit(UNKNOWN))
     confidence = F.when(F.col("grams") > 0, share).otherwise(F.lit(0.0))
     kept = (lang != UNKNOWN) & (confidence >= CONFIDENCE)
-    carried = [c for c in rows.columns if c not in ("text", *levels, "declared")]
-    return joined.select(*carried, lang.alias("lang"), confidence.alias("confidence"), kept.alias("kept"))
+    return joined.select("carried.*", lang.alias("lang"), confidence.alias("confidence"), kept.alias("kept"))
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
