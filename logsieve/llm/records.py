@@ -1,8 +1,8 @@
 r"""Token ids in files of length-delimited binary records, with a separate offset index.
 
 A record is: length of the payload (8 bytes, little endian), masked checksum of these 8 bytes (4), the payload, masked
-checksum of the payload (4), a line feed. The payload is one byte (1: the key is there, 0: null), the key (8 bytes,
-signed) and the ids (4 bytes each). The checksum is CRC-32; masked means rotated right by 15 bits plus a constant, so
+checksum of the payload (4), a line feed. The payload is one byte (1: the key is there, 2: the ids are wide), the key
+(8 bytes, signed, 0 for null) and the ids, 2 bytes each, or 4 where one needs more. The checksum is CRC-32; masked means rotated right by 15 bits plus a constant, so
 that a checksum over bytes that hold checksums stays sound. Files come in ascending order of keys, null keys first.
 The index is a table of (file, offset, length, doc_id, first, n_tokens, ids_crc32); `read_selected` uses it.
 
@@ -46,14 +46,16 @@ def masked(data: bytes) -> int:
 
 
 def frame(key: int | None, ids: bytes) -> bytes:
-    """A record without the line feed, which the writer adds."""
-    payload = _KEY.pack(key is not None, key or 0) + ids
+    """A record, from ids of 4 bytes each, without the line feed, which the writer adds."""
+    numbers = np.frombuffer(ids, "<u4")
+    wide = bool(numbers.max(initial=0) > 0xFFFF)
+    payload = _KEY.pack((key is not None) + 2 * wide, key or 0) + (ids if wide else numbers.astype("<u2").tobytes())
     length = struct.pack("<Q", len(payload))
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
 
 
 def unframe(data: bytes, offset: int) -> tuple[int | None, bytes, int]:
-    """(key, ids, offset of the next record)."""
+    """(key, ids of 4 bytes each, offset of the next record)."""
     if len(data) < offset + _HEAD.size:
         raise ValueError(f"record at {offset}: cut off")
     length, check = _HEAD.unpack_from(data, offset)
@@ -63,8 +65,9 @@ def unframe(data: bytes, offset: int) -> tuple[int | None, bytes, int]:
     payload = data[start:end]
     if len(data) < end + 5 or struct.unpack_from("<I", data, end)[0] != masked(payload) or data[end + 4] != 10:
         raise ValueError(f"record at {offset}: the payload is damaged")
-    there, key = _KEY.unpack_from(payload)
-    return (key if there else None), payload[_KEY.size :], end + 5
+    flags, key = _KEY.unpack_from(payload)
+    ids = payload[_KEY.size :]
+    return (key if flags & 1 else None), (ids if flags & 2 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()), end + 5
 
 
 def _tokenizer(path: str):

@@ -55,6 +55,9 @@ def test_no_rows(spark):
 def test_damage_is_found():
     data = records.frame(5, b"\1\0\0\0" * 3) + b"\n"
     assert records.unframe(data, 0) == (5, b"\1\0\0\0" * 3, len(data))
+    for key, ids in ((None, [1, 70_000]), (-3, [65_535]), (0, [])):
+        packed = np.array(ids, "<u4").tobytes()
+        assert records.unframe(records.frame(key, packed) + b"\n", 0)[:2] == (key, packed)
     for at in (0, 9, 20, len(data) - 3):
         with pytest.raises(ValueError):
             records.unframe(data[:at] + bytes([data[at] ^ 4]) + data[at + 1 :], 0)
