@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document of the mix, with an end id."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.encode(docs, model, output="ids", keys=("doc_id", "lang", "source"))
+    return pieces.encode(docs, model, output="ids", keys=("doc_id", "lang", "source"), block_chars=8_000_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -229,7 +229,7 @@ def _join_block(model: str, keys: list[str], output: str, fragments: int, schema
                 words = chunks(text or "")
                 line = table.line(words, end)
                 if output == "ids":
-                    out["ids"].append(list(map(int, line.split(" "))))
+                    out["ids"].append(np.fromiter(map(int, line.split(" ")), np.int32))
                     continue
                 out["n_tokens"].append(line.count(" ") + 1)
                 if output == "decoded":
@@ -237,7 +237,8 @@ def _join_block(model: str, keys: list[str], output: str, fragments: int, schema
                 else:
                     out["ids_sha256"].append(sha(line))
                     out["decoded_sha256"].append(sha(table.decoded(words)))
-            made.append(pa.table([rows.column(k) for k in keys] + list(out.values()), names=[*keys, *out]).cast(schema))
+            values = [pa.array(v, schema.field(n).type) for n, v in out.items()]
+            made.append(pa.table([rows.column(k) for k in keys] + values, names=[*keys, *out]).cast(schema))
         return pa.concat_tables(made) if made else schema.empty_table()
 
     return run
