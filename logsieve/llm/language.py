@@ -84,6 +84,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     """The model of the first `sample` rows of each language, in the order of a hash of the key."""
     rows = labelled.select(labelled[lang].alias("lang"), labelled[text].alias("text"), F.xxhash64(labelled[key]).alias("h"))
     rows = rows.where((F.octet_length("text") <= SAMPLE_BYTES) & F.col("lang").isNotNull() & (F.trim("text") != ""))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return Model([])
+    # Hashes are spread evenly: this part of them holds the sample, and no more than twice of it is ever put in order.
+    part = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * sample + 100) / n))])
+    rows = rows.where(F.col("h") / 2.0**64 + 0.5 <= part[F.col("lang")])
     place = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))
     return Model([(r.lang, r.text) for r in rows.withColumn("n", place).where(F.col("n") <= sample).select("lang", "text").collect()])
 
