@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import new_path, stored
 
 FILE_CHARS = 16_000_000
-CACHED = 500_000
+CACHED = 1_000_000
 _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<Bq")
 _words: dict[tuple[str, int], dict[bytes, bytes]] = {}
