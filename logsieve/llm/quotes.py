@@ -105,17 +105,22 @@ def link(messages: DataFrame, key: str, order: str, body: str, scope: str) -> Da
 
 def _roots(nodes: DataFrame) -> DataFrame:
     """(key, root, depth) of the messages that have a parent; each round doubles the steps of those not yet there."""
-    jumps = stored(nodes.where("parent IS NOT NULL").select("key", F.col("parent").alias("at"), F.lit(1).alias("steps")), "jumps")
+    active = stored(nodes.where("parent IS NOT NULL").select("key", F.col("parent").alias("at"), F.lit(1).alias("steps")), "jumps")
+    settled = None
     while True:
-        ahead = jumps.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
-        joined = jumps.join(ahead, "at", "left").select(
+        ahead = active.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"), F.lit(False).alias("there"))
+        if settled is not None:
+            ahead = ahead.unionByName(settled.select(F.col("key").alias("at"), F.col("root").alias("next"), F.col("depth").alias("more"), F.lit(True).alias("there")))
+        moved = active.join(ahead, "at", "left").select(
             "key", F.coalesce("next", "at").alias("at"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-            F.col("next").isNotNull().alias("moved"),
+            F.coalesce("there", F.lit(True)).alias("there"),
         )
-        jumps = stored(joined, "jumps")
-        if jumps.where("moved").isEmpty():
-            return jumps.select("key", F.col("at").alias("root"), F.col("steps").alias("depth"))
-        jumps = jumps.drop("moved")
+        moved = stored(moved, "jumps")
+        new = moved.where("there").select("key", F.col("at").alias("root"), F.col("steps").alias("depth"))
+        settled = new if settled is None else stored(settled.unionByName(new), "roots")
+        active = moved.where("NOT there").drop("there")
+        if active.isEmpty():
+            return settled
 
 
 def as_mail(turns: DataFrame) -> DataFrame:
