@@ -1,13 +1,14 @@
 """Substring dedup by content-defined chunks of a gear rolling hash.
 
-A gear hash rolls over the words of a text, joined by single spaces; a chunk ends at a word where the hash falls under
-a threshold. What is cut depends on the bytes just before, so that an insertion shifts no later cut and a passage is
-cut alike wherever it stands. Chunks are matched by a 64-bit digest. A chunk is a repeat if another document, earlier
-in the order of keys, has it too; a run of adjacent repeats with at least `least_words` words is a repeated passage.
-Of each chunk the first document keeps its copy.
-
-A passage of 51 words that two documents share is found in 99.7 of 100 cases with these constants, one of 60 words
-nearly always (simulated; the words at its ends fall into chunks that reach beyond it). Runs below `least_words` words,
+A gear hash rolls over the words of a text, joined by single spaces; a chunk ends at a word where the hash is smaller
+than at its neighbours. What is cut depends on the bytes around, so that an insertion shifts no later cut and a passage
+is cut alike wherever it stands, repeated lines and table rows too. Where no word stands out (one or two words over and
+over), the smallest hash of the next LONGEST words ends the chunk. Chunks are matched by a 64-bit digest. A chunk is a
+repeat if another document, earlier in the order of keys, has it too; a run of adjacent repeats with at least
+`least_words` words is a repeated passage. Of each chunk the first document keeps its copy.
+
+A passage that two documents share is found unless the chunks at its ends, which reach beyond it, leave fewer than
+`least_words` words; README has the rates (simulated). Runs below `least_words` words,
 such as one line that many documents carry, stay.
 
 Scale: a batch of documents sends the first occurrence of each chunk to the fragment of its digest, and further ones
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import WORD, same, stored
 
 LEAST_WORDS = 24
-#: Words of a chunk, at least and at most; one word in three may end one. The hash has 16 bits and so spans 16 bytes.
-SHORTEST, LONGEST, BELOW = 3, 64, 65536 // 3
+#: Words of a chunk, at least and at most (a text's last chunk aside). The hash has 16 bits and so spans 16 bytes.
+SHORTEST, LONGEST = 3, 12
 BATCH_CHUNKS, FRAGMENT_BYTES = 400_000, 16_000_000
 #: A 16-bit number for each byte, by rule: the middle bits of a multiplied and folded counter.
 GEAR = (((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ** np.uint64(3)) >> np.uint64(40)).astype(np.uint16)
@@ -49,19 +50,21 @@ def chunk_ends(data: bytes) -> tuple[list[int], np.ndarray]:
             rolled = rolled.copy()
             rolled[step:] += rolled[:-step] << np.uint16(step)
     after = np.append(np.flatnonzero(codes == 32), len(codes))
-    ends, last = [], 0
-    for word in (np.flatnonzero(rolled[after - 1] < BELOW) + 1).tolist():
-        while word - last > LONGEST:
-            last += LONGEST
+    at = rolled[after - 1]
+    near, most = SHORTEST - 1, np.iinfo(at.dtype).max
+    beside = np.lib.stride_tricks.sliding_window_view(np.pad(at, near, constant_values=most), 2 * near + 1)
+    lowest = (beside[:, :near].min(1) > at) & (beside[:, near:].min(1) == at)
+    ends, last, n = [], 0, len(after)
+    for word in [*(np.flatnonzero(lowest[near:]) + SHORTEST).tolist(), n + SHORTEST]:
+        while word - last > LONGEST and n - last > LONGEST:
+            window = at[last + SHORTEST - 1 : min(last + LONGEST, word - SHORTEST)][::-1]
+            last += SHORTEST + len(window) - 1 - int(window.argmin())
             ends.append(last)
-        if word - last >= SHORTEST:
+        if word <= n:
             last = word
             ends.append(last)
-    while len(after) - last > LONGEST:
-        last += LONGEST
-        ends.append(last)
-    if last < len(after):
-        ends.append(len(after))
+    if last < n:
+        ends.append(n)
     return ends, after
 
 

@@ -91,3 +91,18 @@ def test_without_repeats(spark):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert chunking.passages(docs).collect() == [] and chunking.without_repeats(docs).collect() == []
+
+
+def test_repetitive_passages(spark):
+    rng, rows = random.Random(3), []
+    for i in range(240):
+        n, line = rng.randint(51, 100), words(rng, i % 6 + 1)
+        passage = (line * n)[:n]
+        if i % 6 == 5:
+            passage = [w for r in range(n) for w in ("|", str((r * r + i) % 10), "|", "0", "|")][:n]
+        for key in (2 * i, 2 * i + 1):
+            before, after = words(rng, rng.randint(20, 90)), words(rng, 40)
+            rows.append((key, " ".join(before + passage + after)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in chunking.passages(docs).collect()}
+    assert {2 * i + 1 for i in range(240)} <= found
