@@ -157,11 +157,10 @@ LEFT JOIN counts b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
 @query("op10_quotation_linking", MAIL_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     mail = quotes.as_mail(table(spark, sf_dir, "conversations"))
-    linked = quotes.link(mail, key="message_id", order="turn", body="body", scope="conv_id")
-    turn = lambda c: F.element_at(F.split(c, ":"), -1).cast("long")
+    linked = quotes.each_copy(quotes.link(mail, key="row_id", order="turn", body="body", scope="conv_id"))
     return linked.select(
-        F.col("scope").alias("conv_id"), F.col("ord").alias("turn"), turn("parent").alias("parent_turn"),
-        turn("root").alias("root_turn"), "depth", "n_quoted", sha256(F.col("own")).alias("text_sha256"),
+        F.col("scope").alias("conv_id"), F.col("ord").alias("turn"), quotes.turn_of(F.col("parent")).alias("parent_turn"),
+        quotes.turn_of(F.col("root")).alias("root_turn"), "depth", "n_quoted", sha256(F.col("own")).alias("text_sha256"),
     )
 
 

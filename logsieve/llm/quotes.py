@@ -12,8 +12,9 @@ third of all messages is summed up before it moves, and a quote meets one row, n
 
 Edge cases: null and empty bodies have no passages and are roots; lines that introduce a quote ("... wrote:") belong
 to no passage; a message links only to a message before it; a quote that nobody says stays unlinked; of rows that
-repeat a key the first in order counts; a null order comes first; an empty table gives no rows; further
-columns are ignored.
+repeat a key the first in order counts and `copies` is their number; a message without an order links to none and none
+to it; an empty table gives no rows; further columns are ignored. `as_mail` gives equal turns one `row_id`, all others
+their own, so that `each_copy` can give every turn its row again.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsieve.llm.common import same, stored
@@ -74,23 +75,24 @@ def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for body in batch.column("_body").to_pylist():
             own.append(unquoted(body))
             found.append([{"level": at, "hash": hashlib.sha256(p.encode()).hexdigest()[:32], "words": p.count(" ") + 1} for at, p in passages(body)])
-        columns = [batch.column("scope"), batch.column("key"), batch.column("ord"), pa.array(own, pa.string()), pa.array(found, kind)]
-        yield pa.RecordBatch.from_arrays(columns, names=["scope", "key", "ord", "own", "passages"])
+        kept = ["scope", "key", "ord", "copies"]
+        columns = [*map(batch.column, kept), pa.array(own, pa.string()), pa.array(found, kind)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*kept, "own", "passages"])
 
 
 def link(messages: DataFrame, key: str, order: str, body: str, scope: str) -> DataFrame:
-    """(scope, key, ord, own, n_quoted, parent, root, depth) of each key.
+    """(scope, key, ord, copies, own, n_quoted, parent, root, depth) of each key.
 
-    own: the text without quotes; parent, root: keys; depth: 0 for a root. By (root, depth, ord) conversations are in
-    the order of replies.
+    copies: the rows with the key; own: the text without quotes; parent, root: keys; depth: 0 for a root. By (root,
+    depth, ord) conversations are in the order of replies.
     """
     rows = messages.select(messages[scope].alias("scope"), messages[key].alias("key"), messages[order].alias("ord"), messages[body].alias("_body"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    out = f"scope {kinds['scope']}, key {kinds['key']}, ord {kinds['ord']}, own string, passages array<struct<level:int,hash:string,words:int>>"
-    once = rows.groupBy("key").agg(F.min(F.struct("ord", "scope", "_body")).alias("m")).select("key", "m.*")
-    parsed = stored(once.select("scope", "key", "ord", "_body").mapInArrow(_parse, out), "messages")
+    out = f"scope {kinds['scope']}, key {kinds['key']}, ord {kinds['ord']}, copies long, own string, passages array<struct<level:int,hash:string,words:int>>"
+    once = rows.groupBy("key").agg(F.min(F.struct("ord", "scope", "_body")).alias("m"), F.count(F.lit(1)).alias("copies")).select("key", "copies", "m.*")
+    parsed = stored(once.select("scope", "key", "ord", "copies", "_body").mapInArrow(_parse, out), "messages")
     said = parsed.select("scope", "key", "ord", F.explode("passages").alias("p")).select("scope", "key", "ord", "p.*")
-    first = said.where("level = 0").groupBy("scope", "hash").agg(F.min(F.struct("ord", "key")).alias("first"))
+    first = said.where("level = 0 AND ord IS NOT NULL").groupBy("scope", "hash").agg(F.min(F.struct("ord", "key")).alias("first"))
     q, f = said.where("level > 0").alias("q"), first.alias("f")
     found = q.join(f, (F.col("q.hash") == F.col("f.hash")) & same(F.col("q.scope"), F.col("f.scope")))
     found = found.where(F.coalesce(F.col("first.ord") < F.col("q.ord"), F.lit(False)))
@@ -98,7 +100,7 @@ def link(messages: DataFrame, key: str, order: str, body: str, scope: str) -> Da
     parents = votes.groupBy("key").agg(F.max(F.struct((-F.col("level")).alias("near"), "words", "first")).alias("v"))
     nodes = stored(parsed.join(parents.select("key", F.col("v.first.key").alias("parent")), "key", "left"), "nodes")
     return nodes.join(_roots(nodes), ["key"], "left").select(
-        "scope", "key", "ord", "own", F.size(F.filter("passages", lambda x: x["level"] > 0)).alias("n_quoted"), "parent",
+        "scope", "key", "ord", "copies", "own", F.size(F.filter("passages", lambda x: x["level"] > 0)).alias("n_quoted"), "parent",
         F.coalesce("root", "key").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"),
     )
 
@@ -123,8 +125,24 @@ def _roots(nodes: DataFrame) -> DataFrame:
             return settled
 
 
+def each_copy(linked: DataFrame) -> DataFrame:
+    """`linked` without `copies`, a row as often as it says; numbered in blocks, so that no list is long."""
+    block = 10_000
+    begins = linked.withColumn("__from", F.explode(F.sequence(F.lit(1).cast("long"), "copies", F.lit(block).cast("long"))))
+    last = F.least(F.col("copies"), F.col("__from") + (block - 1))
+    return begins.withColumn("__copy", F.explode(F.sequence("__from", last))).drop("__from", "__copy", "copies")
+
+
+def turn_of(row_id: Column) -> Column:
+    """The turn in a `row_id`; null where the row has none."""
+    return F.element_at(F.split(row_id, ":"), -2).try_cast("long")
+
+
 def as_mail(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, message_id, body): each turn as a reply that quotes the turn before and the one before that."""
+    """(conv_id, turn, role, message_id, row_id, body): each turn as a reply that quotes the turn before and the one before that.
+
+    message_id: conversation and turn; row_id: these and a hash of role and text, equal only for rows that are equal.
+    """
     fields = [F.col(c) for c in ("conv_id", "turn", "role", "text")]
     own = turns.select(*fields)
     firsts = own.groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("m")).select("conv_id", "turn", "m.*")
@@ -145,4 +163,6 @@ def as_mail(turns: DataFrame) -> DataFrame:
         F.col("text"),
     )
     key = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.coalesce(F.col("turn").cast("string"), F.lit("-")))
-    return own.select("conv_id", "turn", "role", key.alias("message_id"), body.alias("body"))
+    content = F.md5(F.concat_ws("|", *[F.coalesce(F.sha2(F.col(c).cast("binary"), 256), F.lit("-")) for c in ("role", "text")]).cast("binary"))
+    kind = F.concat(F.when(F.col("conv_id").isNull(), "n").otherwise("c"), content)
+    return own.select("conv_id", "turn", "role", key.alias("message_id"), F.concat_ws(":", key, kind).alias("row_id"), body.alias("body"))

@@ -1,4 +1,7 @@
-from logsieve.llm import quotes
+import hashlib
+from collections import Counter
+
+from logsieve.llm import queries, quotes
 
 
 def test_levels_and_passages():
@@ -49,3 +52,21 @@ def test_mail(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.link(quotes.as_mail(empty), "message_id", "turn", "body", "conv_id").collect() == []
+
+
+def test_every_row_of_op10(spark, tmp_path):
+    turns = [(1, 0, "user", "hello"), (1, 1, "assistant", "hi"), (1, 1, "assistant", "hi"), (1, 1, "assistant", "other"), (1, 2, "user", "bye"), (5, None, "user", "no turn"), (5, None, None, None), (5, 0, "user", "no turn"), (5, 1, "user", "five")]
+    turns += [(None, 0, "user", f"first {i}") for i in range(30)] + [(None, 1, "user", f"second {i}") for i in range(20)] + [(None, None, "u", "x")] * 3
+    turns += [(6, 0, "user", "again")] * 25_000
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op10(spark, str(tmp_path)).collect()
+
+    def rows(found):
+        return Counter((c, n, hashlib.sha256((t or "").encode()).hexdigest()) for c, n, t in found)
+
+    assert Counter((r.conv_id, r.turn, r.text_sha256) for r in got) == rows((c, n, t) for c, n, _, t in turns)
+    links = {(r.conv_id, r.turn): (r.parent_turn, r.root_turn, r.depth) for r in got}
+    assert links == {
+        (1, 0): (None, 0, 0), (1, 1): (0, 0, 1), (1, 2): (1, 0, 2), (5, None): (None, None, 0), (5, 0): (None, 0, 0), (5, 1): (0, 0, 1),
+        (None, 0): (None, 0, 0), (None, 1): (0, 0, 1), (None, None): (None, None, 0), (6, 0): (None, 0, 0),
+    }
