@@ -28,9 +28,9 @@ SHARDS = 8
 MOST = 3
 
 
-def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", also: tuple[str, ...] = ()) -> DataFrame:
     words = F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(docs[key].alias("doc_id"), docs[source].alias("source"), words.alias("size"))
+    return docs.select(docs[key].alias("doc_id"), docs[source].alias("source"), words.alias("size"), *also)
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -107,8 +107,8 @@ def quotas(shares: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
     )
 
 
-def deck(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """Each document of (doc_id, source, size) with `first`, the words before it in its source's seeded order."""
+def deck(docs: DataFrame, seed: str = SEED, also: tuple[str, ...] = ()) -> DataFrame:
+    """Each document of (doc_id, source, size, *also) with `first`, the words before it in its source's seeded order."""
     place = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
     rows = docs.withColumn("place", place).withColumn("bucket", F.substring("place", 1, 3))
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -117,10 +117,10 @@ def deck(docs: DataFrame, seed: str = SEED) -> DataFrame:
         .agg(F.sum("size").alias("words"))
         .select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
     )
-    inside = W.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source", "bucket").orderBy("place", "doc_id", "size", *also).rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(inside))
     joined = rows.join(buckets, (F.col("bucket") == F.col("b")) & same(F.col("source"), F.col("s")))
-    return joined.select("doc_id", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("first"))
+    return joined.select("doc_id", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("first"), *also)
 
 
 def _taken(dealt_words: Column) -> tuple[Column, Column]:
@@ -140,42 +140,47 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rounds, part, taken, shard) of every document.
+    """(doc_id, source, size, source_size, target, rounds, part, taken, shard, *also) of every document.
 
     `taken` = `rounds` * size + `part`: whole copies, and the first words of one more. `shard` is the first output
-    shard that holds the document, null if none does. weights: (source, weight), by default 1, 2, 3 in turn.
+    shard that holds the document, null if none does. also: columns to carry, last in the deck's order. weights: (source, weight), by default 1, 2, 3 in turn.
     """
-    rows = stored(sizes(docs, key, text, source), "sizes")
+    rows = stored(sizes(docs, key, text, source, also), "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     weights = cyclic_weights(totals.select("source")) if weights is None else weights
     plan = quotas(targets(totals, weights, most), block_words, shards, most)
-    d, p = deck(rows, seed).alias("d"), plan.alias("p")
+    d, p = deck(rows, seed, also).alias("d"), plan.alias("p")
     joined = d.join(p, same(F.col("d.source"), F.col("p.source"))).drop(F.col("p.source"))
     rounds, part = _taken(F.element_at("dealt", -1) * F.col("block"))
     joined = joined.withColumn("rounds", rounds).withColumn("part", part)
     joined = joined.withColumn("taken", F.col("rounds") * F.col("size") + F.col("part"))
     begins = F.size(F.filter("dealt", lambda n: n * F.col("block") <= F.col("first")))
     return joined.withColumn("shard", F.when(F.col("taken") > 0, begins)).select(
-        "doc_id", "source", "size", "source_size", "target", "rounds", "part", "taken", "shard"
+        "doc_id", "source", "size", "source_size", "target", "rounds", "part", "taken", "shard", *also
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the columns of `docs`, a row for each copy; a partial copy holds the first words of the text."""
+    marked = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    equal = W.partitionBy("__mark", "__id", "__source", "__size").orderBy(F.desc("__rounds"), F.desc("__part"))
     plan = (
-        mix(docs, **options)
+        mix(marked, also=("__row",), **options)
         .where("taken > 0")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-        .agg(F.max(F.struct(F.col("rounds").alias("__rounds"), F.col("part").alias("__part"))).alias("most"))
-        .select("__id", "__source", "__size", "most.*")
-    )
-    d, p = docs.alias("d"), plan.alias("p")
+        .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
+                F.col("rounds").alias("__rounds"), F.col("part").alias("__part"), F.col("__row").alias("__mark"))
+        .withColumn("__place", F.row_number().over(equal))
+    )
+    number = F.row_number().over(W.partitionBy("__row", "doc_id", "source").orderBy("__row"))
+    d, p = marked.withColumn("__number", number).alias("d"), plan.alias("p")
     words = F.size(F.regexp_extract_all(F.col("d.text"), F.lit(WORD), F.lit(0)))
     copies = F.col("__rounds") + (F.col("__part") > 0).cast("long")
     first = F.array_join(F.slice(F.regexp_extract_all(F.col("d.text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.greatest(F.lit(1), F.col("__part")).cast("int")), "")
     whole = (F.col("__copy") <= F.col("__rounds")) | (F.col("__part") == F.col("__size"))
     found = same(F.col("d.doc_id"), F.col("__id")) & same(F.col("d.source"), F.col("__source"))
+    found &= (F.col("__row") == F.col("__mark")) & (F.col("__number") == F.col("__place"))
     rows = d.join(p, found & (F.coalesce(words, F.lit(0)) == F.col("__size")))
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
     new = F.when(whole, F.col("d.text")).otherwise(first)

@@ -93,3 +93,19 @@ def test_no_rows_and_no_words(spark):
     assert mixing.mix(docs).collect() == [] and mixing.mixed_documents(docs).collect() == []
     rows = mixing.mix(spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")).collect()
     assert [(r.size, r.target, r.taken) for r in rows] == [(0, 0.0, 0)] * 2
+
+
+def test_mixed_documents_with_equal_keys(spark):
+    rows = [*ROWS, *[(None, f"{c} n", "z") for c in "abcdef"], *[(8, f"{c} " * 300, "z") for c in "vu"], *[(None, f"{i} z z", None) for i in range(9)]]
+    rows += [(i, "x " * 40, "x") for i in range(20, 30)] * 2
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, n long").repartition(3)
+    for weights in ((1, 2, 3), (9, 1, 1)):
+        of = mixing.cyclic_weights(docs.select("source").distinct(), weights)
+        taken, words, copies = {}, {}, {}
+        for r in mixing.mix(docs, weights=of).collect():
+            taken[r.source] = taken.get(r.source, 0) + r.taken
+        for r in mixing.mixed_documents(docs, weights=of).collect():
+            words[r.source] = words.get(r.source, 0) + size(r.text)
+            copies[r.doc_id, r.text, r.source] = copies.get((r.doc_id, r.text, r.source), 0) + 1
+        assert {s: n for s, n in taken.items() if n} == words
+        assert all(n <= 3 * max(1, rows.count(k)) for k, n in copies.items())
