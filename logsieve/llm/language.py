@@ -180,8 +180,8 @@ def of_documents(docs: DataFrame) -> DataFrame:
 def of_pages(pages: DataFrame) -> DataFrame:
     """Pages as rows for `identify`: text without markup; declaration, suffix, domain and host from page and address."""
     page, host = F.col("html"), F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    declared = F.lower(F.regexp_extract(page, r"(?i)<html[^>]{0,500}?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
-    text = F.regexp_replace(page, r"(?is)<(script|style)[^>]*>[^<]*</\1>|<!--[^>]*-->|<[^>]*>", " ")
+    declared = F.lower(F.regexp_extract(page, r"(?i)<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
+    text = F.regexp_replace(page, r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\b[^>]*>|\z)|<!--.*?(?:-->|\z)|<[^>]*>", " ")
     text = F.regexp_replace(text, r"&[#A-Za-z0-9]{1,10};", " ")
     return pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", text.alias("text"), F.lit("page").alias("kind"), declared.alias("declared"),
                         F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"), F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1).alias("domain"), host.alias("host"))

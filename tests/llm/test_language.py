@@ -97,3 +97,12 @@ def test_no_rows(spark):
     assert language.kept_documents(docs).collect() == []
     unlabelled = spark.createDataFrame([(1, "some text", None, None)], "doc_id long, text string, lang string, source string")
     assert language.identify(language.of_documents(unlabelled), language.fit(unlabelled)).first().lang == "und"
+
+
+def test_markup_leaves_no_code(spark):
+    attributes = " ".join(f'data-a{i}="{i}"' for i in range(100))
+    html = f'<html {attributes} lang="de"><style>a > b {{}} </style ><SCRIPT type="x">var t="</p>";track(0); if (a<b) x();</Script>'
+    html += "<p>one</p><!-- a > b <p>hidden</p> --><scripture>two</scripture><script>never(closed);</p>"
+    pages = spark.createDataFrame([(1, "http://a.de/", html)], "page_id long, url string, html string")
+    row = language.of_pages(pages).first()
+    assert row.declared == "de" and row.text.split() == ["one", "two"]
