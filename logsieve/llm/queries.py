@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm import chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
+from logsieve.llm import audit, chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
 from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,42 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     rows = language.of_documents(docs).unionByName(language.of_pages(pages))
     return language.identify(rows, language.fit(docs))
+
+
+AUDIT_SQL = """
+WITH marks AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+masked AS (
+  SELECT r.part, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN r.doc_id > min(r.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM read r LEFT JOIN marks m ON m.doc_id = r.doc_id),
+letters AS (SELECT unnest(string_split('A,B,C,D,E', ',')) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS own,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::INTEGER AS before
+  FROM orders, unnest(range(1, 6)) u(step)),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masked GROUP BY part, mask),
+figures AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM figures
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
