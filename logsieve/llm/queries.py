@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm import audit, chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
+from logsieve.llm import audit, centroids, chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
 from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,32 @@ SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, uniq
 @query("op13_filter_audit", AUDIT_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def cluster_sql(rounds: int = 10, k: int = 8) -> str:
+    """The rounds one after the other; squared distances are whole numbers below 2^53 here, and exact as doubles."""
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT n, v FROM (SELECT v, row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS n FROM kept) WHERE n < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, min(((list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, c.v) + list_inner_product(c.v, c.v))::BIGINT) * {k} + n) AS best
+  FROM kept k, c{i} c GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.n, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT n, list(((s - ((s % h) + h) % h) // h)::DOUBLE ORDER BY pos) AS v FROM (
+      SELECT best % {k} AS n, pos, sum(v[pos]::BIGINT)::BIGINT AS s, count(*) AS h
+      FROM a{i} JOIN kept USING (r), unnest(range(1, 65)) u(pos) GROUP BY ALL) GROUP BY n) m ON m.n = c.n)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, (best % {k})::INTEGER AS cluster, best // {k} AS distance, (sum(best // {k}) OVER (PARTITION BY best % {k}))::BIGINT AS cluster_inertia,
+  (sum(best // {k}) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} c ON c.n = best % {k}"""
+
+
+@query("op11_threshold_clusters", cluster_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(assigned, found).drop("n_tried")
