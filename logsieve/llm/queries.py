@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.llm import audit, centroids, chunking, jaccard, language, mixing, phrases, pieces, quotes, records, voronoi, warc
+from logsieve.llm import audit, centroids, chunking, jaccard, language, mixing, phrases, pieces, quantised, quotes, records, voronoi, warc
 from logsieve.llm.common import sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +244,22 @@ FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} c ON c.n = best % {k}"""
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, found = centroids.cluster(table(spark, sf_dir, "embeddings"))
     return centroids.with_inertia(assigned, found).drop("n_tried")
+
+
+NEAR_SQL = """
+WITH RECURSIVE fit AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+named AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT n.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, component_id, n.vec_id = component_id AS kept FROM named n LEFT JOIN counts c USING (vec_id)
+"""
+
+
+@query("op12_embedding_near_dedup", NEAR_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(table(spark, sf_dir, "embeddings"))
