@@ -3,19 +3,24 @@
 A gear hash rolls over the words of a text, joined by single spaces; a chunk ends at a word where the hash is smaller
 than at its neighbours. What is cut depends on the bytes around, so that an insertion shifts no later cut and a passage
 is cut alike wherever it stands, repeated lines and table rows too. Where no word stands out (one or two words over and
-over), the smallest hash of the next LONGEST words ends the chunk. Chunks are matched by a 64-bit digest. A chunk is a
-repeat if another document, earlier in the order of keys, has it too; a run of adjacent repeats with at least
-`least_words` words is a repeated passage. Of each chunk the first document keeps its copy.
+over), the smallest hash of the next LONGEST words ends the chunk.
+
+Chunks alone are too short to tell a passage: a large corpus has nearly all of them somewhere. So each chunk begins a
+chain, the least number of neighbouring chunks with `least_words` words, and each chunk ends one; chains are matched by a
+digest of their chunks' digests. The first document that has a chain, in the order of keys, is its holder. A chain of
+any other document is repeated word for word, in one piece, at one place of the holder. Chains that continue each other
+in both documents are joined: a passage is one piece of one earlier document. Passages of a document may overlap where
+different documents hold their parts.
 
 A passage that two documents share is found unless the chunks at its ends, which reach beyond it, leave fewer than
-`least_words` words; README has the rates (simulated). Runs below `least_words` words,
-such as one line that many documents carry, stay.
+`least_words` words; README has the rates. Shorter repeats, such as one line that many documents carry, stay.
 
-Scale: a batch of documents sends the first occurrence of each chunk to the fragment of its digest, and further ones
-past it, spread over all fragments; so a chunk in a third of all documents costs a fragment one row for each batch.
-Only chunks that occur again become rows. Runs are built within a document.
+Scale: a batch of documents sends the first occurrence of each chain to the fragment of its digest, and further ones
+past it, spread over all fragments; so a chain in a third of all documents costs a fragment one row for each batch.
+Only chains that occur again become rows, and those of one digest are dealt out where they are many (the join has both
+sides from disk, so that Spark can split it). Passages are built within a document.
 
-Edge cases: null and empty texts have no chunks; a last chunk under three words is never a repeat; repeats inside one
+Edge cases: null and empty texts have no chunks; texts under `least_words` words have no chains; repeats inside one
 document stay; rows with equal key and text count as one document; null keys come first; an empty table gives no rows.
 """
 
@@ -36,7 +41,7 @@ from logsieve.llm.common import WORD, same, stored
 LEAST_WORDS = 24
 #: Words of a chunk, at least and at most (a text's last chunk aside). The hash has 16 bits and so spans 16 bytes.
 SHORTEST, LONGEST = 3, 12
-BATCH_CHUNKS, FRAGMENT_BYTES = 400_000, 16_000_000
+BATCH_CHAINS, FRAGMENT_BYTES = 400_000, 16_000_000
 #: A 16-bit number for each byte, by rule: the middle bits of a multiplied and folded counter.
 GEAR = (((np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ** np.uint64(3)) >> np.uint64(40)).astype(np.uint16)
 
@@ -69,20 +74,48 @@ def chunk_ends(data: bytes) -> tuple[list[int], np.ndarray]:
 
 
 def chunks(text: str | None) -> list[tuple[int, int, int]]:
-    """(digest, first word, words) of each chunk; a last chunk under SHORTEST words is left out."""
+    """(digest, first word, words) of each chunk; only the last may be shorter than SHORTEST words."""
     data = b" ".join((text or "").encode().split())
     if not data:
         return []
     ends, after = chunk_ends(data)
     found, first = [], 0
     for end in ends:
-        if end - first >= SHORTEST:
-            begin = int(after[first - 1]) + 1 if first else 0
-            found.append((xxhash.xxh3_64_intdigest(data[begin : int(after[end - 1])]), first, end - first))
+        begin = int(after[first - 1]) + 1 if first else 0
+        found.append((xxhash.xxh3_64_intdigest(data[begin : int(after[end - 1])]), first, end - first))
         first = end
     return found
 
 
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64."""
+    out = np.ones(n, np.uint64)
+    if n > 1:
+        out[1:] = np.cumprod(np.full(n - 1, base, np.uint64))
+    return out
+
+
+def chains(text: str | None, least_words: int = LEAST_WORDS) -> dict[str, np.ndarray]:
+    """digest, start (word) and words of the shortest chains that begin or end with each chunk of a text."""
+    found = chunks(text)
+    n = len(found)
+    digest = np.array([d for d, _, _ in found], np.uint64)
+    first, words = (np.array([c[i] for c in found], np.int64) for i in (1, 2))
+    end = first + words
+    from_, to = np.searchsorted(first, end - least_words, side="right") - 1, np.searchsorted(end, first + least_words, side="left")
+    pairs = np.unique(np.concatenate([np.flatnonzero(to < n) * n + to[to < n], from_[from_ >= 0] * n + np.flatnonzero(from_ >= 0)]))
+    begins, last = pairs // max(n, 1), pairs % max(n, 1)
+    # Sums of digest * base^-place, so that a difference of two, times base^place, is the same wherever the chain stands.
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(digest * _powers(_BACK, n), dtype=np.uint64)])
+    mixed = (sums[last + 1] - sums[begins]) * _powers(_BASE, n)[begins]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return {"digest": mixed ^ (mixed >> np.uint64(32)), "start": first[begins].astype(np.int32), "words": (end[last] - first[begins]).astype(np.int16)}
+
+
 def _pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -90,11 +123,13 @@ def _pack(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _send(fragments: int):
+def _send(fragments: int, least_words: int):
     """For each batch and fragment: the batch's first occurrences of digests there, and a share of its further ones."""
 
-    def rows(held: dict[str, list], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        digest = np.array(held["digest"], np.uint64)
+    def rows(keys: pa.Array, prints: np.ndarray, held: list[dict]) -> Iterator[pa.RecordBatch]:
+        columns = {name: np.concatenate([h[name] for h in held]) for name in ("digest", "start", "words")}
+        digest = columns["digest"]
+        owner = np.repeat(np.arange(len(held)), [len(h["digest"]) for h in held])
         order = np.argsort(digest, kind="stable")
         new = np.r_[True, digest[order][1:] != digest[order][:-1]]
         again = np.zeros(len(digest), bool)
@@ -103,10 +138,8 @@ def _send(fragments: int):
         many[order[new]] = np.r_[~new[1:], False][new]
         place = ((digest >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
         place = np.where(again, np.arange(len(digest)) % fragments, place).astype(np.int64)
-        table = pa.table({
-            "digest": digest.view(np.int64), "doc_id": pa.array(held["doc_id"], kind), "print": np.array(held["print"], np.int64),
-            "start": np.array(held["start"], np.int32), "words": np.array(held["words"], np.int16), "again": again, "many": many,
-        })
+        columns["digest"] = digest.view(np.int64)
+        table = pa.table({"doc_id": keys.take(pa.array(owner)), "print": prints[owner], **columns, "again": again, "many": many})
         order = np.argsort(place, kind="stable")
         cuts = np.searchsorted(place[order], np.arange(fragments + 1))
         table = table.take(order)
@@ -116,21 +149,25 @@ def _send(fragments: int):
                 yield pa.RecordBatch.from_pydict({"fragment": pa.array([f], pa.int32()), "rows": pa.array([part], pa.binary())})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("digest", "doc_id", "print", "start", "words")
-        held, kind = {k: [] for k in names}, None
+        keys, prints, held, size, kind = [], [], [], 0, None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if size:
+                yield from rows(pa.array(keys, kind), np.array(prints, np.int64), held)
+
         for batch in batches:
             kind = batch.column("_key").type
             for key, mark, text in zip(batch.column("_key").to_pylist(), batch.column("_print").to_pylist(), batch.column("_text"), strict=True):
-                found = chunks(text.as_py())
-                held["doc_id"] += [key] * len(found)
-                held["print"] += [mark] * len(found)
-                for name, values in zip(("digest", "start", "words"), zip(*found, strict=True), strict=False):
-                    held[name] += values
-                if len(held["digest"]) >= BATCH_CHUNKS:
-                    yield from rows(held, kind)
-                    held = {k: [] for k in names}
-        if held["digest"]:
-            yield from rows(held, kind)
+                found = chains(text.as_py(), least_words)
+                if len(found["digest"]):
+                    keys.append(key)
+                    prints.append(mark)
+                    held.append(found)
+                    size += len(found["digest"])
+                if size >= BATCH_CHAINS:
+                    yield from flush()
+                    keys, prints, held, size = [], [], [], 0
+        yield from flush()
 
     return run
 
@@ -151,51 +188,52 @@ def _repeated(table: pa.Table) -> pa.Table:
     return rows.filter(pa.array(keep)).drop_columns(["again", "many"])
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, print, start, words) of every chunk of (_key, _text, _print) that occurs more than once."""
+def repeated_chains(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, print, digest, start, words) of every chain of (_key, _text, _print) that occurs more than once."""
     size = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     kind = docs.schema["_key"].dataType.simpleString()
-    sent = docs.mapInArrow(_send(max(8, size // FRAGMENT_BYTES)), "fragment int, rows binary")
+    sent = docs.mapInArrow(_send(max(8, size // FRAGMENT_BYTES), least_words), "fragment int, rows binary")
     return sent.groupBy("fragment").applyInArrow(
-        _repeated, f"digest long, doc_id {kind}, print long, start int, words short"
+        _repeated, f"doc_id {kind}, print long, digest long, start int, words short"
     )
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, print, start_word, n_words, n_chunks, first_doc_id) of each repeated passage.
+    """(doc_id, print, start_word, n_words, first_doc_id, first_print, first_start_word) of each repeated passage.
 
-    print: xxhash64 of the text; first_doc_id: the earlier document that has most of the passage's words.
+    print: xxhash64 of the text; the first ones: the earlier document that has the passage, and where.
     """
     rows = docs.select(docs[key].alias("_key"), docs[text].alias("_text"), F.xxhash64(docs[text]).alias("_print"))
-    found = stored(repeated_chunks(rows), "chunks")
+    found = stored(repeated_chains(rows, least_words), "chains")
     owner = F.struct("doc_id", "print")
-    first = found.groupBy("digest").agg(F.min(owner).alias("first"), F.max(owner).alias("last"))
-    first = first.where(~same(F.col("first"), F.col("last"))).select("digest", "first")
-    repeats = found.join(first, "digest").where(~same(owner, F.col("first")))
-    repeats = repeats.groupBy("doc_id", "print", "start").agg(F.first("words").cast("int").alias("words"), F.first("first.doc_id").alias("first_doc_id"))
-    near = W.partitionBy("doc_id", "print").orderBy("start")
-    begins = F.when(F.lag(F.col("start") + F.col("words")).over(near) == F.col("start"), 0).otherwise(1)
-    runs = repeats.withColumn("begins", begins).withColumn("run", F.sum("begins").over(near))
-    parts = runs.groupBy("doc_id", "print", "run", "first_doc_id").agg(
-        F.min("start").alias("start"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("chunks")
-    )
-    whole = parts.groupBy("doc_id", "print", "run").agg(
-        F.min("start").alias("start_word"), F.sum("words").alias("n_words"), F.sum("chunks").alias("n_chunks"),
-        F.max(F.struct("words", F.col("first_doc_id").alias("id"))).getField("id").alias("first_doc_id"),
+    first = found.groupBy("digest").agg(F.min(F.struct("doc_id", "print", "start")).alias("first"), F.max(owner).alias("last"))
+    held = F.struct("first.doc_id", "first.print")
+    first = stored(first.where(~same(held, F.col("last"))).select("digest", "first"), "holders")
+    repeats = found.join(first, "digest").where(~same(owner, held))
+    repeats = repeats.select(
+        *("doc_id", "print", "start"), (F.col("start") + F.col("words")).alias("end"), F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first.print").alias("first_print"), (F.col("start") - F.col("first.start")).alias("shift"),
     )
-    return whole.where(F.col("n_words") >= least_words).drop("run")
+    place = ["doc_id", "print", "first_doc_id", "first_print", "shift"]
+    repeats = repeats.groupBy(*place, "start").agg(F.max("end").alias("end"))
+    near = W.partitionBy(*place).orderBy("start")
+    begins = F.when(F.lag("end").over(near) >= F.col("start"), 0).otherwise(1)
+    runs = repeats.withColumn("begins", begins).withColumn("run", F.sum("begins").over(near))
+    whole = runs.groupBy(*place, "run").agg(F.min("start").alias("start_word"), F.max("end").alias("end"))
+    return whole.select("doc_id", "print", "start_word", (F.col("end") - F.col("start_word")).alias("n_words"),
+                        "first_doc_id", "first_print", (F.col("start_word") - F.col("shift")).alias("first_start_word"))
 
 
 _WORDS = re.compile(WORD)
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the given runs of words (first word, words) and the white space behind them."""
+    """The text without the given runs of words (first word, words), which may overlap, and the white space behind them."""
     at = [m.start() for m in _WORDS.finditer(text)] + [len(text)]
     kept, done = [], 0
     for first, words in sorted(spans):
         kept.append(text[done : at[first]])
-        done = at[first + words]
+        done = max(done, at[first + words])
     return "".join([*kept, text[done:]])
 
 

@@ -95,7 +95,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunking.passages(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "start_word", "n_words", "n_chunks", "first_doc_id")
+    return found.select("doc_id", "start_word", "n_words", "first_doc_id", "first_start_word")
 
 
 @query("op6_phrase_fingerprint")
