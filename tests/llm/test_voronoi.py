@@ -32,22 +32,41 @@ def corpus(seed, clustered):
 
 
 @pytest.mark.parametrize("clustered,options", [(True, {}), (False, {}), (True, {"chunk": 7, "slice_": 50, "pivots": 9}), (False, {"k": 3, "chunk": 5, "slice_": 30})])
-def test_top_k(spark, monkeypatch, clustered, options):
-    monkeypatch.setattr(voronoi, "PER_PIVOT", 4)
+def test_top_k(spark, clustered, options):
     rows = corpus(3, clustered)
     vectors = spark.createDataFrame([(k, v, 7) for k, v in rows], "vec_id long, embedding array<float>, cid int").repartition(4)
     got = voronoi.top_k(vectors, **options).collect()
     assert sorted(map(tuple, got)) == brute(rows, options.get("k", 20), lambda q: q % 20 == 0)
 
 
-def test_pruning_leaves_out_far_groups(monkeypatch):
-    rng = np.random.default_rng(1)
-    centres = (rng.normal(size=(3, 8)) * 100).astype(np.int64)
-    run = voronoi._replicate(centres, 1e9, np.array([-1.0, np.inf, -1.0]), np.ones((3, 3), bool))
-    import pyarrow as pa
+@pytest.mark.parametrize("clustered", [True, False])
+def test_ids_with_several_vectors(spark, clustered):
+    rng = np.random.default_rng(4)
+    rows = corpus(4, clustered)
+    near = rows[20][1]
+    rows += [(20, [float(np.float32(x + 0.02 * e)) for x, e in zip(near, rng.normal(size=12))]) for _ in range(30)]
+    rows += [(3000, v) for _, v in rows[:300]] + [(40, near), (40, [9.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    for options in ({}, {"chunk": 9, "slice_": 40, "k": 4}):
+        k = options.get("k", 20)
+        got = sorted(map(tuple, voronoi.top_k(vectors, **options).collect()))
+        assert got == brute(rows, k, lambda q: q % 20 == 0)
+        assert sum(r[0] == 20 for r in got) == 31 * k
 
-    batch = pa.RecordBatch.from_pydict({"cid": [1, 2], "v": centres[:2].tolist(), "ids": [[1], [2]], "pivot": [0, 1]})
-    assert [b.column("grp").to_pylist() for b in run([batch])] == [[1, 1]]
+
+def test_pruning(spark):
+    """In clusters, bounds leave out most of the data; without any, the groups share one copy of it for each chunk."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(20, 16))
+    parts = []
+    for spread in (0.02, 1.0):
+        rows = [(i, [float(x) for x in np.float32(centres[i % 20] + spread * rng.normal(size=16))]) for i in range(4000)]
+        figures = {}
+        got = voronoi.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), figures=figures)
+        assert sorted(map(tuple, got.collect())) == brute(rows, 20, lambda q: q % 20 == 0)
+        parts.append(figures["rows"] / figures["rows_without_bounds"])
+        assert figures["rows"] <= 4000 * max(figures["groups"], 1)
+    assert parts[0] < 0.6 and parts[1] <= 1
 
 
 def test_few_rows(spark):
