@@ -46,5 +46,11 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def identity(*columns: Column | str) -> Column:
+    """128 bits of a hash over the columns, as binary."""
+    halves = (F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)

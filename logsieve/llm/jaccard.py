@@ -18,7 +18,8 @@ document; exact copies meet in a grouped minimum. Tables in between are written
 
 Edge cases: null and empty texts have an empty set and are linked with nothing; texts with fewer words than `n` count
 as one shingle; rows with equal sets are linked; null or repeated keys are allowed, a row without key joins its group
-and the group's id is the smallest key that is not null; an empty table gives no rows; other columns are ignored.
+and the group's id is the smallest key that is not null (rows are told apart by 128 bits of a hash of key and text); an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,14 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.llm.common import WORD, same, stored
+from logsieve.llm.common import WORD, identity, stored
 from logsieve.llm.graphs import components
 
 N, SIMILARITY = 5, 80
 #: N-grams that a batch holds at once, and text bytes for each fragment of the order.
 BATCH, FRAGMENT_BYTES, SEGMENTS, HUBS = 1_000_000, 16_000_000, 4, 3
-#: Nodes of a block, and n-grams of the order that a block's overlaps are counted over at once.
-BLOCK, COLUMNS = 256, 4096
+#: Nodes and n-grams of a block, n-grams of the order that a block's overlaps are counted over at once, n-grams of a task.
+BLOCK, BLOCK_GRAMS, COLUMNS, TASK_GRAMS = 256, 262_144, 4096, 2_097_152
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _MANY = np.uint16(0xFFFF)
 
@@ -87,7 +88,7 @@ def _send(n: int, fragments: int):
         cuts = np.searchsorted(place, np.arange(fragments + 1, dtype=np.uint64))
         low = grams.astype(np.uint32)
         which = [own_of[d] for d in digests]
-        meta = pa.table({"doc_id": keys, "row": pa.array(marks, pa.int64()), "n": pa.array([len(g) for g in held], pa.int32()), "digest": pa.array(digests, pa.binary()),
+        meta = pa.table({"doc_id": keys, "row": pa.array(marks, pa.binary()), "n": pa.array([len(g) for g in held], pa.int32()), "digest": pa.array(digests, pa.binary()),
                          "own": pa.array(which, pa.int32()), "local": pa.array(local[which], pa.int32())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, meta.schema) as out:
@@ -163,7 +164,7 @@ def shared_counts(docs: DataFrame, n: int = N) -> DataFrame:
     kind = docs.schema["_key"].dataType.simpleString()
     sent = docs.mapInArrow(_send(n, max(8, size // FRAGMENT_BYTES)), "fragment int, batch long, grams binary, own binary, meta binary")
     counts = sent.groupBy("fragment").applyInArrow(_count_fragment, "batch long, counts binary, meta binary")
-    return counts.groupBy("batch").applyInArrow(_sum_batch, f"doc_id {kind}, row long, n int, digest binary, shared int")
+    return counts.groupBy("batch").applyInArrow(_sum_batch, f"doc_id {kind}, row binary, n int, digest binary, shared int")
 
 
 def _sets(n: int):
@@ -239,9 +240,14 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _link_blocks(similarity: int):
     """Links between nodes of two blocks that join components: at most one less than the two have components."""
 
-    def links(rows: list[dict], a: int, b: int) -> Iterator[tuple[int, int]]:
-        left, right = [r for r in rows if r["block"] == a], [r for r in rows if r["block"] == b]
-        label = {r["label"]: r["label"] for r in rows}
+    def side(rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        lists = rows.column("grams").combine_chunks()
+        flat, ends = np.asarray(lists.flatten()), np.cumsum(np.asarray(lists.value_lengths()))
+        return np.split(flat, ends[:-1]), *(rows.column(c).to_numpy() for c in ("n", "label", "node"))
+
+    def links(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, int]]:
+        (sets_a, n_a, label_a, node_a), (sets_b, n_b, label_b, node_b) = side(left), side(right)
+        label = {x: x for x in (*label_a.tolist(), *label_b.tolist())}
 
         def find(x: int) -> int:
             while label[x] != x:
@@ -249,23 +255,23 @@ def _link_blocks(similarity: int):
                 x = label[x]
             return x
 
-        common = _overlaps([np.array(r["grams"]) for r in left], [np.array(r["grams"]) for r in right])
-        sizes = [np.array([r["n"] for r in side])[:, None] for side in (left, right)]
-        linked = (100 + similarity) * common >= similarity * (sizes[0] + sizes[1].T)
-        linked &= np.array([r["label"] for r in left])[:, None] != np.array([r["label"] for r in right])[None, :]
-        for i, j in zip(*np.nonzero(linked), strict=True):
-            x, y = find(left[i]["label"]), find(right[j]["label"])
+        linked = (100 + similarity) * _overlaps(sets_a, sets_b) >= similarity * (n_a[:, None].astype(np.int64) + n_b[None, :])
+        linked &= label_a[:, None] != label_b[None, :]
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+            x, y = find(int(label_a[i])), find(int(label_b[j]))
             if x != y:
                 label[x] = y
-                yield left[i]["node"], right[j]["node"]
+                yield int(node_a[i]), int(node_b[j])
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("a", "ascending"), ("b", "ascending"), ("block", "ascending")])
+        a, b, block = (table.column(c).to_numpy() for c in ("a", "b", "block"))
+        new = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
         found: list[tuple[int, int]] = []
-        pairs: dict[tuple[int, int], list[dict]] = {}
-        for row in table.to_pylist():
-            pairs.setdefault((row["a"], row["b"]), []).append(row)
-        for (a, b), rows in pairs.items():
-            found += links(rows, a, b)
+        for at, to in zip([0, *new.tolist()], [*new.tolist(), len(a)], strict=True):
+            of = {x: table.slice(at + lo, hi - lo) for x in (a[at], b[at]) for lo, hi in [np.searchsorted(block[at:to], [x, x + 1])]}
+            if all(len(x) for x in of.values()):
+                found += links(of[a[at]], of[b[at]])
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run
@@ -275,10 +281,10 @@ def _rest_links(prefixes: DataFrame, labels: DataFrame, nodes: DataFrame, simila
     """Links between members of one n-gram that are still in different components, found by blocks of nodes.
 
     A node's home is the most frequent of its n-grams with members of several components; there it is one of the
-    largest component or one of the others. A home is cut into blocks of about BLOCK nodes. Two blocks meet if they
-    share such an n-gram and one of them has it outside the largest component there.
+    largest component or one of the others. A home is cut into blocks of about BLOCK nodes, or fewer with BLOCK_GRAMS
+    n-grams. Two blocks meet if they share such an n-gram and one of them has it outside the largest component there.
     """
-    rows = prefixes.select("gram", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = prefixes.select("gram", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
         rows.groupBy("gram", "label")
         .agg(F.count(F.lit(1)).alias("members"))
@@ -288,19 +294,20 @@ def _rest_links(prefixes: DataFrame, labels: DataFrame, nodes: DataFrame, simila
         .select("gram", "members", F.col("major.label").alias("major"))
     )
     rows = stored(rows.join(mixed, "gram").withColumn("minor", F.col("label") != F.col("major")), "mixed")
-    homes = rows.groupBy("node", "label").agg(F.max(F.struct("members", "gram", "minor")).alias("home"))
-    homes = homes.select("node", "label", F.col("home.gram").alias("home"), F.col("home.minor").alias("outside"))
-    parts = homes.groupBy("home", "outside").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    homes = rows.groupBy("node", "label", "n").agg(F.max(F.struct("members", "gram", "minor")).alias("home"))
+    homes = homes.select("node", "label", "n", F.col("home.gram").alias("home"), F.col("home.minor").alias("outside"))
+    parts = homes.groupBy("home", "outside").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("parts"))
     block = F.xxhash64("home", "outside", F.pmod(F.xxhash64("node"), "parts"))
-    blocks = stored(homes.join(parts, ["home", "outside"]).select("node", "label", block.alias("block")), "blocks")
+    blocks = stored(homes.join(parts, ["home", "outside"]).select("node", "label", "n", block.alias("block")), "blocks")
 
     met = rows.join(blocks.select("node", "block"), "node").groupBy("gram", "block").agg(F.max("minor").alias("minor"))
     x, y = met.where("minor").select("gram", F.col("block").alias("x")), met.select("gram", F.col("block").alias("y"))
     pairs = stored(x.join(y, "gram").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
-    tasks = max(1, pairs.count() // 16)
-    sides = pairs.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(tasks)))
-    sides = sides.withColumn("block", F.explode(F.array_distinct(F.array("a", "b"))))
-    members = sides.join(blocks, "block").join(nodes, "node").select("task", "a", "b", "block", "node", "label", "n", "grams")
+    sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("a", "b"))))
+    sizes = blocks.groupBy("block").agg(F.sum("n").alias("grams"))
+    sent = sides.join(sizes, "block").agg(F.sum("grams")).first()[0] or 0
+    sides = sides.withColumn("task", F.pmod(F.xxhash64("a", "b"), F.lit(max(1, int(sent) // TASK_GRAMS))))
+    members = sides.join(blocks.drop("n"), "block").join(nodes, "node").select("task", "a", "b", "block", "node", "label", "n", "grams")
     return members.groupBy("task").applyInArrow(_link_blocks(similarity), "a long, b long")
 
 
@@ -309,16 +316,17 @@ def groups(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, row, group) of every document; `similarity` in hundredths.
 
-    row: xxhash64 of key and text; group: a digest that all documents of the component share.
+    row: 128 bits of a hash of key and text; group: a digest that all documents of the component share.
     """
-    docs = docs.select(docs[key].alias("_key"), docs[text].alias("_text"), F.xxhash64(docs[key], docs[text]).alias("_row"))
+    docs = docs.select(docs[key].alias("_key"), docs[text].alias("_text"), identity(docs[key], docs[text]).alias("_row"))
     counted = stored(shared_counts(docs, n), "shared")
     classes = counted.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.max("shared").alias("shared"), F.first("n").alias("n")
+        F.min("doc_id").alias("least"), F.min("row").alias("holder"), F.max("shared").alias("shared"), F.first("n").alias("n")
     )
     classes = stored(classes, "classes")
-    open_ = classes.where(100 * F.col("shared") >= similarity * F.col("n")).select("digest", F.col("least").alias("_open"))
-    sets = docs.join(open_, same(F.col("_key"), F.col("_open"))).select("_text", "digest").mapInArrow(_sets(n), "digest binary, grams array<long>")
+    open_ = classes.where(100 * F.col("shared") >= similarity * F.col("n")).select("digest", F.col("holder").alias("_open"))
+    held = docs.join(open_, F.col("_row") == F.col("_open")).groupBy("_row", "digest").agg(F.first("_text").alias("_text"))
+    sets = held.select("_text", "digest").mapInArrow(_sets(n), "digest binary, grams array<long>")
     sets = stored(sets.dropDuplicates(["digest"]).withColumn("node", F.monotonically_increasing_id()), "sets")
 
     postings = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
@@ -355,7 +363,8 @@ def representatives(docs: DataFrame, n: int = N, similarity: int = SIMILARITY) -
     found = groups(docs, n=n, similarity=similarity).where("n_shingles > 0")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
     kept = found.groupBy("group").agg(least).select(F.col("least.row").alias("__kept"))
-    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    named = rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").dropDuplicates(["__row"])
+    own = next(name for name in ("__row", *(f"__row{i}" for i in range(len(docs.columns) + 1))) if name not in docs.columns)
+    rows = docs.withColumn(own, identity("doc_id", "text"))
+    named = rows.join(kept, rows[own] == kept["__kept"], "left_semi").dropDuplicates([own])
     wordless = rows.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
     return named.unionByName(wordless).select(*docs.columns)

@@ -109,3 +109,50 @@ def test_graph(spark, edges):
                 changed = True
     got = graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted((r.node, r.label) for r in got) == sorted(parent.items())
+
+
+def test_null_and_repeated_keys_join_once(spark, monkeypatch):
+    """Open classes meet their holder's text alone, however many rows share its key."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(150):
+        text = [f"w{rng.randrange(500)}" for _ in range(40)]
+        for _ in range(2):
+            text[rng.randrange(40)] = f"v{rng.randrange(500)}"
+            rows.append((rng.choice([None, None, 7]), " ".join(text)))
+    rows += [(None, rows[0][1])] * 50
+    seen = []
+    of = jaccard.stored
+
+    def watched(df, name):
+        out = of(df, name)
+        if name == "sets":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", watched)
+    got = jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows)
+    assert 0 < seen[0] <= len(set(rows))
+
+
+def test_long_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", 50_000)
+    monkeypatch.setattr(jaccard, "TASK_GRAMS", 100_000)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(100_000)}" for _ in range(20_000)]
+    rows = []
+    for i in range(12):
+        text = list(base)
+        for at in range(i * 37, 20_000, 400):
+            text[at] = f"x{rng.randrange(100_000)}"
+        rows.append((i, " ".join(text)))
+    got = jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows)
+
+
+def test_representatives_with_clashing_columns(spark):
+    rows = [(1, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2), (None, "", "z", 3), (None, None, "z", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row string, __kept int")
+    out = jaccard.representatives(docs)
+    assert out.columns == docs.columns and sorted(r[3] for r in out.collect()) == [1, 3, 4]
