@@ -21,6 +21,8 @@ from logsieve.operators.nearest import nearest, nearest_batch
 from logsieve.operators.parity import compare_keys, difference, parity
 from logsieve.operators.search import (count_hits, first, hits, resolve_limit, search, top)
 from logsieve.operators.textindex import TokenIndex, token_table
+from logsieve.operators.trigrams import TrigramIndex
+from logsieve.operators.vectorindex import VectorIndex
 from logsieve.plans import catalogue
 from logsieve.plans.registry import LOGS, PROSE, RATED, WORDS, Tables, query, tokens_sql
 from logsieve.sources import tables
@@ -319,6 +321,30 @@ def _(t: Tables):
     return _stored_index(t).matching(t.prose(), "the").select("doc_id", "filename")
 
 
+def _trigram_index(t: Tables) -> TrigramIndex:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return TrigramIndex.ensure(t.prose(), tables.scratch_path(t.spark, f"trigrams-{key}"))
+
+
+def _by_trigrams(name: str, sql_test: str, find_rows) -> None:
+    """Keys of the documents that a pattern matches, from the trigram table."""
+    @query(name, f"WITH {PROSE} SELECT doc_id FROM prose WHERE {sql_test}")
+    def _(t: Tables):
+        return find_rows(_trigram_index(t), t.prose()).select("doc_id")
+
+
+_by_trigrams("f04_trigram_find", "regexp_matches(content, 'licen[cs]e')", lambda i, docs: i.find(docs, LICENSE))
+_by_trigrams("f05_trigram_any_case", "regexp_matches(content, 'licen[cs]e', 'i')", lambda i, docs: i.find(docs, LICENSE, "i"))
+_by_trigrams("f03_trigram_lower", "regexp_matches(lower(content), 'licen[cs]e')",
+             lambda i, docs: i.regex(docs, f"(.*){LICENSE}(.*)", on="lower"))
+_by_trigrams("f08_trigram_ip_shape", f"regexp_matches(content, '{IP}')", lambda i, docs: i.find(docs, IP))
+_by_trigrams("f10_trigram_email", f"regexp_matches(lower(content), '{MAIL}')", lambda i, docs: i.regex(docs, f"(.*){MAIL}(.*)", on="lower"))
+_by_trigrams("f11_trigram_ordered", "regexp_matches(content, 'GNU.*version [0-9]')", lambda i, docs: i.find(docs, "GNU.*version [0-9]"))
+_by_trigrams("f11_trigram_across_lines", "regexp_matches(content, 'GNU.*icense', 's')", lambda i, docs: i.regex(docs, "(.*)GNU(.*)icense(.*)"))
+_by_trigrams("f12_trigram_anchored", "regexp_matches(content, '^The .*license', 's')", lambda i, docs: i.regex(docs, "The (.*)license(.*)"))
+_by_trigrams("f04_trigram_scan", "regexp_matches(content, '[A-Z][a-z][a-z] [0-9]')", lambda i, docs: i.find(docs, "[A-Z][a-z][a-z] [0-9]"))
+
+
 def _vector(t: Tables, vec_id: int) -> list[float]:
     return t.embeddings.filter(F.col("vec_id") == vec_id).first()["embedding"]
 
@@ -595,17 +621,53 @@ _register_metric("v03_nearest_dot", "dot", "list_inner_product(embedding::DOUBLE
 _register_metric("v03_nearest_euclidean", "euclidean", "0 - list_distance(embedding::DOUBLE[], q)")
 
 
-@query("v02_nearest_batch", """WITH s AS (SELECT q.vec_id AS query_id, e.vec_id,
-    list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score
-    FROM embeddings q JOIN embeddings e ON q.vec_id IN (0, 7, 42)),
+def batch_sql(score: str, k: int) -> str:
+    """The k best of all vectors for every row whose id 20 divides."""
+    return f"""WITH s AS (SELECT a.vec_id AS query_id, e.vec_id, {score} AS score
+    FROM (SELECT vec_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0) a, embeddings e),
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-  SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 5""")
+  SELECT query_id, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= {k}"""
+
+
+@query("v02_nearest_batch", batch_sql(COSINE, 5))
 def _(t: Tables):
-    asked = t.embeddings.filter(F.col("vec_id").isin(0, 7, 42))
-    best = nearest_batch(t.embeddings, asked, 5)
+    best = nearest_batch(t.embeddings, t.embeddings.filter(F.col("vec_id") % 20 == 0), 5)
     return best.select("query_id", "vec_id", "rank", rounded("score"))
 
 
+def _vector_index(t: Tables, metric: str = "cosine") -> VectorIndex:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return VectorIndex.ensure(t.embeddings, tables.scratch_path(t.spark, f"vectors-{metric}-{key}"), metric)
+
+
+def _asked(t: Tables) -> DataFrame:
+    return t.embeddings.filter(F.col("vec_id") % 20 == 0)
+
+
+def _register_index(name: str, metric: str, score: str) -> None:
+    @query(name, batch_sql(score, 10))
+    def _(t: Tables):
+        best = _vector_index(t, metric).search_exact(_asked(t), 10)
+        return best.select("query_id", "vec_id", "rank", rounded("score"))
+
+
+_register_index("v02_index_exact", "cosine", COSINE)
+_register_index("v03_index_exact_dot", "dot", "list_inner_product(e.embedding::DOUBLE[], q)")
+_register_index("v03_index_exact_euclidean", "euclidean", "0 - list_distance(e.embedding::DOUBLE[], q)")
+
+
+# What must hold of the approximate search: all queries answered in full, and nine of ten neighbours found.
+@query("v02_index_recall", """SELECT count(*) AS queries, (count(*) * least(10, (SELECT count(*) FROM embeddings)))::BIGINT AS returned,
+  true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0""")
+def _(t: Tables):
+    index, asked = _vector_index(t), _asked(t)
+    found, exact = index.search(asked, 10), nearest_batch(t.embeddings, asked, 10)
+    true = exact.select("query_id", "vec_id", F.lit(True).alias("true"))
+    rows = found.join(true, ["query_id", "vec_id"], "left")
+    return rows.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("returned"),
+                    (F.count("true") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
+
+
 @query("v04_bm25", f"""WITH {PROSE}, {bm25_sql('prose', ['license', 'gnu', 'software'])}
   SELECT doc_id, round(score, 6) AS score FROM scored""")
 def _(t: Tables):
