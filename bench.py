@@ -30,7 +30,7 @@ from logsieve.plans import catalogue  # noqa: E402
 from logsieve.plans.registry import Tables  # noqa: E402
 from logsieve.session import local_session  # noqa: E402
 from logsieve.sources.logs import matching_log_lines  # noqa: E402
-from logsieve.sources.tables import scratch_path  # noqa: E402
+from logsieve.sources.tables import library_path  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CORES = int(os.environ.get("BENCH_CPUS", "8"))
@@ -111,7 +111,7 @@ def main() -> None:
     start = time.perf_counter()
     docs = {"logs": tables.logs(), "prose": tables.loaded("prose", tables.prose)}
     prose, logs = docs["prose"], docs["logs"]
-    indexes = {name: TokenIndex.ensure(rows, scratch_path(spark, f"bench-index-{name}")) for name, rows in docs.items()}
+    indexes = {name: TokenIndex.ensure(rows, library_path(spark, f"bench-index-{name}")) for name, rows in docs.items()}
     index = indexes["prose"]
     load = time.perf_counter() - start
 

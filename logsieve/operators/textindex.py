@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.functions.text import has_words, query_terms, tokens
 from logsieve.operators.relevance import CorpusStats, stats_from
-from logsieve.sources.tables import is_current, source_state, write_manifest
+from logsieve.sources.tables import source_state
+from logsieve.sources.versions import Versions
 
 
 def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
@@ -43,20 +44,22 @@ class TokenIndex:
     postings: DataFrame
     corpus: DataFrame
     key: str = "doc_id"
+    current: bool = False  # whether the index is known to hold the words of the documents as they are
 
     @staticmethod
     def of(docs: DataFrame, content: str = "content", key: str = "doc_id") -> "TokenIndex":
         """An index computed on the fly."""
-        return TokenIndex(token_table(docs, content, key), totals(docs, content), key)
+        return TokenIndex(token_table(docs, content, key), totals(docs, content), key, current=True)
 
     @staticmethod
     def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> "TokenIndex":
-        """The stored index if it was finished from these documents as they are, else a new one."""
-        spark, state = docs.sparkSession, source_state(docs)
-        if not is_current(spark, f"{path}/postings", state):
-            TokenIndex.of(docs, content, key).save(path)
-            write_manifest(docs, f"{path}/postings", state, spark.read.parquet(f"{path}/postings"))
-        return TokenIndex.load(spark, path, key)
+        """The newest version of the stored index if it was made from these documents as they are, else a new one.
+
+        Later applications find it again.
+        """
+        spark, state = docs.sparkSession, f"{content}, {key}: {source_state(docs)}"
+        folder = Versions(spark, path).ensure(state, TokenIndex.of(docs, content, key).save)
+        return replace(TokenIndex.load(spark, folder, key), current=True)
 
     @staticmethod
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "TokenIndex":
@@ -88,19 +91,20 @@ class TokenIndex:
         """Keys of the documents that hold any (or all) of the words, each once."""
         found = self.lookup(query)
         if mode == "any":
-            return found.select(self.key).distinct()
+            # A word has one row for each document, so one word needs no distinct.
+            return found.select(self.key) if len(query_terms(query)) == 1 else found.select(self.key).distinct()
         counted = found.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
         return counted.filter(F.col("n") == len(query_terms(query))).select(self.key)
 
     def matching(self, docs: DataFrame, query: str, mode: str = "any", content: str = "content") -> DataFrame:
-        """Documents with the query's words: a semi join on the stored keys, then the words' test.
+        """Documents with the query's words: a semi join on the stored keys.
 
         Whether the keys are sent to the documents or both are shuffled is left to the optimiser,
-        which knows their size when it runs. The test keeps out documents that have lost the words
-        since the index was made.
+        which knows their size when it runs. Unless the index is known to be current, the words are
+        tested as well, which keeps out documents that have lost them since it was made.
         """
         found = docs.join(self.keys(query, mode), self.key, "left_semi")
-        return found.filter(has_words(F.col(content), query, mode))
+        return found if self.current else found.filter(has_words(F.col(content), query, mode))
 
     def stats(self, query: str) -> CorpusStats:
         """Two scalar subqueries: the corpus totals, and the documents per word."""

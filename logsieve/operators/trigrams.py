@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from logsieve.functions.grams import TRUE, All, Any, Gram, all_of, any_of, grams_in, required_grams
 from logsieve.functions.patterns import FIND, WHOLE, Pattern, compile_pattern
-from logsieve.sources.tables import is_current, source_state, write_manifest
+from logsieve.sources.tables import source_state
+from logsieve.sources.versions import Versions
 
 # Characters of a text that are cut into trigrams at once, rows of a file, trigrams of one text that are looked up, and
 # the part of the documents above which the table isn't asked.
@@ -79,12 +80,10 @@ class TrigramIndex:
 
     @staticmethod
     def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> "TrigramIndex":
-        """The stored index if it was finished from these documents as they are, else a new one."""
+        """The newest version of the stored index if it was made from these documents as they are, else a new one."""
         spark, state = docs.sparkSession, f"{content}, {key}: {source_state(docs)}"
-        if not is_current(spark, f"{path}/corpus", state):
-            TrigramIndex.build(docs, path, content, key)
-            write_manifest(docs, f"{path}/corpus", state, spark.read.parquet(f"{path}/corpus"))
-        return TrigramIndex.load(spark, path, content, key)
+        folder = Versions(spark, path).ensure(state, lambda folder: TrigramIndex.build(docs, folder, content, key))
+        return TrigramIndex.load(spark, folder, content, key)
 
     @staticmethod
     def build(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> None:

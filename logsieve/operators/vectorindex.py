@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from logsieve.functions.vectors import METRICS
 from logsieve.operators.nearest import arrow_layout, best, best_of_slice, matrix, nearest_batch, ranked
-from logsieve.sources.tables import is_current, source_state, write_manifest
+from logsieve.sources.tables import source_state
+from logsieve.sources.versions import Versions
 
 # Vectors that centroids and codes are learned from, and the lists there are at most. What the driver holds: both times
 # the numbers of a vector.
@@ -142,12 +143,11 @@ class VectorIndex:
     @staticmethod
     def ensure(vectors: DataFrame, path: str, metric: str = "cosine", key: str = "vec_id", column: str = "embedding",
                lists: int | None = None, target: float = TARGET) -> "VectorIndex":
-        """The stored index if it was finished from these vectors as they are, else a new one."""
+        """The newest version of the stored index if it was made from these vectors as they are, else a new one."""
         spark, state = vectors.sparkSession, f"{metric}, {key}, {column}, {lists}, {target}: {source_state(vectors)}"
-        if not is_current(spark, f"{path}/settings", state):
-            VectorIndex.build(vectors, path, metric, key, column, lists, target)
-            write_manifest(vectors, f"{path}/settings", state, spark.read.parquet(f"{path}/settings"))
-        return VectorIndex.load(spark, path)
+        folder = Versions(spark, path).ensure(
+            state, lambda folder: VectorIndex.build(vectors, folder, metric, key, column, lists, target))
+        return VectorIndex.load(spark, folder)
 
     @staticmethod
     def build(vectors: DataFrame, path: str, metric: str = "cosine", key: str = "vec_id", column: str = "embedding",

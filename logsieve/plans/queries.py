@@ -76,7 +76,7 @@ def _(t: Tables):
 
 @query("s06_ensure_table", f"""WITH {PROSE} SELECT doc_id, filename, lower(content) AS content_lc FROM prose""")
 def _(t: Tables):
-    path = tables.scratch_path(t.spark, "s06")
+    path = tables.library_path(t.spark, "s06")
     expected = tables.row_count(t.documents)
     for _ in range(2):  # the second call finds the table in place
         stored = tables.ensure_table(t.spark, path, lambda: with_lower(t.prose()), expected, ["content_lc"])
@@ -293,7 +293,7 @@ def _(t: Tables):
 def _stored_index(t: Tables) -> TokenIndex:
     """The token table of the documents, stored in the shared folder and made anew when they change."""
     key = hashlib.sha256(t.folder.encode()).hexdigest()
-    return TokenIndex.ensure(t.prose(), tables.scratch_path(t.spark, f"index-{key}"))
+    return TokenIndex.ensure(t.prose(), tables.library_path(t.spark, f"index-{key}"))
 
 
 @query("j01_index_semi_join", f"""WITH {PROSE} SELECT doc_id, filename FROM prose
@@ -323,7 +323,7 @@ def _(t: Tables):
 
 def _trigram_index(t: Tables) -> TrigramIndex:
     key = hashlib.sha256(t.folder.encode()).hexdigest()
-    return TrigramIndex.ensure(t.prose(), tables.scratch_path(t.spark, f"trigrams-{key}"))
+    return TrigramIndex.ensure(t.prose(), tables.library_path(t.spark, f"trigrams-{key}"))
 
 
 def _by_trigrams(name: str, sql_test: str, find_rows) -> None:
@@ -637,7 +637,7 @@ def _(t: Tables):
 
 def _vector_index(t: Tables, metric: str = "cosine") -> VectorIndex:
     key = hashlib.sha256(t.folder.encode()).hexdigest()
-    return VectorIndex.ensure(t.embeddings, tables.scratch_path(t.spark, f"vectors-{metric}-{key}"), metric)
+    return VectorIndex.ensure(t.embeddings, tables.library_path(t.spark, f"vectors-{metric}-{key}"), metric)
 
 
 def _asked(t: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logsieve.sources.documents import prose
 from logsieve.sources.logs import log_documents
-from logsieve.sources.tables import ensure_table, read_table, scratch_path
+from logsieve.sources.tables import ensure_table, library_path, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,7 +45,7 @@ class Tables:
 
     def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = hashlib.sha256(self.folder.encode()).hexdigest()
-        return ensure_table(self.spark, scratch_path(self.spark, f"{name}-{key}"), build)
+        return ensure_table(self.spark, library_path(self.spark, f"{name}-{key}"), build)
 
 
 def query(name: str, sql: str | None = None):

@@ -11,6 +11,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsieve.sources.versions import Versions
+
+# Bytes read for each file of a small table, the size from which files are left as they come, and of a row group.
+FILE_BYTES, LARGE_FILE_BYTES, ROW_GROUP_BYTES = 1 << 20, 64 << 20, 16 << 20
+
 _OWN: dict[str, str] = {}
 
 
@@ -41,6 +46,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/logsieve-{spark.sparkContext.applicationId}/{name}"
 
 
+def library_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that later applications find again; use it for versioned tables."""
+    return f"{shared_dir(spark)}/logsieve/{name}"
+
+
 def append(rows: DataFrame, path: str) -> None:
     """Add a batch of rows; every task writes its own file."""
     rows.write.mode("append").parquet(path)
@@ -75,55 +85,54 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def source_state(rows: DataFrame) -> str:
-    """What the frame is read from: a digest of its files with their sizes and times.
+def source_files(rows: DataFrame) -> tuple[str, int]:
+    """What the frame is read from: a digest of its files with their sizes and times, and their bytes.
 
     The files are listed by Spark, on whatever store they are; no content is read.
     """
     files = rows.inputFiles()
     if not files:
-        return "none"
+        return "none", 0
     listed = rows.sparkSession.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
-    state = listed.agg(F.count(F.lit(1)).alias("n"),
+    state = listed.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                        F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("sum")).first()
-    return f"{state['n']} files, {state['sum']}"
+    return f"{state['n']} files, {state['sum']}", state["bytes"]
 
 
-def write_manifest(rows: DataFrame, path: str, state: str, written: DataFrame) -> None:
-    """Written last: without it a table is unfinished."""
-    line = [(state, written.schema.json(), written.count())]
-    rows.sparkSession.createDataFrame(line, "source string, layout string, n long").coalesce(1).write.mode(
-        "overwrite").parquet(f"{path}.manifest")
+def source_state(rows: DataFrame) -> str:
+    return source_files(rows)[0]
 
 
-def is_current(spark: SparkSession, path: str, state: str) -> bool:
-    """Whether the table at the path is complete, unchanged and made from sources in that state."""
-    table, manifest = stored(spark, path), stored(spark, f"{path}.manifest")
-    if table is None or manifest is None:
-        return False
-    line = manifest.first()
-    return line is not None and (line["source"], line["layout"], line["n"]) == (
-        state, table.schema.json(), table.count())
+def spread(rows: DataFrame, bytes_read: int) -> DataFrame:
+    """A small table in as many files as tasks can run, so that scans of it use them all; large ones stay as they are."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(min(tasks, 1 + bytes_read // FILE_BYTES)) if bytes_read < tasks * LARGE_FILE_BYTES else rows
 
 
 def ensure_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                  expected_rows: int | None = None, required_columns: Iterable[str] = (),
                  reset: bool = False) -> DataFrame:
-    """The stored table when it still fits, else a rebuilt one.
+    """The newest version of the stored table when it still fits, else a new version; this and later applications use it.
 
-    It fits when its manifest says that it was finished from the same files in the same state,
-    its columns and rows are those that were written, it has the expected number of rows, if one
-    is given, and values in all required columns. ``reset`` always rebuilds.
+    It fits when it was made from the same files in the same state, its columns and rows are those
+    that were written, it has the expected number of rows, if one is given, and values in all
+    required columns. ``reset`` always rebuilds. Queries that read an older version go on.
     """
-    rows = build()
-    state = source_state(rows)
-    if not reset and is_current(spark, path, state):
-        table = spark.read.parquet(path)
-        fits = expected_rows is None or row_count(table) == expected_rows
-        if fits and all(has_column(table, c) for c in required_columns):
-            return table
-    rebuild(spark.createDataFrame([], "source string, layout string, n long"), f"{path}.manifest")
-    rebuild(rows, path)
-    table = spark.read.parquet(path)
-    write_manifest(rows, path, state, table)
-    return table
+    rows, versions = build(), Versions(spark, path)
+    state, size = source_files(rows)
+
+    def write(folder: str) -> None:
+        spread(rows, size).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/rows")
+        written = spark.read.parquet(f"{folder}/rows")
+        line = [(written.schema.json(), written.count())]
+        spark.createDataFrame(line, "layout string, n long").coalesce(1).write.parquet(f"{folder}/layout")
+
+    def fits(folder: str) -> bool:
+        table, line = stored(spark, f"{folder}/rows"), stored(spark, f"{folder}/layout")
+        found = line.first() if table is not None and line is not None else None
+        if found is None or (found["layout"], found["n"]) != (table.schema.json(), row_count(table)):
+            return False
+        return (expected_rows is None or found["n"] == expected_rows) and all(has_column(table, c) for c in required_columns)
+
+    folder = versions.publish(write, state).folder if reset else versions.ensure(state, write, fits)
+    return spark.read.parquet(f"{folder}/rows")

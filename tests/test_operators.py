@@ -1,5 +1,7 @@
 import math
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from logsieve.operators.textindex import TokenIndex
 from logsieve.sources import tables
 from logsieve.sources.documents import DOCUMENTS, OPEN_METADATA, prose, read_json_documents
 from logsieve.sources.logs import log_documents, matching_log_lines
+from logsieve.sources.versions import Versions
 from logsieve.streaming import search_stream
 
 DATA = "/root/testdata/sf0.001"
@@ -182,7 +185,7 @@ def test_a_batch_in_other_blocks(spark):
     vectors = tables.read_table(spark, DATA, "embeddings")
     asked = vectors.filter("vec_id < 40")
     once = nearest_batch(vectors, asked, 3).orderBy("query_id", "rank").collect()
-    assert nearest_batch(vectors, asked, 3, blocks=1, slices=3).orderBy("query_id", "rank").collect() == once
+    assert nearest_batch(vectors, asked, 3, block_numbers=1 << 20, slice_numbers=11_000).orderBy("query_id", "rank").collect() == once
     assert len(once) == 120
     plan = nearest_batch(vectors, asked, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
@@ -224,6 +227,7 @@ def test_report_sections(spark):
 
 def test_ensure_table(spark, tmp_path):
     source, path = str(tmp_path / "source"), str(tmp_path / "t")
+    versions = Versions(spark, path)
 
     def write(first, n=3):
         spark.range(first, first + n).write.mode("overwrite").parquet(source)
@@ -231,27 +235,73 @@ def test_ensure_table(spark, tmp_path):
     def ensure(**options):
         return keys(tables.ensure_table(spark, path, lambda: spark.read.parquet(source).withColumn("x", F.lit("x")), **options), "id")
 
-    def written():
-        return {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("part-*")}
-
     write(0)
     assert ensure(expected_rows=3, required_columns=["x"]) == [0, 1, 2]
-    before = written()
-    assert ensure(expected_rows=3, required_columns=["x"]) == [0, 1, 2] and written() == before, "used again"
+    before = versions.current()
+    assert ensure(expected_rows=3, required_columns=["x"]) == [0, 1, 2] and versions.current() == before, "used again"
     write(10)
     assert ensure(expected_rows=3) == [10, 11, 12], "a changed source of equal size is read again"
-    before = written()
-    assert ensure(reset=True) == [10, 11, 12] and written() != before
-    tables.append(spark.range(5, 6).withColumn("x", F.lit("y")), path)
+    before = versions.current()
+    assert ensure(reset=True) == [10, 11, 12] and versions.current().number == before.number + 1
+    tables.append(spark.range(5, 6).withColumn("x", F.lit("y")), f"{versions.current().folder}/rows")
     assert ensure() == [10, 11, 12], "rows that came by another way"
-    tables.rebuild(spark.createDataFrame([], "source string, layout string, n long"), f"{path}.manifest")
-    spark.range(1).withColumn("x", F.lit("old")).write.mode("overwrite").parquet(path)
-    assert ensure() == [10, 11, 12], "an unfinished table"
-    tables.rebuild(spark.read.parquet(source).select(F.col("id").cast("int"), F.lit("x").alias("x")), path)
+    tables.rebuild(spark.read.parquet(source).select(F.col("id").cast("int"), F.lit("x").alias("x")), f"{versions.current().folder}/rows")
     assert tables.ensure_table(spark, path, lambda: spark.read.parquet(source).withColumn("x", F.lit("x"))).schema["id"].dataType.simpleString() == "bigint"
     assert tables.stored(spark, str(tmp_path / "missing")) is None
 
 
+def test_versions(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "v"))
+    assert versions.all() == [] and versions.current() is None
+    made = []
+
+    def write(folder):
+        made.append(folder)
+        spark.range(len(made)).write.parquet(folder)
+
+    first = versions.publish(write, "a")
+    reader = spark.read.parquet(first.folder)
+    assert versions.ensure("a", write) == first.folder and len(made) == 1
+    second = versions.ensure("b", write)
+    assert reader.count() == 1 and spark.read.parquet(second).count() == 2, "readers keep their version"
+
+    def broken(folder):
+        write(folder)
+        raise RuntimeError("the writer died")
+
+    with pytest.raises(RuntimeError):
+        versions.publish(broken, "c")
+    assert versions.current().folder == second, "without a pointer there is no version"
+    third = versions.publish(write, "c")
+    assert [v.number for v in versions.all()] == [3, 2] and not os.path.exists(first.folder) and os.path.exists(third.folder)
+    assert versions.ensure("c", write, lambda folder: False) != third.folder
+
+
+def test_a_later_application_finds_the_table(spark, tmp_path):
+    """In a program of its own, with another application id."""
+    source, path = str(tmp_path / "source"), str(tmp_path / "t")
+    spark.range(7).write.parquet(source)
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from logsieve.session import local_session
+from logsieve.sources import tables
+spark = local_session("first", cores=1, memory="1g")
+print(spark.sparkContext.applicationId, tables.ensure_table(spark, {path!r}, lambda: spark.read.parquet({source!r})).count())
+"""
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=180, check=True).stdout.split()
+    assert told[-1] == "7" and told[0] != spark.sparkContext.applicationId
+    before = Versions(spark, path).all()
+    assert len(before) == 1
+    assert tables.ensure_table(spark, path, lambda: spark.read.parquet(source)).count() == 7 and Versions(spark, path).all() == before
+
+
+def test_small_tables_have_a_file_for_each_task(spark, tmp_path):
+    rows = tables.read_table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    table = tables.ensure_table(spark, str(tmp_path / "t"), lambda: rows)
+    assert len(table.inputFiles()) == spark.sparkContext.defaultParallelism and table.count() == rows.count()
+
+
 def test_the_callers_settings_stay(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     tables.scratch_path(spark, "x")

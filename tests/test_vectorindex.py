@@ -81,9 +81,9 @@ def test_clusters_read_few_lists(spark, tmp_path):
 
 def test_random_vectors_reach_the_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    from logsieve.sources.tables import scratch_path
+    from logsieve.sources.tables import library_path
 
-    index = VectorIndex.ensure(vectors, scratch_path(spark, "vectors-test"))
+    index = VectorIndex.ensure(vectors, library_path(spark, "vectors-test"))
     asked = vectors.filter(F.col("vec_id") % 20 == 0)
     exact = {(r.query_id, r.vec_id) for r in nearest_batch(vectors, asked, 10).collect()}
     got = {(r.query_id, r.vec_id) for r in index.search(asked, 10).collect()}
