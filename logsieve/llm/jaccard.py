@@ -325,6 +325,7 @@ def groups(
     )
     classes = stored(classes, "classes")
     open_ = classes.where(100 * F.col("shared") >= similarity * F.col("n")).select("digest", F.col("holder").alias("_open"))
+    open_ = stored(open_, "open")  # so that its size is known before any text is shuffled
     held = docs.join(open_, F.col("_row") == F.col("_open")).groupBy("_row", "digest").agg(F.first("_text").alias("_text"))
     sets = held.select("_text", "digest").mapInArrow(_sets(n), "digest binary, grams array<long>")
     sets = stored(sets.dropDuplicates(["digest"]).withColumn("node", F.monotonically_increasing_id()), "sets")
