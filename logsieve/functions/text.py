@@ -18,13 +18,18 @@ def tokens(value: Column) -> Column:
     return F.regexp_extract_all(F.lower(value), F.lit(WORD + "+"), F.lit(0))
 
 
-def query_terms(query: str) -> list[str]:
-    """The distinct words of a query text, by the same rule as ``tokens``."""
+def query_words(query: str) -> list[str]:
+    """The words of a query text in order, by the same rule as ``tokens``."""
     spaced = "".join(c if c == "_" or unicodedata.category(c)[0] in "LMN" else " " for c in query.lower())
-    terms = list(dict.fromkeys(spaced.split()))
-    if not terms:
+    words = spaced.split()
+    if not words:
         raise ValueError(f"no word in text query {query!r}")
-    return terms
+    return words
+
+
+def query_terms(query: str) -> list[str]:
+    """The distinct words of a query text."""
+    return list(dict.fromkeys(query_words(query)))
 
 
 def has_words(value: Column, query: str, mode: str = "any") -> Column:

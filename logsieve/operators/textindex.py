@@ -13,11 +13,17 @@ from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
 
-def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
+# The token of the row that stands for a document as a whole.
+DOCUMENT = ""
+
+
+def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id", mark_documents: bool = False) -> DataFrame:
     """Rows ``(token, key, tf, dl)``: a word, a document, its count there, the document's length.
 
     A document is one row, so its words are counted inside the row: sort them, find where each
     run of equal words starts, and take the distance to the next start. Nothing is shuffled.
+    With ``mark_documents`` each document also has a row for the empty word, which is no word
+    of any text: texts are cut once for the words and for the statistics of documents.
     """
     words = docs.filter(F.col(content).isNotNull()).select(
         key, F.sort_array(tokens(F.col(content))).alias("words"))
@@ -27,10 +33,12 @@ def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id")
     )).alias("starts"))
     ends = runs.select(key, "words", "starts", F.array_append(
         F.slice("starts", F.lit(2), F.size("starts")), F.size("words") + 1).alias("ends"))
-    counted = ends.select(key, F.size("words").alias("dl"), F.inline(F.zip_with(
-        "starts", "ends", lambda start, end: F.struct(
-            F.col("words")[start - 1].alias("token"), (end - start).alias("tf")))))
-    return counted.select("token", key, "tf", "dl")
+    counts = F.zip_with("starts", "ends", lambda start, end: F.struct(
+        F.col("words")[start - 1].alias("token"), (end - start).alias("tf")))
+    if mark_documents:
+        mark = F.array(F.struct(F.lit(DOCUMENT).alias("token"), F.lit(0).alias("tf")))
+        counts = F.when(F.size("words") > 0, F.concat(mark, counts)).otherwise(mark)
+    return ends.select(key, F.size("words").alias("dl"), F.inline(counts)).select("token", key, "tf", "dl")
 
 
 def totals(docs: DataFrame, content: str = "content") -> DataFrame:
@@ -39,17 +47,33 @@ def totals(docs: DataFrame, content: str = "content") -> DataFrame:
     return sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words"))
 
 
+def write_rows(rows: DataFrame, path: str, key: str = "doc_id", rows_per_file: int = 4_000_000) -> None:
+    """Store marked rows as ``postings``, sorted, ``documents`` (key, dl) and ``corpus`` (n, words)."""
+    spark, unsorted = rows.sparkSession, f"{path}/unsorted"
+    rows.write.mode("overwrite").parquet(unsorted)
+    written = spark.read.parquet(unsorted)
+    files = max(1, written.count() // rows_per_file)
+    (written.filter(F.col("token") != DOCUMENT).repartitionByRange(files, "token", key)
+     .sortWithinPartitions("token", key).write.mode("overwrite").parquet(f"{path}/postings"))
+    written.filter(F.col("token") == DOCUMENT).select(key, "dl").write.mode("overwrite").parquet(f"{path}/documents")
+    documents = spark.read.parquet(f"{path}/documents")
+    documents.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words")).coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/corpus")
+    spark.createDataFrame([], written.schema).write.mode("overwrite").parquet(unsorted)
+
+
 @dataclass(frozen=True)
 class TokenIndex:
     postings: DataFrame
     corpus: DataFrame
     key: str = "doc_id"
     current: bool = False  # whether the index is known to hold the words of the documents as they are
+    rows: DataFrame | None = None  # what is to be stored: postings and a marked row for each document
 
     @staticmethod
     def of(docs: DataFrame, content: str = "content", key: str = "doc_id") -> "TokenIndex":
         """An index computed on the fly."""
-        return TokenIndex(token_table(docs, content, key), totals(docs, content), key, current=True)
+        return TokenIndex(token_table(docs, content, key), totals(docs, content), key, True, token_table(docs, content, key, True))
 
     @staticmethod
     def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> "TokenIndex":
@@ -73,15 +97,7 @@ class TokenIndex:
         of its own, so the words are first written as they come: texts are cut into words once,
         and a lost executor does not cost that work again. The unsorted copy is emptied at the end.
         """
-        spark = self.postings.sparkSession
-        unsorted = f"{path}/unsorted"
-        self.postings.write.mode("overwrite").parquet(unsorted)
-        written = spark.read.parquet(unsorted)
-        files = max(1, written.count() // rows_per_file)
-        (written.repartitionByRange(files, "token", self.key)
-         .sortWithinPartitions("token", self.key).write.mode("overwrite").parquet(f"{path}/postings"))
-        self.corpus.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
-        spark.createDataFrame([], self.postings.schema).write.mode("overwrite").parquet(unsorted)
+        write_rows(self.rows, path, self.key, rows_per_file)
 
     def lookup(self, query: str) -> DataFrame:
         """The occurrences of a query's words; the word filter reaches the scan."""

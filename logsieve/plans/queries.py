@@ -19,7 +19,9 @@ from logsieve.operators.clauses import (Clause, clause, compound, contains, exis
 from logsieve.operators.facets import facet
 from logsieve.operators.nearest import nearest, nearest_batch
 from logsieve.operators.parity import compare_keys, difference, parity
+from logsieve.operators.positions import PositionIndex
 from logsieve.operators.search import (count_hits, first, hits, resolve_limit, search, top)
+from logsieve.operators.segments import SegmentedIndex
 from logsieve.operators.textindex import TokenIndex, token_table
 from logsieve.operators.trigrams import TrigramIndex
 from logsieve.operators.vectorindex import VectorIndex
@@ -321,6 +323,79 @@ def _(t: Tables):
     return _stored_index(t).matching(t.prose(), "the").select("doc_id", "filename")
 
 
+# The collection of an index that follows its documents: three batches appended, those of poor quality changed, toxic ones deleted.
+REVISED = """revised AS (SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) THEN 'revised ' || text ELSE text END AS content
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))"""
+
+
+def _segments(t: Tables) -> SegmentedIndex:
+    docs, labels = t.prose().select("doc_id", "content", "metadata.type"), t.labels
+    state = f"revised: {tables.source_state(docs)}; {tables.source_state(labels)}"
+    key = hashlib.sha256(state.encode()).hexdigest()
+    index = SegmentedIndex(t.spark, tables.library_path(t.spark, f"segments-{key}"))
+    if index.state == state:
+        return index
+    language = F.coalesce("type", F.lit(""))
+    for batch in (language == "en", language == "de", ~language.isin("en", "de")):
+        index.append(docs.filter(batch))
+    poor = docs.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    index.update(poor.withColumn("content", F.concat(F.lit("revised "), F.col("content"))))
+    return index.delete(labels.filter("toxic = 1").select("doc_id"), state)
+
+
+@query("s11_segments_search", f"WITH {REVISED} SELECT doc_id FROM revised WHERE list_has_any({tokens_sql()}, ['license', 'revised'])")
+def _(t: Tables):
+    return _segments(t).index().keys("license revised")
+
+
+@query("s11_segments_rank", f"""WITH {REVISED}, {bm25_sql('revised', ['license', 'revised'])}
+  SELECT doc_id, round(score, 6) AS score FROM scored""")
+def _(t: Tables):
+    return _segments(t).index().rank("license revised").select("doc_id", rounded("score"))
+
+
+@query("s11_segments_totals", f"WITH {REVISED} SELECT count(*) AS docs, coalesce(sum(len({tokens_sql()})), 0)::BIGINT AS words FROM revised")
+def _(t: Tables):
+    return _segments(t).report().select("docs", "words")
+
+
+def _positions(t: Tables) -> PositionIndex:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return PositionIndex.ensure(t.prose(), tables.library_path(t.spark, f"positions-{key}"))
+
+
+def phrase_sql(*words: str) -> str:
+    """How often a document has the words next to each other."""
+    return f"""WITH {PROSE}, words AS (SELECT doc_id, {tokens_sql()} AS w FROM prose),
+  counted AS (SELECT doc_id, len(list_filter(range(1, len(w) + 1), lambda i: w[i:i + {len(words) - 1}] = {list(words)})) AS n FROM words)
+  SELECT doc_id, n FROM counted WHERE n > 0"""
+
+
+@query("f17_phrase", phrase_sql("general", "public", "license"))
+def _(t: Tables):
+    return _positions(t).phrase("General Public License")
+
+
+@query("f17_phrase_of_one_word", phrase_sql("license"))
+def _(t: Tables):
+    return _positions(t).phrase("license")
+
+
+@query("f11_words_within_distance", f"""WITH {PROSE}, words AS (SELECT doc_id, {tokens_sql()} AS w FROM prose),
+  counted AS (SELECT doc_id, len(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'license' AND list_contains(w[greatest(i - 5, 1):i - 1], 'gnu'))) AS n FROM words)
+  SELECT doc_id, n FROM counted WHERE n > 0""")
+def _(t: Tables):
+    return _positions(t).in_order("gnu license", 5)
+
+
+@query("f11_words_in_order", f"""WITH {PROSE}, words AS (SELECT doc_id, {tokens_sql()} AS w FROM prose),
+  counted AS (SELECT doc_id, len(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'the' AND i > list_position(w, 'license'))) AS n
+    FROM words WHERE list_contains(w, 'license'))
+  SELECT doc_id, n FROM counted WHERE n > 0""")
+def _(t: Tables):
+    return _positions(t).in_order("license the")
+
+
 def _trigram_index(t: Tables) -> TrigramIndex:
     key = hashlib.sha256(t.folder.encode()).hexdigest()
     return TrigramIndex.ensure(t.prose(), tables.library_path(t.spark, f"trigrams-{key}"))
