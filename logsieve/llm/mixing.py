@@ -5,9 +5,11 @@ cut into blocks of equal words. The seats of the mix, one block each, go to the
 for each output shard by the growth of the apportionment from the shards before it. A source's quota is then dealt from
 the front of its deck. No block is ever a row: what a document gives follows from its place in the deck.
 
-Scale: the text is read once, for its number of words. Only (key, source, size) rows move, hashed by source and one of
-4,096 seeded buckets, so that a source with a third of all documents is spread over many tasks. The sums of buckets
-have at most 4,096 rows a source. The table of sources (a weight for each) is small by its nature.
+Scale: the text is read once, for its number of words and a digest. Only (key, source, size) rows move, hashed by source
+and one of 4,096 seeded buckets, so that a source with a third of all documents is spread over many tasks; the place in
+the deck follows from key and text, so that rows without a key or with one key are spread as well, and rows equal in both
+are one row with a number until the deck is cut. The sums of buckets have at most 4,096 rows a source. The table of
+sources (a weight for each) is small by its nature.
 
 Edge cases: a null or empty text has size 0 and gives nothing; a null source is a source of its own, ordered last;
 sources without words get a target of 0; an empty table gives no rows; repeated rows are separate documents; further
@@ -30,7 +32,8 @@ MOST = 3
 
 def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", also: tuple[str, ...] = ()) -> DataFrame:
     words = F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(docs[key].alias("doc_id"), docs[source].alias("source"), words.alias("size"), *also)
+    print_ = F.md5(F.coalesce(docs[text], F.lit("")).cast("binary"))
+    return docs.select(docs[key].alias("doc_id"), docs[source].alias("source"), words.alias("size"), print_.alias("print"), *also)
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -107,20 +110,30 @@ def quotas(shares: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
     )
 
 
+#: Equal rows that are written out in one piece.
+ALIKE = 100_000
+
+
 def deck(docs: DataFrame, seed: str = SEED, also: tuple[str, ...] = ()) -> DataFrame:
-    """Each document of (doc_id, source, size, *also) with `first`, the words before it in its source's seeded order."""
-    place = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
-    rows = docs.withColumn("place", place).withColumn("bucket", F.substring("place", 1, 3))
+    """Each document of (doc_id, source, size, print, *also) with `first`, the words before it in its source's seeded order."""
+    place = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "print").cast("binary"))
+    rows = docs.groupBy("doc_id", "source", "size", "print", *also).agg(F.count(F.lit(1)).alias("alike"))
+    rows = rows.withColumn("place", place).withColumn("bucket", F.substring("place", 1, 3))
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    words = F.col("size") * F.col("alike")
     buckets = (
         rows.groupBy("source", "bucket")
-        .agg(F.sum("size").alias("words"))
+        .agg(F.sum(words).alias("words"))
         .select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
     )
     inside = W.partitionBy("source", "bucket").orderBy("place", "doc_id", "size", *also).rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("upto", F.sum("size").over(inside))
+    rows = rows.withColumn("upto", F.sum(words).over(inside))
     joined = rows.join(buckets, (F.col("bucket") == F.col("b")) & same(F.col("source"), F.col("s")))
-    return joined.select("doc_id", "source", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("first"), *also)
+    joined = joined.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("alike") - 1) / ALIKE))))
+    last = F.least((F.col("part") + 1) * ALIKE, F.col("alike")) - 1
+    joined = joined.withColumn("copy", F.explode(F.sequence(F.col("part") * ALIKE, last)))
+    first = F.col("base") + F.col("upto") - words + F.col("copy") * F.col("size")
+    return joined.select("doc_id", "source", "size", first.alias("first"), *also)
 
 
 def _taken(dealt_words: Column) -> tuple[Column, Column]:

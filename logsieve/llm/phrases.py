@@ -6,18 +6,20 @@ The likeness of two fingerprints is the share of the smallest hashes of both tha
 Jaccard similarity of the phrase sets, and so of how well one text compresses the other.
 
 Scale: a fingerprint needs its own text only. `edited_likeness` also needs the next document in order of keys: texts
-move once, into runs of neighbouring keys; the first document of a run is sent to the run before it as well. A task
-reads a run as a stream and holds two documents at a time. Only the keys at which runs begin come to the driver, at
-most MOST_RUNS, whatever the size of the input.
+move once, into runs of neighbours; the first document of a run is sent to the run before it as well. A run is a range
+of keys, and for a key that fills several runs, or none, a range of a hash of the text. A task reads a run as a stream
+and holds two documents at a time. Only the places at which runs begin come to the driver, at most about MOST_RUNS,
+whatever the size of the input.
 
 Edge cases: null and empty texts have no phrases and an empty fingerprint; two empty fingerprints are alike (1), an
-empty and another not at all (0); equal keys follow each other by text, null keys come after all others; the only
+empty and another not at all (0); equal keys follow each other by a hash of the text, null keys come after all others; the only
 document of a table is its own next; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -128,25 +130,50 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(docs[key].alias("_key"), docs[text].alias("_text")).mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
-def _deal(starts: list, top: int | None):
-    """Each document to its run, and the first key of a run to the run before it (of the first run, to the last)."""
-    bounds = np.array(starts[::-1], np.int64)
+def _starts(found: list[int], top: int | None, nameless: int, run_rows: float) -> list[tuple[int, int, int]]:
+    """Where runs begin, in order: (without a key, ~key, hash). A key found at several places is cut by the hash."""
+    counts = Counter(k for k in [*found, top] if k is not None)
+    parts = [((0, ~key), n) for key, n in counts.items()]
+    if nameless:
+        parts.append(((1, 0), max(1, min(MOST_RUNS, round(nameless / run_rows)))))
+    return sorted((*place, -(1 << 63) + j * (1 << 64) // n) for place, n in parts for j in range(n))
+
+
+_PLACE = np.dtype([("nameless", "i1"), ("key", "i8"), ("hash", "i8")])
+
+
+def _deal(starts: list[tuple[int, int, int]]):
+    """The run of each document, and its place in the order of runs."""
+    bounds = np.array(starts, _PLACE)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("_key")
             missing = keys.is_null().to_numpy(zero_copy_only=False)
-            values = keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            last = max(len(bounds) - 1, 0)
-            own = np.where(missing, last, last - np.minimum(np.searchsorted(bounds, values), last)).astype(np.int32)
-            first = missing if top is None else ~missing & (len(bounds) > 0) & (bounds[last - own] == values)
-            before = np.where(own == 0, last, own - 1).astype(np.int32)
-            for rows, at, ahead in ((np.arange(len(own)), own, False), (np.flatnonzero(first), before, True)):
-                part = batch.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[rows]), pa.array(np.full(len(rows), ahead)), part.column("_key"), part.column("_text")],
-                    names=["run", "ahead", "_key", "_text"],
-                )
+            places = np.empty(len(keys), _PLACE)
+            places["nameless"], places["hash"] = missing, batch.column("_hash").to_numpy()
+            places["key"] = np.where(missing, 0, ~keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            own = np.maximum(np.searchsorted(bounds, places, side="right") - 1, 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(missing), pa.array(places["key"]), *batch.columns],
+                                             names=["run", "nameless", "order", *batch.schema.names])
+
+    return run
+
+
+def _ahead(before: dict[tuple[int, int, int], int]):
+    """All rows, and the first document of each run once more for the run before it; one from each task is enough."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()
+        names = ["run", "ahead", "_key", "_hash", "_text"]
+        for batch in batches:
+            columns = [batch.column(c) for c in names[2:]]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(np.zeros(batch.num_rows, bool)), *columns], names=names)
+            for i, place in enumerate(zip(*(batch.column(c).to_pylist() for c in ("nameless", "order", "_hash")), strict=True)):
+                at = before.get((int(place[0]), *place[1:]))
+                if at is not None and at not in sent:
+                    sent.add(at)
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([True]), *(c.slice(i, 1) for c in columns)], names=names)
 
     return run
 
@@ -201,15 +228,19 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     The edited text has its last half replaced by as much of the next document, in descending order of integer keys
     (after the last: the first). near_next is the likeness to that next document.
     """
-    docs = docs.select(docs[key].cast("long").alias("_key"), docs[text].alias("_text"))
-    chars, top = docs.agg(F.sum(F.length("_text")), F.max("_key")).first()
+    docs = docs.select(docs[key].cast("long").alias("_key"), F.xxhash64(docs[text]).alias("_hash"), docs[text].alias("_text"))
+    chars, top, rows, named = docs.agg(F.sum(F.length("_text")), F.max("_key"), F.count(F.lit(1)), F.count("_key")).first()
     runs = int(min(MOST_RUNS, max(8, (chars or 0) // run_chars)))
     places = [i / runs for i in range(1, runs)]
     found = docs.agg(F.percentile_approx("_key", places, max(10_000, 10 * runs))).first()[0] or []
-    starts = sorted({*found, top} - {None}, reverse=True)
-    dealt = docs.mapInArrow(_deal(starts, top), "run int, ahead boolean, _key long, _text string")
-    order = ["run", "ahead", F.col("_key").desc_nulls_last(), "_text"]
-    return dealt.repartition("run").sortWithinPartitions(*order).mapInArrow(
+    deal = _deal(_starts(found, top, rows - named, max(1.0, rows / runs)))
+    dealt = "run int, nameless boolean, order long, _key long, _hash long"
+    firsts = docs.select("_key", "_hash").mapInArrow(deal, dealt).groupBy("run").agg(F.min(F.struct("nameless", "order", "_hash")).alias("first"))
+    order = sorted((r.run, (int(r.first.nameless), r.first.order, r.first._hash)) for r in firsts.collect())  # a row for each run
+    before = {first: order[i - 1][0] for i, (_, first) in enumerate(order)}
+    sent = docs.mapInArrow(deal, f"{dealt}, _text string").mapInArrow(_ahead(before), "run int, ahead boolean, _key long, _hash long, _text string")
+    order = ["run", "ahead", F.col("_key").desc_nulls_last(), "_hash", "_text"]
+    return sent.repartition("run").sortWithinPartitions(*order).drop("_hash").mapInArrow(
         _compare,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",

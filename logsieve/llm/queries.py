@@ -27,7 +27,8 @@ def query(name: str, sql: str | None = None):
 
 MIX_SQL = """
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    md5('mix-1|' || coalesce(doc_id::VARCHAR, '-') || '|' || md5(coalesce(text, ''))) AS place FROM documents),
 totals AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
   FROM sized GROUP BY source),
@@ -48,7 +49,7 @@ seats AS (
 won AS (SELECT place, count(*) AS quota FROM seats WHERE turn <= floor(total / block) GROUP BY place),
 deck AS (
   SELECT s.doc_id, s.size, b.source_size, b.target, coalesce(w.quota, 0) * b.block AS dealt,
-    sum(s.size) OVER (PARTITION BY b.place ORDER BY md5('mix-1|' || s.doc_id), s.doc_id, s.size ROWS UNBOUNDED PRECEDING) - s.size AS first
+    sum(s.size) OVER (PARTITION BY b.place ORDER BY s.place, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) - s.size AS first
   FROM sized s JOIN blocks b ON s.source IS NOT DISTINCT FROM b.source LEFT JOIN won w ON w.place = b.place)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
   (CASE WHEN source_size = 0 THEN 0 ELSE dealt // source_size * size

@@ -9,11 +9,12 @@ The index is a table of (file, offset, length, doc_id, first, n_tokens, ids_crc3
 A text is encoded word by word: the tokenizer's normaliser and pattern never join characters across ASCII white space,
 so each worker keeps the ids of words that it has seen, up to CACHED words, and asks the library for the others.
 
-Scale: texts move once, into ranges of keys; files are written and committed by Spark, in any file system that it
+Scale: texts move once, into ranges of keys, and rows without a key or with one key into ranges of a hash of their text
+(equal rows are dealt as they come), so that no key fills a task or a file; files are written and committed by Spark, in any file system that it
 writes, and read with its binary reader. A file holds about FILE_CHARS characters of text. Starts are sums over files,
 added up in two levels, never in one task.
 
-Edge cases: a null or empty text has the end id alone; equal keys follow each other by text; an empty table gives no
+Edge cases: a null or empty text has the end id alone; equal keys follow each other by a hash of the text; an empty table gives no
 rows; other columns are ignored. A damaged record raises an error that names the file and the offset.
 """
 
@@ -117,9 +118,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
 
     chars = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
-    ordered = docs.repartitionByRange(max(8, chars // file_chars), F.col("_key").asc_nulls_first()).sortWithinPartitions(
-        F.col("_key").asc_nulls_first(), "_text"
-    )
+    order = [F.col("_key").asc_nulls_first(), "_hash", "_number"]
+    ordered = docs.withColumn("_hash", F.xxhash64("_text")).withColumn("_number", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange(max(8, chars // file_chars), *order).sortWithinPartitions(*order).select("_key", "_text")
     framed = ordered.mapInArrow(run, "record binary")
     framed.select(F.col("record").cast("string")).write.option("lineSep", "\n").text(path)
 

@@ -109,3 +109,13 @@ def test_mixed_documents_with_equal_keys(spark):
             copies[r.doc_id, r.text, r.source] = copies.get((r.doc_id, r.text, r.source), 0) + 1
         assert {s: n for s, n in taken.items() if n} == words
         assert all(n <= 3 * max(1, rows.count(k)) for k, n in copies.items())
+
+
+def test_one_key_is_dealt_over_buckets(spark, monkeypatch):
+    rows = [(None, f"word{i} more", "hot") for i in range(2000)] + [(7, f"w{i}", "hot") for i in range(500)] + [(3, "same row", "hot")] * 900
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "ALIKE", 100)
+    sized = mixing.sizes(docs)
+    got = sorted((r.first, r.size) for r in mixing.deck(sized).collect())
+    assert len(got) == len(rows) and all(a + n == b for (a, n), (b, _) in zip(got, got[1:]))
+    check(spark, rows)

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -46,8 +47,13 @@ def test_likeness():
 TEXTS = ["", None, "one two one two three", "a", "same words here", "same words here", "Grüße 日本 \U0001f600 ende", "lorem ipsum " * 400] + [f"text {i} with some words {i * i}" for i in range(30)]
 
 
+def spark_hash(text):
+    """xxhash64 of a column; 42, its seed, for a null."""
+    return 42 if text is None else np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).astype(np.int64).item()
+
+
 def brute(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), spark_hash(r[1]), r[1] or ""))
     out = []
     for (key, text), (_, other) in zip(rows, rows[1:] + rows[:1], strict=True):
         text, other = text or "", other or ""
@@ -82,3 +88,12 @@ def test_fingerprints(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
     got = {r.doc_id: r.fingerprint for r in phrases.fingerprints(docs).collect()}
     assert got == {i: phrases.shown(phrases.signature(t or "", plain(t or ""))) for i, t in enumerate(TEXTS)}
+
+
+def test_one_key_for_many_rows(spark):
+    """Rows without a key, or all with one, are cut into runs by the hash of their text."""
+    for key in (None, 7):
+        rows = [(key, f"text {i} with some words {i * i}") for i in range(300)] + [(i, f"other {i}") for i in range(100)]
+        check(spark, rows, run_chars=400)
+    counts = phrases._starts([7] * 20 + [9], 9, 500, 10.0)
+    assert len([c for c in counts if c[0]]) == 50 and len([c for c in counts if c[:2] == (0, ~7)]) == 20 and counts == sorted(counts)

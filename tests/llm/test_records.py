@@ -63,3 +63,16 @@ def test_damage_is_found():
             records.unframe(data[:at] + bytes([data[at] ^ 4]) + data[at + 1 :], 0)
     with pytest.raises(ValueError):
         records.unframe(data[:-4], 0)
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_one_key_is_dealt_over_files(spark, tmp_path, key):
+    rows = [(key, f"word{i % 400} and some more words") for i in range(2000)] + [(9, "x"), (1, "y")]
+    path = str(tmp_path / "records")
+    records.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, PATH, end_id=1, file_chars=3000)
+    index = records.build_index(spark, path)
+    sizes = [r["count"] for r in index.groupBy("file").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 500
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in records.placed(index).collect())
+    assert [g[1] for g in got] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k or 0))
+    assert all(a[0] + a[2] == b[0] for a, b in zip(got, got[1:]))
