@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets into which exact_percentiles splits each group; a power of two.
-BUCKETS = 256
+# Distinct values up to which a group's percentiles are taken from one count of its values, and buckets into which the
+# values of larger groups are split; a power of two.
+DISTINCT, BUCKETS = 100_000, 256
 
 
 def slot_means(samples: DataFrame, by: Sequence[str] = ("label", "method", "slot"),
@@ -23,21 +24,55 @@ def slot_means(samples: DataFrame, by: Sequence[str] = ("label", "method", "slot
 
 def latency_summary(samples: DataFrame, by: Sequence[str] = ("label", "method"),
                     value: str = "ms") -> DataFrame:
-    """``avg, median, min, max, stdev, n`` per group; the sample deviation of one value is 0."""
-    plain = samples.groupBy(*by).agg(
-        F.avg(value).alias("avg"), F.min(value).alias("min"), F.max(value).alias("max"),
-        F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("stdev"),
-        F.count(value).alias("n"))
-    middle = exact_percentiles(samples, by, value, {"median": 0.5})
-    joined = _matched(plain, middle, by, "left")
-    return joined.select(*by, "avg", "median", "min", "max", "stdev", "n")
+    """``avg, median, min, max, stdev, n`` per group; the sample deviation of one value is 0.
+
+    Groups of up to DISTINCT different values, which are nearly all, take one aggregation.
+    """
+    def plain(rows: DataFrame, *more: Column) -> DataFrame:
+        return rows.groupBy(*by).agg(
+            F.avg(value).alias("avg"), F.min(value).alias("min"), F.max(value).alias("max"),
+            F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("stdev"), F.count(value).alias("n"), *more)
+
+    small, large = _by_size(samples, by, value)
+    found = plain(small, F.percentile(value, F.lit(0.5)).alias("median"))
+    columns = (*by, "avg", "median", "min", "max", "stdev", "n")
+    if large is None:
+        return found.select(*columns)
+    middle = _bucketed_percentiles(large, by, value, {"median": 0.5})
+    return found.select(*columns).unionByName(_matched(plain(large), middle, by, "left").select(*columns))
+
+
+def _by_size(samples: DataFrame, by: Sequence[str], value: str) -> tuple[DataFrame, DataFrame | None]:
+    """Samples of groups with few different values, and those of the others, if there are any: one pass that moves a sketch per group."""
+    sizes = samples.groupBy(*by).agg(F.approx_count_distinct(value).alias("_distinct")).filter(F.col("_distinct") > DISTINCT)
+    if sizes.isEmpty():
+        return samples, None
+    wide = sizes.select(*[F.col(c).alias(f"_wide_{c}") for c in by])
+    test = F.lit(True)
+    for c in by:
+        test = test & F.col(c).eqNullSafe(F.col(f"_wide_{c}"))
+    return samples.join(wide, test, "left_anti"), samples.join(wide, test, "left_semi")
 
 
 def exact_percentiles(samples: DataFrame, by: Sequence[str], value: str,
                       wanted: dict[str, float]) -> DataFrame:
     """One column per wanted percentile, interpolated linearly, exact at any group size.
 
-    No group is gathered in one place. Equal values are counted first. The distinct values of
+    Groups of up to DISTINCT different values are counted by value in one aggregation, combined
+    inside each task; what a task holds is bounded by that number. Larger ones go by buckets.
+    """
+    present = samples.filter(F.col(value).isNotNull())
+    small, large = _by_size(present, by, value)
+    found = small.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(float(p)) for p in wanted.values()])).alias("_found"))
+    found = found.select(*by, *[F.col("_found")[i].alias(name) for i, name in enumerate(wanted)])
+    return found if large is None else found.unionByName(_bucketed_percentiles(large, by, value, wanted))
+
+
+def _bucketed_percentiles(samples: DataFrame, by: Sequence[str], value: str,
+                          wanted: dict[str, float]) -> DataFrame:
+    """Percentiles of groups of any size: no group is gathered in one place.
+
+    Equal values are counted first. The distinct values of
     each group are then cut into buckets of about equal size, whatever their spread, at
     approximate quantiles. Bucket counts, at most BUCKETS rows per group, tell which buckets hold
     the wanted ranks, and only the values of those buckets are put in order, each by itself.

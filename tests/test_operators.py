@@ -203,8 +203,11 @@ def test_latency_report(spark):
     assert report.winners(zero).first()["factor"] == math.inf
 
 
+@pytest.mark.parametrize("limit", [100_000, 1000, 3])
 @pytest.mark.parametrize("spread", ["skewed", "equal", "dense", "negative", "outlier"])
-def test_percentiles_are_exact(spark, spread):
+def test_percentiles_are_exact(spark, monkeypatch, spread, limit):
+    """By counted values, by buckets, or some groups by the one and some by the other."""
+    monkeypatch.setattr(report, "DISTINCT", limit)
     n = 5_000
     value = {"skewed": "exp(id % 997 / 60.0)", "equal": "4.5", "dense": "1000 + id / 1e9", "negative": "id - 2500.0", "outlier": "if(id = 0, 0, 1e9 + id)"}[spread]
     rows = spark.range(n).select(F.expr("if(id % 3 < 2, 'hot', cast(id % 7 as string))").alias("g"),
@@ -218,6 +221,17 @@ def test_percentiles_are_exact(spark, spread):
         assert [got[group][name] for name in wanted] == pytest.approx(values, rel=1e-12)
 
 
+def test_summaries_of_wide_groups(spark, monkeypatch):
+    rows = spark.range(4000).select(F.expr("if(id % 4 < 3, 'hot', if(id % 8 = 3, null, 'some'))").alias("g"), F.expr("cast(sqrt(id) as double)").alias("ms"))
+    rows = rows.union(spark.sql("SELECT 'none', CAST(NULL AS DOUBLE)"))
+    once = {r["g"]: tuple(r)[1:] for r in report.latency_summary(rows, ["g"]).collect()}
+    monkeypatch.setattr(report, "DISTINCT", 1500)
+    split = {r["g"]: tuple(r)[1:] for r in report.latency_summary(rows, ["g"]).collect()}
+    assert set(once) == {"hot", "some", None, "none"} and once == {k: pytest.approx(v, rel=1e-12) if None not in v else v for k, v in split.items()}
+    plan = report.latency_summary(tables.read_table(spark, DATA, "events"), ["event_type"], "value")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 6 and plan.count("FileScan") == 1
+
+
 def test_report_sections(spark):
     rows = spark.createDataFrame([(20, False), (0, False), (20, True)], "limit int, negated boolean")
     assert [r[0] for r in rows.select(report.section(F.col("limit"), F.col("negated"))).collect()] == ["dense", "selective", "negation"]
