@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.functions.text import has_words, query_terms, tokens
+from logsieve.operators.fetch import fetch
 from logsieve.operators.relevance import CorpusStats, stats_from
 from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
@@ -113,13 +114,12 @@ class TokenIndex:
         return counted.filter(F.col("n") == len(query_terms(query))).select(self.key)
 
     def matching(self, docs: DataFrame, query: str, mode: str = "any", content: str = "content") -> DataFrame:
-        """Documents with the query's words: a semi join on the stored keys.
+        """Documents with the query's words, read by the stored keys.
 
-        Whether the keys are sent to the documents or both are shuffled is left to the optimiser,
-        which knows their size when it runs. Unless the index is known to be current, the words are
-        tested as well, which keeps out documents that have lost them since it was made.
+        Unless the index is known to be current, the words are tested as well, which keeps out
+        documents that have lost them since it was made.
         """
-        found = docs.join(self.keys(query, mode), self.key, "left_semi")
+        found = fetch(docs, self.keys(query, mode), self.key)
         return found if self.current else found.filter(has_words(F.col(content), query, mode))
 
     def stats(self, query: str) -> CorpusStats:

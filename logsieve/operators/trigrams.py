@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from logsieve.functions.grams import TRUE, All, Any, Gram, all_of, any_of, grams_in, required_grams
 from logsieve.functions.patterns import FIND, WHOLE, Pattern, compile_pattern
+from logsieve.operators.fetch import fetch
 from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
@@ -125,7 +126,7 @@ class TrigramIndex:
 
     def _matching(self, docs: DataFrame, pattern: Pattern, value: Column) -> DataFrame:
         keys = self.candidates(pattern)
-        rows = docs if keys is None else docs.join(keys, self.key, "left_semi")
+        rows = docs if keys is None else fetch(docs, keys, self.key)
         return rows.filter(pattern.test(value))
 
     def find(self, docs: DataFrame, pattern: str | Pattern, options: str = "") -> DataFrame:

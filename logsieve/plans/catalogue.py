@@ -13,7 +13,8 @@ from logsieve.operators.clauses import Clause, compound, find, find_not, regex,
 from logsieve.operators.facets import facet
 from logsieve.operators.parity import parity
 from logsieve.operators.relevance import corpus_stats
-from logsieve.operators.search import search
+from logsieve.operators.search import capped, search
+from logsieve.operators.textindex import TokenIndex
 
 # The patterns and words of the examples.
 ERROR_DATE = "(.*)ERROR [0-9]{4}-[0-9]{2}-[0-9]{2}(.*)"
@@ -69,10 +70,16 @@ def without_error(docs: DataFrame, limit: int = 0) -> DataFrame:
     return search(docs, clause, SHOWN, limit, score=True)
 
 
-def text_hits(docs: DataFrame, limit: int = 0) -> DataFrame:
-    """8, first list: the keyword as a word, scored by relevance."""
-    word = text("content", "ERROR", stats=corpus_stats(docs, "ERROR"))
-    return search(docs, word, ("doc_id", "filename", "metadata"), limit, score=True)
+def text_hits(docs: DataFrame, limit: int = 0, index: TokenIndex | None = None) -> DataFrame:
+    """8, first list: the keyword as a word, scored by relevance.
+
+    With an index neither statistics nor scores need the texts; without one, the documents are read for both.
+    """
+    shown = ("doc_id", "filename", "metadata")
+    if index is None:
+        word = text("content", "ERROR", stats=corpus_stats(docs, "ERROR"))
+        return search(docs, word, shown, limit, score=True)
+    return capped(docs.select(*shown).join(index.rank("ERROR", limit), "doc_id"), limit)
 
 
 def regex_hits(docs: DataFrame, limit: int = 0) -> DataFrame:
@@ -90,8 +97,10 @@ def trouble_by_type(docs: DataFrame, path: str = "metadata.type") -> DataFrame:
     return facet(docs, regex("content", TROUBLE), path)
 
 
-def warn_dates(docs: DataFrame, limit: int = 0) -> DataFrame:
-    """10: a word first, then a pattern on what is left."""
+def warn_dates(docs: DataFrame, limit: int = 0, index: TokenIndex | None = None) -> DataFrame:
+    """10: a word first, then a pattern on what is left; with an index, on the documents that it finds."""
+    if index is not None:
+        return search(index.matching(docs, "WARN"), regex("content", WARN_DATE), SHOWN, limit, score=True)
     clause = compound(filter=[text("content", "WARN")], must=[regex("content", WARN_DATE)])
     return search(docs, clause, SHOWN, limit, score=True)
 

@@ -45,7 +45,7 @@ class Tables:
 
     def loaded(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = hashlib.sha256(self.folder.encode()).hexdigest()
-        return ensure_table(self.spark, library_path(self.spark, f"{name}-{key}"), build)
+        return ensure_table(self.spark, library_path(self.spark, f"{name}-{key}"), build, sorted_by="doc_id")
 
 
 def query(name: str, sql: str | None = None):

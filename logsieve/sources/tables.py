@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from logsieve.sources.versions import Versions
 
-# Bytes read for each file of a small table, the size from which files are left as they come, and of a row group.
+# Bytes read for each file of a small table, the size from which files are left as they come, and of a row group; size and
+# rows of a page of a table that is read by key.
 FILE_BYTES, LARGE_FILE_BYTES, ROW_GROUP_BYTES = 1 << 20, 64 << 20, 16 << 20
+PAGE_BYTES, PAGE_ROWS = 32 << 10, 2000
 
 _OWN: dict[str, str] = {}
 
@@ -103,26 +105,37 @@ def source_state(rows: DataFrame) -> str:
     return source_files(rows)[0]
 
 
-def spread(rows: DataFrame, bytes_read: int) -> DataFrame:
-    """A small table in as many files as tasks can run, so that scans of it use them all; large ones stay as they are."""
+def spread(rows: DataFrame, bytes_read: int, sorted_by: str | None = None) -> DataFrame:
+    """A small table in as many files as tasks can run, so that scans of it use them all; large ones stay as they are.
+
+    Sorted tables of any size are put into ranges of the key, one file each.
+    """
     tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(min(tasks, 1 + bytes_read // FILE_BYTES)) if bytes_read < tasks * LARGE_FILE_BYTES else rows
+    files = max(min(tasks, 1 + bytes_read // FILE_BYTES), bytes_read // LARGE_FILE_BYTES)
+    if sorted_by:
+        return rows.repartitionByRange(files, sorted_by).sortWithinPartitions(sorted_by)
+    return rows.repartition(files) if bytes_read < tasks * LARGE_FILE_BYTES else rows
 
 
 def ensure_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                  expected_rows: int | None = None, required_columns: Iterable[str] = (),
-                 reset: bool = False) -> DataFrame:
+                 reset: bool = False, sorted_by: str | None = None) -> DataFrame:
     """The newest version of the stored table when it still fits, else a new version; this and later applications use it.
 
     It fits when it was made from the same files in the same state, its columns and rows are those
     that were written, it has the expected number of rows, if one is given, and values in all
-    required columns. ``reset`` always rebuilds. Queries that read an older version go on.
+    required columns. ``reset`` always rebuilds. Queries that read an older version go on. A table
+    that is ``sorted_by`` a key is written in small pages, so that few rows can be read by key.
     """
     rows, versions = build(), Versions(spark, path)
     state, size = source_files(rows)
+    state = f"{state}, sorted by {sorted_by}"
 
     def write(folder: str) -> None:
-        spread(rows, size).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/rows")
+        writer = spread(rows, size, sorted_by).write.option("parquet.block.size", ROW_GROUP_BYTES)
+        if sorted_by:
+            writer = writer.option("parquet.page.size", PAGE_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS)
+        writer.parquet(f"{folder}/rows")
         written = spark.read.parquet(f"{folder}/rows")
         line = [(written.schema.json(), written.count())]
         spark.createDataFrame(line, "layout string, n long").coalesce(1).write.parquet(f"{folder}/layout")

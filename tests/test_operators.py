@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logsieve.operators import report
 from logsieve.operators.clauses import compound, find, regex, text
 from logsieve.operators.facets import facet
+from logsieve.operators.fetch import fetch
 from logsieve.operators.nearest import nearest, nearest_batch
 from logsieve.operators.parity import compare_keys, difference, parity
 from logsieve.operators.relevance import rank
@@ -102,8 +103,25 @@ def test_documents_that_have_changed_since(spark, docs, index, tmp_path):
 def test_index_lookup_reaches_the_scan(index, docs):
     plan = index.lookup("license gnu")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(token" in plan
-    joined = index.matching(docs, "license")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in joined
+    common = fetch(docs, index.keys("the"), most=5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in common
+
+
+def test_few_keys_are_read_by_ranges(spark, tmp_path):
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.format_string("%06d", "id").alias("name"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 40).alias("content"))
+    rows.write.parquet(str(tmp_path / "source"))
+    table = tables.ensure_table(spark, str(tmp_path / "t"), lambda: spark.read.parquet(str(tmp_path / "source")), sorted_by="doc_id")
+    wanted = [3, 4, 5, 900, 29_999, 12_345]
+    some = spark.createDataFrame([(i,) for i in [*wanted, 70_000, None]], "doc_id long")
+    found = fetch(table, some)
+    assert keys(found) == sorted(wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(doc_id,5)" in plan and "Join" not in plan
+    names = table.filter(F.col("doc_id").isin(wanted)).select("name")
+    assert keys(fetch(table, names, "name")) == sorted(wanted)
+    assert fetch(table, some.limit(0)).count() == 0 and keys(fetch(table, some, most=2)) == sorted(wanted)
+    every = spark.range(0, 30_000, 20).select(F.col("id").alias("doc_id"))
+    assert fetch(table, every).count() == 1500
 
 
 def test_a_word_in_every_document_is_spread_over_files(spark, tmp_path):
