@@ -14,6 +14,8 @@ from logsieve.functions.extract import (count_matches, find_all, find_records, l
 from logsieve.functions.patterns import compile_pattern
 from logsieve.functions.text import tokens
 from logsieve.operators import report
+from logsieve.operators.bitmaps import BitmapIndex, Words
+from logsieve.operators.blockmax import BlockIndex
 from logsieve.operators.clauses import (Clause, clause, compound, contains, exists, find, find_not,
                                         regex, text, wildcard)
 from logsieve.operators.facets import facet
@@ -760,6 +762,57 @@ def _(t: Tables):
     return _stored_index(t).rank("license gnu", 20).select("doc_id", rounded("score"))
 
 
+def _block_index(t: Tables) -> BlockIndex:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return BlockIndex.ensure(t.prose(), tables.library_path(t.spark, f"blocks-{key}"))
+
+
+def _by_blocks(name: str, *words: str, limit: int = 10) -> None:
+    @query(name, f"""WITH {PROSE}, {bm25_sql('prose', list(words))}
+  SELECT doc_id, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, doc_id LIMIT {limit}""")
+    def _(t: Tables):
+        return _block_index(t).rank(" ".join(words), limit).select("doc_id", rounded("score"))
+
+
+_by_blocks("l04_top_by_blocks", "license", "gnu")
+_by_blocks("l04_top_by_blocks_common", "the", "license")
+_by_blocks("v04_best_by_blocks", "software", "foundation", "version", limit=20)
+
+
+# ---------------------------------------------------------------- bitmaps
+
+def _bitmaps(t: Tables) -> BitmapIndex:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return BitmapIndex.ensure(t.prose(), tables.library_path(t.spark, f"bitmaps-{key}"), ("metadata.type", "metadata.server"))
+
+
+LICENSED = Words("license") & ~Words("gnu") | Words("foundation") & Words("the")
+LICENSED_SQL = (f"((list_contains({tokens_sql()}, 'license') AND NOT list_contains({tokens_sql()}, 'gnu')) "
+                f"OR (list_contains({tokens_sql()}, 'foundation') AND list_contains({tokens_sql()}, 'the')))")
+
+
+@query("a03_bitmap_count", f"WITH {PROSE} SELECT count(*) AS hits FROM prose WHERE {LICENSED_SQL}")
+def _(t: Tables):
+    return _bitmaps(t).count(LICENSED)
+
+
+@query("c03_bitmap_keys", f"WITH {PROSE} SELECT doc_id FROM prose WHERE {LICENSED_SQL}")
+def _(t: Tables):
+    return _bitmaps(t).keys(LICENSED)
+
+
+@query("a01_bitmap_facet", f"""WITH {PROSE} SELECT server AS bucket, grouping(server) = 1 AS is_total, count(*) AS n
+  FROM prose WHERE {LICENSED_SQL} GROUP BY ROLLUP (server)""")
+def _(t: Tables):
+    return _bitmaps(t).facet(LICENSED, "metadata.server")
+
+
+@query("a02_bitmap_facet_common", f"""WITH {PROSE} SELECT type AS bucket, grouping(type) = 1 AS is_total, count(*) AS n
+  FROM prose WHERE NOT list_contains({tokens_sql()}, 'the') GROUP BY ROLLUP (type)""")
+def _(t: Tables):
+    return _bitmaps(t).facet(~Words("the"), "metadata.type")
+
+
 # ---------------------------------------------------------------- web pages and conversations
 
 LINK = 'href="[^"]+"'
