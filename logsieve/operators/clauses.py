@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logsieve.functions.patterns import FIND, WHOLE, Pattern, compile_pattern
-from logsieve.functions.text import has_words, query_terms, tokens
+from logsieve.functions.text import SIMPLE, has_words, query_terms, tokens
 
 
 @dataclass(frozen=True)
@@ -87,14 +87,14 @@ def contains(path: str, keyword: str) -> Clause:
     return _constant(F.col(path).contains(keyword))
 
 
-def text(path: str, query: str, mode: str = "any", stats: "object | None" = None) -> Clause:
-    """The value holds any (or all) of the query's words.
+def text(path: str, query: str, mode: str = "any", stats: "object | None" = None, rule: str = SIMPLE) -> Clause:
+    """The value holds any (or all) of the query's words, by the simple or the standard rule for words.
 
-    ``stats`` from ``relevance.corpus_stats`` makes the score BM25.
+    ``stats`` from ``relevance.corpus_stats`` by the same rule makes the score BM25.
     """
     value = F.col(path)
-    score = stats.score(tokens(value), query_terms(query)) if stats else F.lit(1.0)
-    return Clause(has_words(value, query, mode), score)
+    score = stats.score(tokens(value, rule), query_terms(query, rule)) if stats else F.lit(1.0)
+    return Clause(has_words(value, query, mode, rule), score)
 
 
 def clause(path: str, query: str, kind: str, on: str = "value") -> Clause:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsieve.functions.text import has_words, query_terms, term_frequency, tokens
+from logsieve.functions.text import SIMPLE, has_words, query_terms, term_frequency, tokens
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -46,10 +46,10 @@ def stats_from(corpus: DataFrame, seen: DataFrame, terms: list[str]) -> CorpusSt
                        {term: counts[f"df{i}"] for i, term in enumerate(terms)})
 
 
-def corpus_stats(docs: DataFrame, query: str, content: str = "content") -> CorpusStats:
+def corpus_stats(docs: DataFrame, query: str, content: str = "content", rule: str = SIMPLE) -> CorpusStats:
     """Statistics of the documents for a query's terms: one pass, one row shuffled per task."""
-    terms = query_terms(query)
-    words = docs.filter(F.col(content).isNotNull()).select(tokens(F.col(content)).alias("words"))
+    terms = query_terms(query, rule)
+    words = docs.filter(F.col(content).isNotNull()).select(tokens(F.col(content), rule).alias("words"))
     row = words.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("words"),
         *[F.count_if(F.array_contains("words", t)).alias(f"df{i}") for i, t in enumerate(terms)])

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsieve.functions.text import has_words, query_terms, tokens
+from logsieve.functions.text import SIMPLE, has_words, query_terms, tokens
 from logsieve.operators.fetch import fetch
 from logsieve.operators.relevance import CorpusStats, stats_from
 from logsieve.sources.tables import source_state
@@ -18,7 +18,8 @@ from logsieve.sources.versions import Versions
 DOCUMENT = ""
 
 
-def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id", mark_documents: bool = False) -> DataFrame:
+def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id", mark_documents: bool = False,
+                rule: str = SIMPLE) -> DataFrame:
     """Rows ``(token, key, tf, dl)``: a word, a document, its count there, the document's length.
 
     A document is one row, so its words are counted inside the row: sort them, find where each
@@ -27,7 +28,7 @@ def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id",
     of any text: texts are cut once for the words and for the statistics of documents.
     """
     words = docs.filter(F.col(content).isNotNull()).select(
-        key, F.sort_array(tokens(F.col(content))).alias("words"))
+        key, F.sort_array(tokens(F.col(content), rule)).alias("words"))
     runs = words.select(key, "words", F.when(F.size("words") > 0, F.filter(
         F.sequence(F.lit(1), F.size("words")),
         lambda i: (i == 1) | (F.col("words")[i - 1] != F.col("words")[F.greatest(i - 2, F.lit(0))]),
@@ -42,9 +43,9 @@ def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id",
     return ends.select(key, F.size("words").alias("dl"), F.inline(counts)).select("token", key, "tf", "dl")
 
 
-def totals(docs: DataFrame, content: str = "content") -> DataFrame:
+def totals(docs: DataFrame, content: str = "content", rule: str = SIMPLE) -> DataFrame:
     """One row ``(n, words)``: documents and words in the corpus."""
-    sizes = docs.filter(F.col(content).isNotNull()).select(F.size(tokens(F.col(content))).alias("dl"))
+    sizes = docs.filter(F.col(content).isNotNull()).select(F.size(tokens(F.col(content), rule)).alias("dl"))
     return sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words"))
 
 
@@ -70,21 +71,23 @@ class TokenIndex:
     key: str = "doc_id"
     current: bool = False  # whether the index is known to hold the words of the documents as they are
     rows: DataFrame | None = None  # what is to be stored: postings and a marked row for each document
+    rule: str = SIMPLE             # by which texts and queries are cut into words
 
     @staticmethod
-    def of(docs: DataFrame, content: str = "content", key: str = "doc_id") -> "TokenIndex":
+    def of(docs: DataFrame, content: str = "content", key: str = "doc_id", rule: str = SIMPLE) -> "TokenIndex":
         """An index computed on the fly."""
-        return TokenIndex(token_table(docs, content, key), totals(docs, content), key, True, token_table(docs, content, key, True))
+        return TokenIndex(token_table(docs, content, key, rule=rule), totals(docs, content, rule), key, True,
+                          token_table(docs, content, key, True, rule), rule)
 
     @staticmethod
-    def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id") -> "TokenIndex":
+    def ensure(docs: DataFrame, path: str, content: str = "content", key: str = "doc_id", rule: str = SIMPLE) -> "TokenIndex":
         """The newest version of the stored index if it was made from these documents as they are, else a new one.
 
         Later applications find it again.
         """
-        spark, state = docs.sparkSession, f"{content}, {key}: {source_state(docs)}"
-        folder = Versions(spark, path).ensure(state, TokenIndex.of(docs, content, key).save)
-        return replace(TokenIndex.load(spark, folder, key), current=True)
+        spark, state = docs.sparkSession, f"{content}, {key}, {rule}: {source_state(docs)}"
+        folder = Versions(spark, path).ensure(state, TokenIndex.of(docs, content, key, rule).save)
+        return replace(TokenIndex.load(spark, folder, key), current=True, rule=rule)
 
     @staticmethod
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "TokenIndex":
@@ -102,16 +105,16 @@ class TokenIndex:
 
     def lookup(self, query: str) -> DataFrame:
         """The occurrences of a query's words; the word filter reaches the scan."""
-        return self.postings.filter(F.col("token").isin(query_terms(query)))
+        return self.postings.filter(F.col("token").isin(query_terms(query, self.rule)))
 
     def keys(self, query: str, mode: str = "any") -> DataFrame:
         """Keys of the documents that hold any (or all) of the words, each once."""
         found = self.lookup(query)
         if mode == "any":
             # A word has one row for each document, so one word needs no distinct.
-            return found.select(self.key) if len(query_terms(query)) == 1 else found.select(self.key).distinct()
+            return found.select(self.key) if len(query_terms(query, self.rule)) == 1 else found.select(self.key).distinct()
         counted = found.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
-        return counted.filter(F.col("n") == len(query_terms(query))).select(self.key)
+        return counted.filter(F.col("n") == len(query_terms(query, self.rule))).select(self.key)
 
     def matching(self, docs: DataFrame, query: str, mode: str = "any", content: str = "content") -> DataFrame:
         """Documents with the query's words, read by the stored keys.
@@ -120,18 +123,18 @@ class TokenIndex:
         documents that have lost them since it was made.
         """
         found = fetch(docs, self.keys(query, mode), self.key)
-        return found if self.current else found.filter(has_words(F.col(content), query, mode))
+        return found if self.current else found.filter(has_words(F.col(content), query, mode, self.rule))
 
     def stats(self, query: str) -> CorpusStats:
         """Two scalar subqueries: the corpus totals, and the documents per word."""
-        terms = query_terms(query)
+        terms = query_terms(query, self.rule)
         seen = self.lookup(query).agg(
             *[F.count_if(F.col("token") == t).alias(f"df{i}") for i, t in enumerate(terms)])
         return stats_from(self.corpus, seen, terms)
 
     def rank(self, query: str, limit: int = 0, mode: str = "any") -> DataFrame:
         """Keys and BM25 scores from the index alone; with a limit the best, ties by key, else all, unordered."""
-        terms = query_terms(query)
+        terms = query_terms(query, self.rule)
         stats = self.stats(query)
         per_doc = self.lookup(query).groupBy(self.key).agg(
             F.max("dl").alias("dl"), F.count(F.lit(1)).alias("held"),

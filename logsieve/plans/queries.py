@@ -24,6 +24,8 @@ from logsieve.operators.parity import compare_keys, difference, parity
 from logsieve.operators.positions import PositionIndex
 from logsieve.operators.search import (count_hits, first, hits, resolve_limit, search, top)
 from logsieve.operators.segments import SegmentedIndex
+from logsieve.operators.sketches import RANK_ERROR, Sketches
+from logsieve.operators.terms import TermDictionary
 from logsieve.operators.textindex import TokenIndex, token_table
 from logsieve.operators.trigrams import TrigramIndex
 from logsieve.operators.vectorindex import VectorIndex
@@ -403,6 +405,25 @@ def _(t: Tables):
     return _positions(t).in_order("license the")
 
 
+def _terms(t: Tables) -> TermDictionary:
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    return TermDictionary.ensure(_stored_index(t), tables.library_path(t.spark, f"terms-{key}"), tables.source_state(t.documents))
+
+
+def _by_term(name: str, pattern: str) -> None:
+    """Keys of the documents with a word of a pattern, from the dictionary."""
+    like = pattern.replace("*", "%").replace("?", "_")
+
+    @query(name, f"WITH {PROSE} SELECT doc_id FROM prose WHERE len(list_filter({tokens_sql()}, lambda x: x LIKE '{like}')) > 0")
+    def _(t: Tables):
+        return _terms(t).keys(pattern)
+
+
+_by_term("f15_word_pattern", "licen?e*")
+_by_term("f15_word_pattern_inside", "*oundat*")
+_by_term("f15_word_pattern_both_ends", "w*n?y")
+
+
 def _trigram_index(t: Tables) -> TrigramIndex:
     key = hashlib.sha256(t.folder.encode()).hexdigest()
     return TrigramIndex.ensure(t.prose(), tables.library_path(t.spark, f"trigrams-{key}"))
@@ -529,6 +550,23 @@ def _(t: Tables):
     return rows.select("method", rounded("p50"), rounded("p95"), rounded("p99"))
 
 
+# What must hold of the sketches: all samples are in them, and the ranks of their quantiles are near the wanted ones.
+@query("a08_sketch_quantiles", """SELECT event_type AS method, month(ts)::INTEGER AS month, count(value) AS n, true AS near FROM events GROUP BY ALL""")
+def _(t: Tables):
+    key = hashlib.sha256(t.folder.encode()).hexdigest()
+    sketches = Sketches.ensure(t.events, tables.library_path(t.spark, f"sketches-{key}"), "event_type", F.to_date("ts"), "value")
+    wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = sketches.quantiles(wanted, period=F.month("day"))
+    rows = t.events.select(F.col("event_type").alias("name"), F.month("ts").alias("period"), "value").join(found, ["name", "period"])
+    below = rows.groupBy("name", "period", "n").agg(F.count("value").alias("samples"), *[
+        F.count_if(F.col("value") <= F.col(q)).alias(f"{q}_most") for q in wanted], *[
+        F.count_if(F.col("value") < F.col(q)).alias(f"{q}_least") for q in wanted])
+    slack = RANK_ERROR * F.col("n") + 1
+    near = [(F.col(f"{q}_least") <= share * F.col("n") + slack) & (F.col(f"{q}_most") >= share * F.col("n") - slack) for q, share in wanted.items()]
+    return below.select(F.col("name").alias("method"), F.col("period").alias("month"), "n",
+                        (near[0] & near[1] & near[2] & (F.col("samples") == F.col("n"))).alias("near"))
+
+
 @query("a09_parity", f"""WITH {PROSE}, h AS (SELECT regexp_matches(lower(content), 'license') AS b,
     {HAS_LICENSE} AS s0, contains(content, 'license') AS s1 FROM prose)
   SELECT 'text' AS strategy, count(*) FILTER (s0) AS hits, count(*) FILTER (b) AS baseline_hits, count(*) FILTER (b AND NOT s0) AS only_baseline,
@@ -654,6 +692,24 @@ def _(t: Tables):
     return t.documents.select("doc_id", joined(tokens(F.col("text")), " ").alias("words"))
 
 
+# The words of the standard rule for scripts that the texts have: letters joined across marks between them, digits likewise.
+STANDARD_WORDS = r"""'(?:[\p{L}\p{Nl}][\p{L}\p{Nl}\p{M}\x{200C}\x{200D}\x{AD}]*(?:[:·.‘’․''][\p{L}\p{Nl}][\p{L}\p{Nl}\p{M}\x{200C}\x{200D}\x{AD}]*)*|\p{Nd}[\p{Nd}\p{M}]*(?:[,;.‘’․''\x{66C}]\p{Nd}[\p{Nd}\p{M}]*)*|\p{Pc}\p{M}*)+'"""
+
+
+def standard_sql(value: str = "content") -> str:
+    return f"list_filter(regexp_extract_all(lower({value}), {STANDARD_WORDS}), lambda x: regexp_matches(x, '[^\\p{{Pc}}\\p{{M}}]'))"
+
+
+@query("h07_standard_tokens", f"SELECT doc_id, array_to_string({standard_sql('text')}, ' ') AS words FROM documents")
+def _(t: Tables):
+    return t.documents.select("doc_id", joined(tokens(F.col("text"), "standard"), " ").alias("words"))
+
+
+@query("f16_text_standard_word", f"WITH {PROSE} SELECT doc_id FROM prose WHERE list_has_any({standard_sql()}, ['example.com', 'isn''t', 'gnu'])")
+def _(t: Tables):
+    return search(t.prose(), text("content", "example.com isn't GNU", rule="standard"))
+
+
 @query("h08_lower", "SELECT doc_id, lower(text) AS text_lc FROM documents")
 def _(t: Tables):
     return t.documents.select("doc_id", F.lower("text").alias("text_lc"))
