@@ -7,7 +7,8 @@ that a checksum over bytes that hold checksums stays sound. Files come in ascend
 The index is a table of (file, offset, length, doc_id, first, n_tokens, ids_crc32); `read_selected` uses it.
 
 A text is encoded word by word: the tokenizer's normaliser and pattern never join characters across ASCII white space,
-so each worker keeps the ids of words that it has seen, up to CACHED words, and asks the library for the others.
+so each worker keeps the ids of words that it has seen lately, about CACHED words, and asks the library for the others. A
+tokenizer for which this doesn't hold is refused.
 
 Scale: texts move once, into ranges of keys, and rows without a key or with one key into ranges of a hash of their text
 (equal rows are dealt as they come), so that no key fills a task or a file; files are written and committed by Spark, in any file system that it
@@ -27,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,10 +36,14 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import new_path, stored
 
 FILE_CHARS = 16_000_000
-CACHED = 1_000_000
+CACHED = 600_000
+#: Bytes of text that are cut into words at once, words that are encoded together, and the mark between them.
+BATCH_BYTES, TOGETHER, MARK = 8_000_000, 300, b"|"
 _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<Bq")
-_words: dict[tuple[str, int], dict[bytes, bytes]] = {}
+_words: dict[tuple[str, int], list[dict[bytes, bytes]]] = {}
+_splits: dict[str, bool] = {}
+_ends: dict[str, np.ndarray] = {}
 _tokenizers: dict[str, object] = {}
 
 
@@ -80,28 +86,103 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def _encode_words(path: str, words: list[str]) -> list[np.ndarray]:
-    """Ids of each word: of all of them as one text, cut where the next word's characters begin."""
-    found = _tokenizer(path).encode(" ".join(words), add_special_tokens=False)
-    ids = np.array(found.ids, "<u4")
-    starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-    if (np.diff(starts) < 0).any():
-        return [np.array(e.ids, "<u4") for e in _tokenizer(path).encode_batch(words, add_special_tokens=False)]
-    return np.split(ids, np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words])[:-1]))
-
-
-def encode_texts(path: str, texts: list[str | None], cached: int = CACHED) -> list[bytes]:
-    """Ids of each text, 4 bytes each."""
-    known = _words.setdefault((path, cached), {})
-    cut = [(t or "").encode().split() for t in texts]
-    new = list({w for words in cut for w in words if w not in known})
-    if len(known) + len(new) > cached:
-        known.clear()
-        new = list({w for words in cut for w in words})
-    for at in range(0, len(new), 1000):
-        part = new[at : at + 1000]
-        known.update(zip(part, (i.tobytes() for i in _encode_words(path, [w.decode() for w in part])), strict=True))
-    return [b"".join(map(known.__getitem__, words)) for words in cut]
+def check_tokenizer(path: str) -> None:
+    """Raises unless the tokenizer gives the ids of a text word by word."""
+    tokenizer = _tokenizer(path)
+    for text in ("ab cd", " ab\tcd\n", "a  b, c.d 1 2\x0b3", "x | y|z", "É e\u0301 \u3000z don't"):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        if ids != [i for w in text.encode().split() for i in tokenizer.encode(w.decode(), add_special_tokens=False).ids]:
+            raise ValueError(f"{path}: this tokenizer joins characters across white space")
+
+
+def splits_stops(path: str) -> bool:
+    """Whether a stop behind a letter is encoded by itself, so that words with and without one need to be known once."""
+    if path not in _splits:
+        encode = lambda text: _tokenizer(path).encode(text, add_special_tokens=False).ids
+        _splits[path] = all(encode(f"ab{p} c{p}\nDéF{p} it's{p} x") == encode(f"ab {p} c {p}\nDéF {p} it's {p} x") for p in ".,;:!?")
+    return _splits[path]
+
+
+def _word_ends(path: str) -> np.ndarray:
+    """For each id, whether it ends a run of letters; all False where the tokenizer doesn't mark such ids."""
+    if path not in _ends:
+        tokenizer = _tokenizer(path)
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None) or ""
+        vocabulary = tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        ids = tokenizer.encode("ab Cdé xyzzyxyzzy", add_special_tokens=False).ids
+        _ends[path] = ends if ends[ids].sum() == 3 else np.zeros_like(ends)
+    return _ends[path]
+
+
+def _encode_words(path: str, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids. Words are encoded together: runs of letters end with an id that only ends such runs; others
+    have a mark between them, which is one id and in none of them."""
+    tokenizer, ends = _tokenizer(path), _word_ends(path)
+    mark = tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+    letters, plain, rest = [], [], []
+    for word in words:
+        (letters if word.isalpha() or not word.isascii() and word.decode().isalpha() else plain if MARK not in word else rest).append(word)
+    if not ends.any():
+        plain, letters = letters + plain, []
+    if len(mark) != 1:
+        plain, rest = [], plain + rest
+    for group, between in ((letters, b" "), (plain, b" " + MARK + b" ")):
+        for at in range(0, len(group), TOGETHER):
+            part = group[at : at + TOGETHER]
+            ids = np.array(tokenizer.encode_batch_fast([between.join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            data = ids.tobytes()
+            if between == b" ":
+                stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+                starts = [0, *stops[:-1]]
+            else:
+                cuts = np.flatnonzero(ids == mark[0]) * 4
+                starts, stops = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]
+            if len(stops) != len(part):  # not as this tokenizer was found to be
+                rest += part
+                continue
+            yield from zip(part, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True)
+    for word, found in zip(rest, tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+        yield word, np.array(found.ids, "<u4").tobytes()
+
+
+def encode_texts(path: str, texts: list[str | None] | pa.Array, cached: int = CACHED) -> list[bytes]:
+    """Ids of each text, 4 bytes each. Only the distinct words of all texts become Python objects."""
+    known, before = _words.setdefault((path, cached), [{}, {}])
+    array = pa.array(texts, pa.large_string()).fill_null("")
+    if splits_stops(path):
+        array = pc.replace_substring_regex(array, r"([A-Za-z])([.,;:!?])([ \t\n\r])", r"\1 \2\3")
+    lists = pc.ascii_split_whitespace(array)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    known[b""] = b""
+    known.update(_encode_words(path, [w for w in words if w not in known and w not in before]))
+    known.update((w, before[w]) for w in words if w not in known)
+    sizes = np.fromiter((len(known[w]) for w in words), np.int64, len(words)) // 4
+    flat, starts = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"), np.cumsum(sizes) - sizes
+    at, offsets = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    del words, coded, lists, array
+    if 2 * len(known) > cached:  # words that don't come again go with the older half
+        _words[path, cached] = [{}, known]
+    n = sizes[at]
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+    kind = np.int32 if len(flat) + ends[-1] < 1 << 31 else np.int64
+    places = np.repeat((starts[at] - ends[:-1]).astype(kind), n)
+    places += np.arange(ends[-1], dtype=kind)
+    data = flat[places].tobytes()
+    bounds = (ends[offsets - offsets[0]] * 4).tolist()
+    return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with BATCH_BYTES of text together, or one longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+        group = (np.cumsum(sizes.astype(np.int64)) - sizes) // BATCH_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", file_chars: int = FILE_CHARS) -> None:
@@ -109,13 +190,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
     docs = docs.select(docs[key].cast("long").alias("_key"), docs[text].alias("_text"))
     end = np.array([end_id], "<u4").tobytes()
 
+    check_tokenizer(tokenizer)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = encode_texts(tokenizer, part.column("_text").to_pylist())
-                made = [frame(k, i + end) for k, i in zip(part.column("_key").to_pylist(), ids, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
+        for part in _pieces(batches):
+            ids = encode_texts(tokenizer, part.column("_text"))
+            made = [frame(k, i + end) for k, i in zip(part.column("_key").to_pylist(), ids, strict=True)]
+            del ids
+            pa.default_memory_pool().release_unused()
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
 
     chars = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
     order = [F.col("_key").asc_nulls_first(), "_hash", "_number"]

@@ -18,15 +18,27 @@ def whole(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids + [1]
 
 
-@given(st.text(alphabet=st.sampled_from(list("abİΣσ's 1!́ \u0085\x0b\x1c\n日<|>")), max_size=30))
+@given(st.text(alphabet=st.sampled_from(list("ab|.,İΣσ's 1!́ \u0085\x0b\x1c\n日<|>")), max_size=30))
 @settings(max_examples=300, deadline=None)
 def test_words_give_the_ids_of_the_whole_text(text):
     assert np.frombuffer(records.encode_texts(PATH, [text])[0], "<u4").tolist() == whole(text)[:-1]
 
 
+def test_tokenizers_that_join_words_are_refused():
+    records.check_tokenizer(PATH)
+    with pytest.raises(ValueError):
+        records.check_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_stops_are_words_of_their_own():
+    assert records.splits_stops(PATH)
+    texts = ["one, two. Two! it's, o'clock; a.b c.. d.) e,\tf.\r\n3. x", "end.", "é. ß, 日."]
+    assert [np.frombuffer(g, "<u4").tolist() for g in records.encode_texts(PATH, texts)] == [whole(t)[:-1] for t in texts]
+
+
 def test_small_cache():
-    got = records.encode_texts(PATH, ["a b", "c d a", "b e"], cached=2)
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole(t)[:-1] for t in ("a b", "c d a", "b e")]
+    got = records.encode_texts(PATH, ["a b", "c d a", "b e", "a|b | c||", "|", None], cached=2)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole(t)[:-1] for t in ("a b", "c d a", "b e", "a|b | c||", "|", None)]
 
 
 def test_files_are_read_back(spark, tmp_path):
