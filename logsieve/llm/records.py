@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from logsieve.llm.common import new_path, stored
 
 FILE_CHARS = 16_000_000
-CACHED = 600_000
+CACHED = 1_000_000
 #: Bytes of text that are cut into words at once, words that are encoded together, and the mark between them.
 BATCH_BYTES, TOGETHER, MARK = 8_000_000, 300, b"|"
 _HEAD = struct.Struct("<QI")
