@@ -21,7 +21,7 @@ from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
 # Documents of a block, rows of a file, blocks that are named to a scan.
-BLOCK_DOCS, ROWS_PER_FILE, MOST_NAMED = 128, 4_000_000, 5000
+BLOCK_DOCS, ROWS_PER_FILE, MOST_NAMED = 128, 1_000_000, 5000
 # Bounds are sums in another order than scores: this much is allowed for rounding.
 _SLACK = 1 + 1e-9
 
@@ -62,8 +62,10 @@ class BlockIndex:
         spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{path}/unsorted")
         average = max(1.0, totals["words"]) / max(1, totals["n"])
         share = F.col("tf") / (F.col("tf") + _damping(F.col("dl"), F.lit(average)))
-        found = spark.read.parquet(f"{path}/postings").groupBy("token", "block").agg(F.max(share).alias("share"), F.count(F.lit(1)).alias("docs"))
-        found.repartitionByRange(max(1, files // 16), "token", "block").sortWithinPartitions("token", "block").write.parquet(f"{path}/blocks")
+        # Put into as many ranges as the postings, so that a task's groups stay as few however many there are in all.
+        shares = spark.read.parquet(f"{path}/postings").select("token", "block", share.alias("share")).repartitionByRange(files, "token", "block")
+        found = shares.groupBy("token", "block").agg(F.max("share").alias("share"), F.count(F.lit(1)).alias("docs"))
+        found.sortWithinPartitions("token", "block").write.parquet(f"{path}/blocks")
 
     @staticmethod
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "BlockIndex":
