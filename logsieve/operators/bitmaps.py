@@ -21,7 +21,8 @@ from logsieve.sources.versions import Versions
 
 # What Spark's bitmap functions work with.
 BITS, BYTES = 32_768, 4096
-ROWS_PER_FILE = 200_000
+# Words of documents that a task sorts for one file.
+ROWS_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -109,17 +110,16 @@ class BitmapIndex:
             layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in built.schema.fields)
             return built.mapInArrow(_compress, layout)
 
-        words = bitmaps(rows.select(F.explode("w").alias("token"), *place), "token")
-        words.write.parquet(f"{path}/unsorted")
-        written = spark.read.parquet(f"{path}/unsorted")
-        files = max(1, written.count() // ROWS_PER_FILE)
-        written.repartitionByRange(files, "token", "bucket").sortWithinPartitions("token", "bucket").write.parquet(f"{path}/words")
+        # Bits meet by word before they become a bitmap, so that 4 KB are held for one word at a time and never shuffled.
+        bits = rows.select(F.explode("w").alias("token"), *place)
+        files = max(1, (rows.agg(F.sum(F.greatest(F.size("w"), F.lit(0)))).first()[0] or 0) // ROWS_PER_FILE)
+        ranges = bits.repartitionByRange(files, "token", "bucket").sortWithinPartitions("token", "bucket")
+        bitmaps(ranges, "token").write.parquet(f"{path}/words")
         shown = [F.struct(F.lit(name).alias("path"), F.col(v).alias("value")) for name, v in zip(facets, values)]
         faceted = rows.select(F.inline(F.array(*shown)), *place) if shown else rows.select(F.lit("").alias("path"), F.lit("").alias("value"), *place).limit(0)
         bitmaps(faceted.filter(F.col("value").isNotNull()), "path", "value").write.parquet(f"{path}/facets")
         bitmaps(rows.filter("present").select(*place)).write.parquet(f"{path}/every")
-        for name, frame in (("cut", rows), ("unsorted", written)):
-            spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{path}/cut")
 
     @staticmethod
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "BitmapIndex":
