@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsieve.functions.runs import in_parts, runs
 from logsieve.functions.text import query_words, tokens
 from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
-ROWS_PER_FILE = 2_000_000
+# Rows that a task sorts for one file.
+ROWS_PER_FILE = 1_000_000
 # Up to this distance, places that follow are listed and intersected; beyond it, they are compared.
 LISTED = 64
 
@@ -19,20 +22,19 @@ LISTED = 64
 def position_table(docs: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
     """Rows ``(token, key, at)``: a word, a document, the ascending places of the word there, from 0.
 
-    A document is one row: its words are sorted with their places inside the row, and each run of
-    equal words becomes a list. Nothing is shuffled.
+    A document is one row: its words are put in order with their places inside its batch of rows,
+    and each run of equal words becomes a list. Nothing is shuffled.
     """
-    words = docs.filter(F.col(content).isNotNull()).select(key, F.array_sort(F.transform(
-        tokens(F.col(content)), lambda word, place: F.struct(word.alias("word"), place.alias("place")))).alias("w"))
-    words = words.filter(F.size("w") > 0)
-    starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: (i == 1) | (
-        F.col("w")[i - 1]["word"] != F.col("w")[F.greatest(i - 2, F.lit(0))]["word"]))
-    runs = words.withColumn("starts", starts).withColumn(
-        "ends", F.array_append(F.slice("starts", F.lit(2), F.size("starts")), F.size("w") + 1))
-    lists = F.zip_with("starts", "ends", lambda start, end: F.struct(
-        F.col("w")[start - 1]["word"].alias("token"),
-        F.transform(F.slice("w", start, end - start), lambda x: x["place"]).alias("at")))
-    return runs.select(key, F.inline(lists)).select("token", key, "at")
+    kind = docs.schema[key].dataType.simpleString()
+    words = docs.filter(F.col(content).isNotNull()).select(key, tokens(F.col(content)).alias("words"))
+
+    def place(batches):
+        for batch in batches:
+            found = runs(batch.column("words"))
+            at = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), pa.array(found.places, pa.int32()))
+            yield from in_parts(pa.RecordBatch.from_arrays([found.token, batch.column(key).take(pa.array(found.doc)), at], names=["token", key, "at"]))
+
+    return words.mapInArrow(place, f"token string, `{key}` {kind}, at array<int>")
 
 
 def _shifted(places: Column, by: int) -> Column:
