@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsieve.functions.runs import in_parts, runs
 from logsieve.functions.text import SIMPLE, has_words, query_terms, tokens
 from logsieve.operators.fetch import fetch
 from logsieve.operators.relevance import CorpusStats, stats_from
@@ -14,33 +17,35 @@ from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
 
-# The token of the row that stands for a document as a whole.
-DOCUMENT = ""
+# The token of the row that stands for a document as a whole; rows that a task sorts for one file.
+DOCUMENT, ROWS_PER_FILE = "", 1_000_000
 
 
 def token_table(docs: DataFrame, content: str = "content", key: str = "doc_id", mark_documents: bool = False,
                 rule: str = SIMPLE) -> DataFrame:
     """Rows ``(token, key, tf, dl)``: a word, a document, its count there, the document's length.
 
-    A document is one row, so its words are counted inside the row: sort them, find where each
-    run of equal words starts, and take the distance to the next start. Nothing is shuffled.
+    A document is one row, so its words are counted inside its batch of rows: equal words of a
+    document become a run, and its length is the count. Nothing is shuffled.
     With ``mark_documents`` each document also has a row for the empty word, which is no word
     of any text: texts are cut once for the words and for the statistics of documents.
     """
-    words = docs.filter(F.col(content).isNotNull()).select(
-        key, F.sort_array(tokens(F.col(content), rule)).alias("words"))
-    runs = words.select(key, "words", F.when(F.size("words") > 0, F.filter(
-        F.sequence(F.lit(1), F.size("words")),
-        lambda i: (i == 1) | (F.col("words")[i - 1] != F.col("words")[F.greatest(i - 2, F.lit(0))]),
-    )).alias("starts"))
-    ends = runs.select(key, "words", "starts", F.array_append(
-        F.slice("starts", F.lit(2), F.size("starts")), F.size("words") + 1).alias("ends"))
-    counts = F.zip_with("starts", "ends", lambda start, end: F.struct(
-        F.col("words")[start - 1].alias("token"), (end - start).alias("tf")))
-    if mark_documents:
-        mark = F.array(F.struct(F.lit(DOCUMENT).alias("token"), F.lit(0).alias("tf")))
-        counts = F.when(F.size("words") > 0, F.concat(mark, counts)).otherwise(mark)
-    return ends.select(key, F.size("words").alias("dl"), F.inline(counts)).select("token", key, "tf", "dl")
+    kind = docs.schema[key].dataType.simpleString()
+    words = docs.filter(F.col(content).isNotNull()).select(key, tokens(F.col(content), rule).alias("words"))
+
+    def count(batches):
+        for batch in batches:
+            found, sizes = runs(batch.column("words")), batch.column("words").value_lengths().to_numpy()
+            token, doc, tf = found.token, found.doc, np.diff(found.bounds)
+            if mark_documents:
+                n = batch.num_rows
+                token = pa.concat_arrays([pa.array([DOCUMENT] * n, pa.string()), token])
+                doc, tf = np.concatenate([np.arange(n), doc]), np.concatenate([np.zeros(n, np.int64), tf])
+            rows = pa.RecordBatch.from_arrays([token, batch.column(key).take(pa.array(doc)), pa.array(tf, pa.int32()), pa.array(
+                sizes[doc], pa.int32())], names=["token", key, "tf", "dl"])
+            yield from in_parts(rows)
+
+    return words.mapInArrow(count, f"token string, `{key}` {kind}, tf int, dl int")
 
 
 def totals(docs: DataFrame, content: str = "content", rule: str = SIMPLE) -> DataFrame:
@@ -49,7 +54,7 @@ def totals(docs: DataFrame, content: str = "content", rule: str = SIMPLE) -> Dat
     return sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words"))
 
 
-def write_rows(rows: DataFrame, path: str, key: str = "doc_id", rows_per_file: int = 4_000_000) -> None:
+def write_rows(rows: DataFrame, path: str, key: str = "doc_id", rows_per_file: int = ROWS_PER_FILE) -> None:
     """Store marked rows as ``postings``, sorted, ``documents`` (key, dl) and ``corpus`` (n, words)."""
     spark, unsorted = rows.sparkSession, f"{path}/unsorted"
     rows.write.mode("overwrite").parquet(unsorted)
@@ -93,7 +98,7 @@ class TokenIndex:
     def load(spark: SparkSession, path: str, key: str = "doc_id") -> "TokenIndex":
         return TokenIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/corpus"), key)
 
-    def save(self, path: str, rows_per_file: int = 4_000_000) -> None:
+    def save(self, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
         """Write the index sorted by word, so that a lookup reads only the files of its words.
 
         Files are ranges of (word, key), not of words alone: a word that is in every document
