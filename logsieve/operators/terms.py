@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from logsieve.operators.textindex import TokenIndex
 from logsieve.sources.versions import Versions
 
-# The end of a word; no word holds it. Rows of a file.
-END, ROWS_PER_FILE = "|", 4_000_000
+# The end of a word; no word holds it. Rows of a file, and words up to which their postings are read by ranges of words.
+END, ROWS_PER_FILE, MOST_WORDS = "|", 1_000_000, 2000
 
 
 def rotations(words: DataFrame) -> DataFrame:
@@ -80,5 +80,15 @@ class TermDictionary:
         return rows.filter(F.col("token").like(like(folded))).select("token").distinct()
 
     def keys(self, pattern: str) -> DataFrame:
-        """Keys of the documents with a word that matches, each once: a semi join of the postings with the words."""
-        return self.index.postings.join(self.words(pattern), "token", "left_semi").select(self.index.key).distinct()
+        """Keys of the documents with a word that matches, each once.
+
+        Few words are named to the scan of the postings, which then reads only theirs; beyond
+        ``MOST_WORDS`` it is a semi join of the postings with the words.
+        """
+        words = self.words(pattern)
+        named = [r.token for r in words.limit(MOST_WORDS + 1).collect()]  # no more than MOST_WORDS + 1
+        if len(named) > MOST_WORDS:
+            rows = self.index.postings.join(words, "token", "left_semi")
+        else:
+            rows = self.index.postings.filter(F.col("token").isin(sorted(named)) if named else F.lit(False))
+        return rows.select(self.index.key).distinct()
