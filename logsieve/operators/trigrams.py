@@ -9,20 +9,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsieve.functions.grams import TRUE, All, Any, Gram, all_of, any_of, grams_in, required_grams
 from logsieve.functions.patterns import FIND, WHOLE, Pattern, compile_pattern
+from logsieve.functions.runs import in_parts
 from logsieve.operators.fetch import fetch
 from logsieve.sources.tables import source_state
 from logsieve.sources.versions import Versions
 
 # Characters of a text that are cut into trigrams at once, rows of a file, trigrams of one text that are looked up, and
 # the part of the documents above which the table isn't asked.
-PIECE, ROWS_PER_FILE, ASKED, MOST_SHARE = 50_000, 8_000_000, 6, 0.3
-# Every place where three ASCII characters begin.
-_EACH = r"(?s)(?=([\x00-\x7F]{3}))"
+PIECE, ROWS_PER_FILE, ASKED, MOST_SHARE = 50_000, 2_000_000, 6, 0.3
 
 
 def trigram_table(docs: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
@@ -34,8 +35,27 @@ def trigram_table(docs: DataFrame, content: str = "content", key: str = "doc_id"
     pieces = F.greatest(F.ceil((F.length("text") - 2) / PIECE), F.lit(1))
     cut = texts.select(key, F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), pieces - 1), lambda i: F.substring(
         F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE + 2)))).alias("piece"))
-    grams = F.array_distinct(F.regexp_extract_all("piece", F.lit(_EACH), F.lit(1)))
-    return cut.select(F.explode(grams).alias("gram"), key)
+    kind = docs.schema[key].dataType.simpleString()
+
+    def grams(batches):
+        for batch in batches:
+            found = [_codes(piece.as_buffer()) for piece in batch.column("piece")]
+            code = np.concatenate([*found, np.zeros(0, np.int32)]).astype(np.int32)
+            every, place = np.unique(code, return_inverse=True)
+            texts = pa.array([bytes((c >> 14, c >> 7 & 127, c & 127)).decode() for c in every.tolist()], pa.string())
+            of = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
+            yield from in_parts(pa.RecordBatch.from_arrays([texts.take(pa.array(place)), batch.column(key).take(pa.array(of))], names=["gram", key]))
+
+    return cut.mapInArrow(grams, f"gram string, `{key}` {kind}")
+
+
+def _codes(text: pa.Buffer) -> np.ndarray:
+    """The distinct places where three ASCII characters begin, which are bytes of their own, as numbers of 21 bits."""
+    own = np.frombuffer(text, np.uint8)
+    ascii_ = own < 128
+    here = np.flatnonzero(ascii_[:-2] & ascii_[1:-1] & ascii_[2:])
+    own = own.astype(np.int32)
+    return np.unique(own[here] << 14 | own[here + 1] << 7 | own[here + 2])
 
 
 def rarest(formula, seen: dict[str, int], asked: int = ASKED):
