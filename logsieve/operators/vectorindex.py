@@ -13,6 +13,7 @@ those found, which the distance to its centroid and its radius tell: its result
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +31,13 @@ from logsieve.sources.versions import Versions
 SAMPLE, MOST_LISTS = 16_384, 4096
 # Numbers of a vector that one byte of its code stands for, and the values such a byte has.
 NUMBERS_PER_BYTE, WORDS = 4, 256
-# Codes in a slice of a list, vectors in a slice, queries of a list that are looked up together.
-CODE_SLICE, SLICE_NUMBERS, BLOCK = 65_536, 1 << 21, 1024
+# Codes in a slice of lists, numbers in a slice of vectors, queries of a slice that are looked up together, and at once.
+CODE_SLICE, SLICE_NUMBERS, BLOCK, AT_ONCE = 65_536, 1 << 21, 1024, 64
 # Queries that recall is measured with, the recall to reach, and neighbours it is measured at.
 TRIALS, TARGET, TRIAL_K = 64, 0.95, 10
 _ROUNDS, _SLACK = 12, 1e-9
+# Candidates, for each neighbour wanted, of the search that only bounds an exact one.
+BOUND_CANDIDATES = 4
 
 
 def in_space(vectors: np.ndarray, metric: str, longest: float, queries: bool = False) -> np.ndarray:
@@ -99,17 +102,60 @@ class Quantiser:
         codes = np.stack([squares(cut[:, p], words).argmin(1) for p, words in enumerate(self.words)], axis=1)
         return near, np.linalg.norm(rest, axis=1), codes.astype(np.uint8)
 
-    def approximate(self, query: np.ndarray, of_list: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances of one query, in the space, to the codes of a list."""
-        cut = self.parts((query - self.centres[of_list])[None, :])[0]
-        table = ((self.words - cut[:, None, :]) ** 2).sum(2)
-        return sum(table[p][codes[:, p]] for p in range(len(table)))
+    def decoded(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What codes of these lists stand for, in the space."""
+        rest = np.concatenate([words[codes[:, p]] for p, words in enumerate(self.words)], axis=1)
+        return self.centres[lists] + rest[:, :self.centres.shape[1]]
 
     def near_lists(self, queries: np.ndarray, probes: int) -> np.ndarray:
         far = squares(in_space(queries, self.metric, self.longest, queries=True), self.centres)
         return np.argsort(far, axis=1, kind="stable")[:, :probes]
 
 
+def in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a bounded number of queries."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            yield batch.slice(at, BLOCK)
+
+
+def by_shard(queries: pa.RecordBatch, query: np.ndarray, lists: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
+    """A row for each query and each shard that holds one of its lists, with these lists."""
+    held = shard[lists] >= 0
+    query, lists = query[held], lists[held]
+    order = np.lexsort((lists, shard[lists], query))
+    query, lists = query[order], lists[order]
+    own = shard[lists]
+    first = np.flatnonzero(np.concatenate([[True], (query[1:] != query[:-1]) | (own[1:] != own[:-1])])) if len(query) else np.zeros(0, np.int64)
+    of = pa.ListArray.from_arrays(pa.array(np.append(first, len(lists)), pa.int32()), pa.array(lists, pa.int32()))
+    return pa.RecordBatch.from_arrays([*queries.take(pa.array(query[first])).columns, pa.array(own[first], pa.int32()), of],
+                                      names=[*queries.schema.names, "shard", "lists"])
+
+
+def needed(lists: pa.ChunkedArray, number: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A few queries at a time, those with the same first list together: their places, which lists each needs, and the
+    places of the rows, by the number of their list, that any of them needs."""
+    lists = lists.combine_chunks()
+    sizes, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    order = np.lexsort((sizes, flat[starts]))
+    for at in range(0, len(order), AT_ONCE):
+        these = order[at:at + AT_ONCE]
+        need = np.zeros((len(these), most), bool)
+        for i, q in enumerate(these):
+            need[i, flat[starts[q]:starts[q] + sizes[q]]] = True
+        yield these, need, np.flatnonzero(need.any(0)[number])
+
+
+def scores_of_pairs(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """The score of each row with the row beside it; NaN where there is none."""
+    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+        if metric == "euclidean":
+            return -np.sqrt(((left - right) ** 2).sum(1))
+        products = (left * right).sum(1)
+        return products if metric == "dot" else products / (np.linalg.norm(left, axis=1) * np.linalg.norm(right, axis=1))
+
+
 def usable(vector: Column, metric: str) -> Column:
     """Whether a vector can be scored: no missing or infinite number, and not zero for cosine."""
     fine = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
@@ -162,7 +208,9 @@ class VectorIndex:
         width, n, longest = (found["size"], found["n"], math.sqrt(found["longest"])) if found else (1, 0, 1.0)
         own = rows.filter(F.size("vector") == width)
         sample = own.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE)
-        points = np.array([r.vector for r in sample.collect()], np.float64).reshape(-1, width)
+        # Written first: tasks then send their part of the sample to one task and not to the driver.
+        sample.write.mode("overwrite").parquet(f"{path}/sample")
+        points = np.array([r.vector for r in spark.read.parquet(f"{path}/sample").orderBy(F.xxhash64("vector"), "vector").collect()], np.float64).reshape(-1, width)
         if not len(points):
             points = np.ones((1, width))
         quantiser = Quantiser.learn(points, lists or min(MOST_LISTS, int(math.sqrt(n)) or 1), metric, longest)
@@ -248,15 +296,36 @@ class VectorIndex:
                              queries.select(F.col("query_id").alias(self.key), F.col("query").alias(self.column)),
                              k, self.quantiser.metric, self.key, self.column).drop("rank")
 
-    def _dealt(self, pairs: DataFrame, rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
-        """Queries of a list in blocks, its rows in slices; every block meets every slice of its list."""
-        asked = pairs.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        cuts = asked.join(self.sizes.select("list", F.ceil(F.col("n") / most).cast("int").alias("slices")), "list")
-        cuts = F.broadcast(cuts)  # no more rows than there are lists, MOST_LISTS
+    def _shards(self, most: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The shard of each list, -1 of one without vectors, and (list, shard, slices).
+
+        Lists side by side share a shard as long as they hold no more than ``most`` vectors together;
+        a list that holds more is a shard of its own, in slices.
+        """
+        shard, cuts, number, held = np.full(len(self.quantiser.centres), -1), [], -1, most
+        for list_, n in sorted((r.list, r.n) for r in self.sizes.collect()):  # no more rows than there are lists
+            if held + n > most:
+                number, held = number + 1, 0
+            held += n
+            shard[list_] = number
+            cuts.append((list_, number, math.ceil(n / most)))
+        return shard, cuts
+
+    def _dealt(self, pairs: DataFrame, rows: DataFrame, cuts: list[tuple[int, int, int]]) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
+        """Queries of a shard in blocks, its rows in slices; every block meets every slice of its shard.
+
+        What is sent grows with the shards that a query needs, not with its lists.
+        """
+        spark = rows.sparkSession
+        asked = pairs.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        lists = spark.createDataFrame(cuts, "list int, shard int, slices int").coalesce(1)
+        shards = lists.groupBy("shard").agg(F.max("slices").alias("slices")).join(asked, "shard")
+        # No more rows than there are lists, MOST_LISTS.
+        shards, lists = F.broadcast(shards), F.broadcast(lists.select("list", "shard").join(shards, "shard"))
         every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-        left = pairs.join(cuts, "list").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int")).withColumn("slice", every("slices"))
-        right = rows.join(cuts, "list").withColumn("slice", F.pmod(F.xxhash64(self.key), "slices").cast("int")).withColumn("block", every("blocks"))
-        return left.drop("blocks", "slices"), right.drop("blocks", "slices"), ("list", "block", "slice")
+        left = pairs.join(shards, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int")).withColumn("slice", every("slices"))
+        right = rows.join(lists, "list").withColumn("slice", F.pmod(F.xxhash64(self.key), "slices").cast("int")).withColumn("block", every("blocks"))
+        return left.drop("blocks", "slices"), right.drop("blocks", "slices"), ("shard", "block", "slice")
 
     def search(self, queries: DataFrame, k: int, probes: int | None = None, candidates: int | None = None) -> DataFrame:
         """Rows ``(query_id, key, score, rank)``: nearly the k best vectors for each query, their scores exact."""
@@ -266,32 +335,34 @@ class VectorIndex:
         kind = self.codes.schema[key].dataType.simpleString()
         asked, elsewhere = self._asked(queries)
 
+        shard, cuts = self._shards(CODE_SLICE)
+
         def near(batches):
-            for batch in batches:
+            for batch in in_blocks(batches):
                 lists = quantiser.near_lists(matrix(batch.column("query")), probes)
-                rows = np.repeat(np.arange(batch.num_rows), lists.shape[1])
-                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows)).columns, pa.array(lists.ravel().astype(np.int32))],
-                                                 names=[*batch.schema.names, "list"])
+                yield by_shard(batch, np.repeat(np.arange(batch.num_rows), lists.shape[1]), lists.ravel(), shard)
 
         element = asked.schema["query"].dataType.simpleString()
-        pairs = asked.mapInArrow(near, f"query_id long, query {element}, list int")
+        pairs = asked.mapInArrow(near, f"query_id long, query {element}, shard int, lists array<int>")
         layout = arrow_layout(("query_id", "bigint"), ("list", "int"), (key, kind), ("far", "double"))
 
         def look(of: pa.Table, codes: pa.Table) -> pa.Table:
             if not len(of) or not len(codes):
                 return layout.empty_table()
             points = in_space(matrix(of.column("query")), quantiser.metric, quantiser.longest, queries=True)
+            number, keys = codes.column("list").to_numpy(), codes.column(key).to_numpy()
             code = np.frombuffer(b"".join(codes.column("code").to_pylist()), np.uint8).reshape(len(codes), -1)
-            number, keys, parts = of.column("list")[0].as_py(), codes.column(key).to_numpy(), []
-            for i, point in enumerate(points):
-                far = quantiser.approximate(point, number, code)
-                places = best(-far, keys, most)
-                parts.append((np.full(len(places), i), places, far[places]))
+            stands, parts = quantiser.decoded(number, code), []
+            for at, need, held in needed(of.column("lists"), number, len(quantiser.centres)):
+                far = squares(points[at], stands[held])
+                for i, own, row in zip(at, need, far):
+                    places = best(np.where(own[number[held]], -row, -np.inf), keys[held], most)
+                    parts.append((np.full(len(places), i), held[places], row[places]))
             query, place, far = (np.concatenate(p) for p in zip(*parts))
-            return pa.table([of.column("query_id").take(pa.array(query)), pa.array(np.full(len(place), number, np.int32)),
+            return pa.table([of.column("query_id").take(pa.array(query)), pa.array(number[place].astype(np.int32)),
                              codes.column(key).take(pa.array(place)), far], schema=layout)
 
-        left, right, place = self._dealt(pairs, self.codes, CODE_SLICE)
+        left, right, place = self._dealt(pairs, self.codes, cuts)
         found = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(look, f"query_id long, list int, {key} {kind}, far double")
         kept = ranked(found.select("query_id", "list", F.col(key).alias("_key"), (-F.col("far")).alias("score")).withColumnRenamed("_key", key)
                       .select("query_id", F.struct("list", key).alias("at"), "score"), most, "at")
@@ -300,27 +371,28 @@ class VectorIndex:
         exact = arrow_layout(("query_id", "bigint"), (key, kind), ("score", "double"))
 
         def scored(batches):
-            from logsieve.operators.nearest import scores
             for batch in batches:
-                left, right = matrix(batch.column("query")), matrix(batch.column("vector"))
-                score = np.array([scores(a[None, :], b[None, :], quantiser.metric)[0, 0] for a, b in zip(left, right)], np.float64)
+                score = scores_of_pairs(matrix(batch.column("query")), matrix(batch.column("vector")), quantiser.metric)
                 yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column(key), pa.array(score)], schema=exact)
 
         rows = vectors.mapInArrow(scored, f"query_id long, {key} {kind}, score double")
         return ranked(rows.unionByName(self._elsewhere(elsewhere, k)), k, key)
 
-    def _reachable(self, queries: DataFrame, k: int) -> DataFrame:
-        """(query_id, query, list): the lists that can hold a vector as near as the k-th that a search finds."""
+    def _reachable(self, queries: DataFrame, k: int, shard: np.ndarray) -> DataFrame:
+        """(query_id, query, shard, lists): the lists that can hold a vector as near as the k-th that a search finds.
+
+        Any k vectors bound what is out of reach, so a few candidates are enough for that search.
+        """
         quantiser = self.quantiser
         asked, _ = self._asked(queries)
-        worst = self.search(queries, k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
+        worst = self.search(queries, k, candidates=BOUND_CANDIDATES * k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
         rows = asked.join(worst, "query_id", "left").select("query_id", "query", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
         radius = np.full(len(quantiser.centres), -1.0)
         for r in self.sizes.collect():  # no more rows than there are lists
             radius[r.list] = r.radius
 
         def reachable(batches):
-            for batch in batches:
+            for batch in in_blocks(batches):
                 vectors = matrix(batch.column("query"))
                 points = in_space(vectors, quantiser.metric, quantiser.longest, queries=True)
                 worst = batch.column("worst").to_numpy(zero_copy_only=False)
@@ -333,23 +405,32 @@ class VectorIndex:
                 bound = np.where(np.isnan(bound), np.inf, bound) * (1 + 1e-6) + 1e-6
                 far = np.sqrt(squares(points, quantiser.centres))
                 query, lists = np.nonzero((far - radius[None, :] * (1 + _SLACK) <= bound[:, None]) & (radius[None, :] >= 0))
-                yield pa.RecordBatch.from_arrays([*batch.select(["query_id", "query"]).take(pa.array(query)).columns, pa.array(lists.astype(np.int32))],
-                                                 names=["query_id", "query", "list"])
+                yield by_shard(batch.select(["query_id", "query"]), query, lists, shard)
 
-        return rows.mapInArrow(reachable, f"query_id long, query {asked.schema['query'].dataType.simpleString()}, list int")
+        return rows.mapInArrow(reachable, f"query_id long, query {asked.schema['query'].dataType.simpleString()}, shard int, lists array<int>")
 
     def search_exact(self, queries: DataFrame, k: int) -> DataFrame:
         """Rows ``(query_id, key, score, rank)`` as ``nearest_batch`` gives them, from the lists that can matter."""
         kind = self.codes.schema[self.key].dataType.simpleString()
-        left, right, place = self._dealt(self._reachable(queries, k), self.vectors, max(1, SLICE_NUMBERS // self.width))
+        shard, cuts = self._shards(max(1, SLICE_NUMBERS // self.width))
+        left, right, place = self._dealt(self._reachable(queries, k, shard), self.vectors, cuts)
         layout = arrow_layout(("query_id", "bigint"), (self.key, kind), ("score", "double"))
-        solve = best_of_slice(self.quantiser.metric, k, self.key, layout)
+        best_of, lists = best_of_slice(self.quantiser.metric, k, self.key, layout), len(self.quantiser.centres)
+
+        def solve(of: pa.Table, found: pa.Table) -> pa.Table:
+            """Queries that need the same lists meet them together; a list more than needed changes no result."""
+            if not len(of) or not len(found):
+                return layout.empty_table()
+            parts = [best_of(of.take(pa.array(at)), found.take(pa.array(held)))
+                     for at, _, held in needed(of.column("lists"), found.column("list").to_numpy(), lists)]
+            return pa.concat_tables(parts)
+
         rows = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(solve, f"query_id long, {self.key} {kind}, score double")
         return ranked(rows.unionByName(self._elsewhere(self._asked(queries)[1], k)), k, self.key)
 
     def lists_read(self, queries: DataFrame, k: int) -> DataFrame:
         """``queries, lists, read_search, read_exact``: the lists that both searches read, added up over the queries."""
-        exact = self._reachable(queries, k).agg(F.count(F.lit(1)).alias("read_exact"))
+        exact = self._reachable(queries, k, self._shards(CODE_SLICE)[0]).agg(F.coalesce(F.sum(F.size("lists")), F.lit(0)).alias("read_exact"))
         asked = self._asked(queries)[0].agg(F.count(F.lit(1)).alias("queries"))
         n = len(self.quantiser.centres)
         return asked.select("queries", F.lit(n).cast("long").alias("lists"), (F.col("queries") * min(n, self.probes)).alias("read_search"),
